@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from checks import common as c
 from checks.common import check
-from checks.expressions import HISTORY_SQL, LINEAR_SQL, PREDICTED_SQL, predicted
-from checks.sinks import DRIFT_REPLAY_SQL, drift_log
+from checks.expressions import HISTORY_SQL, PREDICTED_SQL, predicted
+from checks.sinks import DRIFT_BY_PLACE_SQL, DRIFT_REPLAY_SQL, drift_log_by_place
 from dayscout.operators import aggregates as ops
 from dayscout.operators.ks import ks_two_sample, two_sample_summary
 from dayscout.operators.runlog import history_stats
@@ -42,25 +42,25 @@ def count_recent(spark, d):
 
 @check(
     "profile_distribution",
-    """SELECT feature_date, profile_name, round(avg(comfort_score), 6) AS avg_score,
+    """SELECT feature_date, profile_name, round(avg(comfort_score) + 1e-9, 6) AS avg_score,
          max(comfort_score) AS max_score, min(comfort_score) AS min_score
        FROM scores GROUP BY 1, 2""",
 )
 def profile_distribution(spark, d):
     """Of every day."""
     stats = ops.score_distribution(c.scores(spark, d), ["feature_date", "profile_name"])
-    return stats.withColumn("avg_score", F.round("avg_score", 6))
+    return stats.withColumn("avg_score", c.r6("avg_score"))
 
 
 @check(
     "feature_stats_global",
-    """SELECT round(avg(temp_mean_7d), 6) AS avg_temp_7d, round(avg(precip_sum_7d), 6) AS avg_precip_7d,
-         round(avg(wind_max_7d), 6) AS avg_wind_7d, round(avg(comfort_score), 6) AS avg_comfort,
-         round(stddev_samp(comfort_score), 6) AS std_comfort, count(*) AS n_rows FROM features""",
+    """SELECT round(avg(temp_mean_7d) + 1e-9, 6) AS avg_temp_7d, round(avg(precip_sum_7d) + 1e-9, 6) AS avg_precip_7d,
+         round(avg(wind_max_7d) + 1e-9, 6) AS avg_wind_7d, round(avg(comfort_score) + 1e-9, 6) AS avg_comfort,
+         round(stddev_samp(comfort_score) + 1e-9, 6) AS std_comfort, count(*) AS n_rows FROM features""",
 )
 def feature_stats_global(spark, d):
     stats = ops.feature_stats(c.features(spark, d))
-    return stats.select(*[F.round(x, 6).alias(x) for x in stats.columns[:-1]], "n_rows")
+    return stats.select(*[c.r6(x).alias(x) for x in stats.columns[:-1]], "n_rows")
 
 
 @check(
@@ -82,23 +82,25 @@ _MEANS = "SELECT city, avg(comfort_score) AS a FROM features GROUP BY 1"
 @check(
     "place_avg_extremes",
     f"""WITH m AS ({_MEANS})
-        SELECT city, round(a, 6) AS avg_score, 'best' AS side FROM (SELECT * FROM m ORDER BY a DESC, city LIMIT 3)
+        SELECT city, round(a + 1e-9, 6) AS avg_score, 'best' AS side FROM (SELECT * FROM m ORDER BY a DESC, city LIMIT 3)
         UNION ALL
-        SELECT city, round(a, 6), 'worst' FROM (SELECT * FROM m ORDER BY a, city LIMIT 3)""",
+        SELECT city, round(a + 1e-9, 6), 'worst' FROM (SELECT * FROM m ORDER BY a, city LIMIT 3)""",
 )
 def place_avg_extremes(spark, d):
     found = ops.place_extremes(c.features(spark, d))
-    return found.withColumn("avg_score", F.round("avg_score", 6))
+    return found.withColumn("avg_score", c.r6("avg_score"))
 
 
 @check(
     "cluster_stats",
-    """SELECT feature_date, cluster_id, count(*) AS size, round(avg(temp_mean_7d), 6) AS avg_temp,
-         round(avg(precip_sum_7d), 6) AS avg_precip, round(avg(wind_max_7d), 6) AS avg_wind
+    """SELECT feature_date, cluster_id, count(*) AS size, round(avg(temp_mean_7d) + 1e-9, 6) AS avg_temp,
+         round(avg(precip_sum_7d) + 1e-9, 6) AS avg_precip, round(avg(wind_max_7d) + 1e-9, 6) AS avg_wind
        FROM clustered GROUP BY 1, 2""",
 )
 def cluster_stats(spark, d):
-    return ops.cluster_stats(c.clustered(spark, d), ["feature_date"], digits=6)
+    found = ops.cluster_stats(c.clustered(spark, d), ["feature_date"])
+    means = ("avg_temp", "avg_precip", "avg_wind")
+    return found.select("feature_date", "cluster_id", "size", *[c.r6(x).alias(x) for x in means])
 
 
 @check(
@@ -106,14 +108,13 @@ def cluster_stats(spark, d):
     "SELECT cluster_id, city, feature_date FROM clustered",
 )
 def cluster_members(spark, d):
-    rows = c.clustered(spark, d)
-    return ops.cluster_members(rows).withColumn("feature_date", rows["feature_date"])
+    return ops.cluster_members(c.clustered(spark, d), ["city", "feature_date"])
 
 
 @check(
     "distribution_summary",
     f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, metric_name, is_current, count(value) AS n,
-          round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, min(value) AS min,
+          round(avg(value) + 1e-9, 6) AS mean, round(stddev_pop(value) + 1e-9, 6) AS std, min(value) AS min,
           max(value) AS max FROM sized GROUP BY 1, 2, 3""",
 )
 def distribution_summary(spark, d):
@@ -121,19 +122,19 @@ def distribution_summary(spark, d):
     stats = samples.groupBy("check_date", "metric_name", "is_current").agg(
         *ops.distribution("value")
     )
-    return stats.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+    return stats.withColumn("mean", c.r6("mean")).withColumn("std", c.r6("std"))
 
 
 @check(
     "ks_two_sample",
-    f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, metric_name, round(ks_statistic, 6) AS ks_statistic,
+    f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, metric_name, round(ks_statistic + 1e-9, 6) AS ks_statistic,
           baseline_n AS baseline_samples, current_n AS current_samples FROM drifts""",
 )
 def ks(spark, d):
     samples = drift.replayed_samples(c.features(spark, d))
     found = ks_two_sample(samples, ["check_date", "metric_name"], "value", "is_current")
     return found.select(
-        "check_date", "metric_name", F.round("ks_statistic", 6).alias("ks_statistic"),
+        "check_date", "metric_name", c.r6("ks_statistic").alias("ks_statistic"),
         "baseline_samples", "current_samples",
     )
 
@@ -149,7 +150,7 @@ def ks(spark, d):
        st AS (SELECT city, nb, nc, count(*) FILTER (WHERE NOT cur) OVER v cb,
                count(*) FILTER (WHERE cur) OVER v cc FROM z
               WINDOW v AS (PARTITION BY city ORDER BY v RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-       SELECT city, round(max(abs(cb::DOUBLE/nullif(nb, 0) - cc::DOUBLE/nullif(nc, 0))), 6) AS ks_statistic
+       SELECT city, round(max(abs(cb::DOUBLE/nullif(nb, 0) - cc::DOUBLE/nullif(nc, 0))) + 1e-9, 6) AS ks_statistic
        FROM st GROUP BY 1""",
 )
 def ks_unrounded(spark, d):
@@ -159,51 +160,51 @@ def ks_unrounded(spark, d):
         "city", "temp_mean_7d", (F.col("date") >= dt.date(1998, 6, 1)).alias("cur")
     )
     found = ks_two_sample(samples, ["city"], "temp_mean_7d", "cur")
-    return found.select("city", F.round("ks_statistic", 6).alias("ks_statistic"))
+    return found.select("city", c.r6("ks_statistic").alias("ks_statistic"))
 
 
 @check(
     "two_sample_summary",
     f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, metric_name, baseline_n, current_n,
-        round(baseline_mean, 6) AS baseline_mean, round(current_mean, 6) AS current_mean,
-        round(baseline_std, 6) AS baseline_std FROM summary""",
+        round(baseline_mean + 1e-9, 6) AS baseline_mean, round(current_mean + 1e-9, 6) AS current_mean,
+        round(baseline_std + 1e-9, 6) AS baseline_std FROM summary""",
 )
 def summary(spark, d):
     samples = drift.replayed_samples(c.features(spark, d))
     found = two_sample_summary(samples, ["check_date", "metric_name"], "value", "is_current")
     return found.select(
         "check_date", "metric_name", "baseline_n", "current_n",
-        *[F.round(x, 6).alias(x) for x in ("baseline_mean", "current_mean", "baseline_std")],
+        *[c.r6(x).alias(x) for x in ("baseline_mean", "current_mean", "baseline_std")],
     )
 
 
 @check(
     "run_history_stats",
     f"""WITH {HISTORY_SQL} SELECT model_type, metric_name, n_runs,
-        round(historical_mean, 6) AS historical_mean, round(historical_std, 6) AS historical_std
+        round(historical_mean + 1e-9, 6) AS historical_mean, round(historical_std + 1e-9, 6) AS historical_std
         FROM history""",
 )
 def run_history_stats(spark, d):
     return history_stats(c.runs(spark, d)).select(
         "model_type", "metric_name", "n_runs",
-        *[F.round(x, 6).alias(x) for x in ("historical_mean", "historical_std")],
+        *[c.r6(x).alias(x) for x in ("historical_mean", "historical_std")],
     )
 
 
 @check(
     "target_stats",
-    """SELECT count(comfort_score) AS n, round(avg(comfort_score), 6) AS mean,
-         round(stddev_pop(comfort_score), 6) AS std, min(comfort_score) AS min,
+    """SELECT count(comfort_score) AS n, round(avg(comfort_score) + 1e-9, 6) AS mean,
+         round(stddev_pop(comfort_score) + 1e-9, 6) AS std, min(comfort_score) AS min,
          max(comfort_score) AS max FROM features""",
 )
 def target_stats(spark, d):
     stats = ops.target_stats(c.features(spark, d))
-    return stats.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+    return stats.withColumn("mean", c.r6("mean")).withColumn("std", c.r6("std"))
 
 
-METRICS_SQL = """round(sqrt(avg((predicted-actual)*(predicted-actual))), 6) AS rmse,
-  round(avg(abs(predicted-actual)), 6) AS mae,
-  round(1 - sum((predicted-actual)*(predicted-actual))/nullif(var_pop(actual)*count(*), 0), 6) AS r2,
+METRICS_SQL = """round(sqrt(avg((predicted-actual)*(predicted-actual))) + 1e-9, 6) AS rmse,
+  round(avg(abs(predicted-actual)) + 1e-9, 6) AS mae,
+  round(1 - sum((predicted-actual)*(predicted-actual))/nullif(var_pop(actual)*count(*), 0) + 1e-9, 6) AS r2,
   count(*) AS n_samples"""
 
 
@@ -214,7 +215,8 @@ METRICS_SQL = """round(sqrt(avg((predicted-actual)*(predicted-actual))), 6) AS r
 def regression_metrics(spark, d):
     """Of the literal linear score, per place."""
     rows = predicted(spark, d).withColumnRenamed("comfort_score", "actual")
-    return ops.regression_metrics(rows, group=["city"], digits=(6, 6, 6))
+    found = ops.regression_metrics(rows, group=["city"], digits=None)
+    return found.select("city", *[c.r6(x).alias(x) for x in ("rmse", "mae", "r2")], "n_samples")
 
 
 @check(
@@ -255,10 +257,10 @@ def distinct_dates(spark, d):
 @check(
     "argmax_place",
     """SELECT (SELECT city FROM features ORDER BY comfort_score DESC, city LIMIT 1) AS city,
-         round(avg(comfort_score), 6) AS avg_score, max(comfort_score) AS max_score FROM features""",
+         round(avg(comfort_score) + 1e-9, 6) AS avg_score, max(comfort_score) AS max_score FROM features""",
 )
 def argmax_place(spark, d):
-    return ops.best_place(c.features(spark, d)).withColumn("avg_score", F.round("avg_score", 6))
+    return ops.best_place(c.features(spark, d)).withColumn("avg_score", c.r6("avg_score"))
 
 
 @check(
@@ -272,18 +274,18 @@ def training_extent(spark, d):
 
 @check(
     "drift_alert_counts",
-    f"""WITH {DRIFT_REPLAY_SQL} SELECT metric_name, count(*) AS drift_count FROM log
-        WHERE drift_detected GROUP BY 1""",
+    f"""WITH {DRIFT_BY_PLACE_SQL} SELECT metric_name||':'||city AS metric_name,
+          count(*) AS drift_count FROM log WHERE drift_detected GROUP BY 1""",
 )
 def drift_alert_counts(spark, d):
-    return ops.drift_alerts(drift_log(spark, d))
+    return ops.drift_alerts(drift_log_by_place(spark, d))
 
 
 @check(
     "recs_per_profile",
     """SELECT profile_name, count(*) AS n_recommendations,
-         round(avg(comfort_score_pred), 6) AS avg_score FROM recs_all GROUP BY 1""",
+         round(avg(comfort_score_pred) + 1e-9, 6) AS avg_score FROM recs_all GROUP BY 1""",
 )
 def recs_per_profile(spark, d):
     found = ops.recommendations_per_profile(c.recs_all(spark, d))
-    return found.withColumn("avg_score", F.round("avg_score", 6))
+    return found.withColumn("avg_score", c.r6("avg_score"))

@@ -11,13 +11,13 @@ import datetime as dt
 import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayscout.operators.learning import nearest_centroid
 from dayscout.operators.profiles import score_profiles
 from dayscout.operators.runlog import flag_champions
-from dayscout.operators.timeseries import carry_forward, latest_per_place, rolling_features
+from dayscout.operators.timeseries import latest_per_place, rolling_carried, rolling_features
 from dayscout.plans.recommend import by_profiles, complete
 from dayscout.schemas import CLUSTER_FEATURES, REGRESSION_FEATURES
 from dayscout.sources.dims import SEED_PROFILES, SKIER
@@ -45,6 +45,12 @@ def check(key: str, sql: str | None = None):
     return add
 
 
+def r6(x) -> Column:
+    """Six decimals. Means of two-decimal values can lie exactly halfway between two of
+    them, where the order of a sum would decide; the nudge (also in the SQL) settles it."""
+    return F.round((F.col(x) if isinstance(x, str) else x) + 1e-9, 6)
+
+
 # --- Spark views -----------------------------------------------------------------
 
 
@@ -102,7 +108,7 @@ def daily_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def carried(spark: SparkSession, d: str) -> DataFrame:
-    return carry_forward(features(spark, d)).drop("observed_date")
+    return rolling_carried(obs(spark, d)).drop("observed_date")
 
 
 def scores(spark: SparkSession, d: str) -> DataFrame:
@@ -125,7 +131,7 @@ def linear_score(rows: DataFrame) -> DataFrame:
 
 def recs_for(rows: DataFrame) -> DataFrame:
     usable = rows.where(F.col("temp_mean_7d").isNotNull() & F.col("temp_mean_3d").isNotNull())
-    return by_profiles(usable, score_profiles(rows, PROFILES), assign)
+    return by_profiles(usable, PROFILES, assign)
 
 
 def recs_daily(spark: SparkSession, d: str) -> DataFrame:

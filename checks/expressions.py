@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import common as c
 from checks.common import check, comfort_sql, profile_sql
-from checks.sinks import DRIFT_REPLAY_SQL
+from checks.sinks import DRIFT_BY_PLACE_SQL
 from dayscout.functions import drift_rules as rules
 from dayscout.functions import scoring
 from dayscout.operators.aggregates import cluster_stats, outliers
@@ -27,12 +27,12 @@ _RAW3 = ("temp_mean_3d", "precip_sum_3d", "wind_max_3d")
 
 @check(
     "comfort_score",
-    f"SELECT city, feature_date, round({comfort_sql(*_RAW3)}, 6) AS score FROM raw_features",
+    f"SELECT city, feature_date, round({comfort_sql(*_RAW3)} + 1e-9, 6) AS score FROM raw_features",
 )
 def comfort_score(spark, d):
-    score = scoring.comfort_score(*[F.col(x) for x in _RAW3], digits=6)
+    score = scoring.comfort_score(*[F.col(x) for x in _RAW3], digits=None)
     return rolling_raw(c.obs(spark, d)).select(
-        "city", F.col("date").alias("feature_date"), score.alias("score")
+        "city", F.col("date").alias("feature_date"), c.r6(score).alias("score")
     )
 
 
@@ -41,12 +41,13 @@ _P = profile_sql(*[f"f.{x}" for x in _RAW3])
 
 @check(
     "profile_score",
-    f"""SELECT f.city, f.feature_date, q.profile_name, round({_P}, 6) AS comfort_score
+    f"""SELECT f.city, f.feature_date, q.profile_name, round({_P} + 1e-9, 6) AS comfort_score
         FROM raw_features f CROSS JOIN profiles q""",
 )
 def profile_score(spark, d):
     raw = rolling_raw(c.obs(spark, d)).withColumnRenamed("date", "feature_date")
-    return score_profiles(raw, c.PROFILES, digits=6)
+    scored = score_profiles(raw, c.PROFILES, digits=None)
+    return scored.withColumn("comfort_score", c.r6("comfort_score"))
 
 
 def _rule_sql(t, p, w):
@@ -74,14 +75,14 @@ def _daily_cluster_score(spark, d, form):
     stats = cluster_stats(c.clustered(spark, d), ["feature_date"])
     means = [F.col(x) for x in ("avg_temp", "avg_precip", "avg_wind")]
     return stats.select(
-        "feature_date", "cluster_id", F.round(form(*means), 6).alias("cluster_comfort")
+        "feature_date", "cluster_id", c.r6(form(*means)).alias("cluster_comfort")
     )
 
 
 @check(
     "cluster_comfort_gauss",
     f"""WITH {_STATS} SELECT feature_date, cluster_id, round(50*exp(-0.5*((t-18)/6)*((t-18)/6))
-        + 30*exp(-p/10) + 20*exp(-w/20), 6) AS cluster_comfort FROM st""",
+        + 30*exp(-p/10) + 20*exp(-w/20) + 1e-9, 6) AS cluster_comfort FROM st""",
 )
 def cluster_comfort_gauss(spark, d):
     return _daily_cluster_score(spark, d, scoring.cluster_comfort_gauss)
@@ -90,7 +91,7 @@ def cluster_comfort_gauss(spark, d):
 @check(
     "cluster_comfort_linear",
     f"""WITH {_STATS} SELECT feature_date, cluster_id, round(greatest(0, 30-p)
-        + greatest(0, 20-abs(t-18)) + greatest(0, 15-w/3), 6) AS cluster_comfort FROM st""",
+        + greatest(0, 20-abs(t-18)) + greatest(0, 15-w/3) + 1e-9, 6) AS cluster_comfort FROM st""",
 )
 def cluster_comfort_linear(spark, d):
     return _daily_cluster_score(spark, d, scoring.cluster_comfort_linear)
@@ -113,37 +114,37 @@ PREDICTED_SQL = f"""predicted AS (SELECT city, feature_date, comfort_score AS ac
 
 @check(
     "clip_predictions",
-    f"WITH {PREDICTED_SQL} SELECT city, feature_date, round(predicted, 6) AS predicted FROM predicted",
+    f"WITH {PREDICTED_SQL} SELECT city, feature_date, round(predicted + 1e-9, 6) AS predicted FROM predicted",
 )
 def clip_predictions(spark, d):
     return predicted(spark, d).select(
-        "city", "feature_date", F.round("predicted", 6).alias("predicted")
+        "city", "feature_date", c.r6("predicted").alias("predicted")
     )
 
 
 @check(
     "prediction_error",
-    f"""WITH {PREDICTED_SQL} SELECT city, feature_date, round(abs(predicted-actual), 6) AS error
+    f"""WITH {PREDICTED_SQL} SELECT city, feature_date, round(abs(predicted-actual) + 1e-9, 6) AS error
         FROM predicted""",
 )
 def prediction_error(spark, d):
     error = scoring.absolute_error(F.col("predicted"), F.col("comfort_score"))
-    return predicted(spark, d).select("city", "feature_date", F.round(error, 6).alias("error"))
+    return predicted(spark, d).select("city", "feature_date", c.r6(error).alias("error"))
 
 
 def _replayed(spark, d):
-    return drift.replay_feature_drift(c.features(spark, d))
+    return drift.replay_feature_drift(c.features(spark, d), by=["city"])
 
 
 @check(
     "severity_tier",
-    f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, metric_name, round(ks_statistic, 6) AS ks_statistic,
+    f"""WITH {DRIFT_BY_PLACE_SQL} SELECT city, check_date, metric_name, round(ks_statistic + 1e-9, 6) AS ks_statistic,
         severity FROM log""",
 )
 def severity_tier(spark, d):
     tier = rules.severity(F.col("drift_detected"), F.col("ks_statistic"), F.col("threshold"))
     return _replayed(spark, d).where(F.col("reason").isNull()).select(
-        "check_date", "metric_name", F.round("ks_statistic", 6).alias("ks_statistic"),
+        "city", "check_date", "metric_name", c.r6("ks_statistic").alias("ks_statistic"),
         tier.alias("severity"),
     )
 
@@ -153,9 +154,13 @@ def severity_tier(spark, d):
     """SELECT metric_name, CASE WHEN metric_name LIKE '%temp%' THEN 0.35::DOUBLE
          WHEN metric_name LIKE '%precip%' THEN 0.5::DOUBLE ELSE 0.4::DOUBLE END AS threshold,
          count(value) AS n_values
-       FROM (UNPIVOT INCLUDE NULLS features ON temp_mean_7d, temp_mean_3d, precip_sum_7d,
-             precip_sum_3d, wind_max_7d, wind_max_3d, comfort_score
-             INTO NAME metric_name VALUE value) GROUP BY 1, 2""",
+       FROM (SELECT 'temp_mean_7d' AS metric_name, temp_mean_7d AS value FROM features
+         UNION ALL SELECT 'temp_mean_3d', temp_mean_3d FROM features
+         UNION ALL SELECT 'precip_sum_7d', precip_sum_7d FROM features
+         UNION ALL SELECT 'precip_sum_3d', precip_sum_3d FROM features
+         UNION ALL SELECT 'wind_max_7d', wind_max_7d FROM features
+         UNION ALL SELECT 'wind_max_3d', wind_max_3d FROM features
+         UNION ALL SELECT 'comfort_score', comfort_score FROM features) GROUP BY 1, 2""",
 )
 def threshold_route(spark, d):
     """Every stored column with the threshold its name leads to."""
@@ -222,24 +227,24 @@ def filter_in_list(spark, d):
 
 @check(
     "mean_shift",
-    f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, metric_name, round(shift, 6) AS mean_shift
+    f"""WITH {DRIFT_BY_PLACE_SQL} SELECT city, check_date, metric_name, round(shift + 1e-9, 6) AS mean_shift
         FROM flagged WHERE baseline_n > 0 AND current_n > 0""",
 )
 def mean_shift(spark, d):
     return _replayed(spark, d).where(F.col("reason").isNull()).select(
-        "check_date", "metric_name", F.round("mean_shift_std", 6).alias("mean_shift")
+        "city", "check_date", "metric_name", c.r6("mean_shift_std").alias("mean_shift")
     )
 
 
 @check(
     "feature_drift_flag",
-    f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, metric_name, drift_detected,
+    f"""WITH {DRIFT_BY_PLACE_SQL} SELECT city, check_date, metric_name, drift_detected,
           CAST((ks_statistic > threshold)::INT + (shift > 2.5)::INT AS INTEGER) AS n_reasons
         FROM flagged WHERE baseline_n > 0 AND current_n > 0""",
 )
 def feature_drift_flag(spark, d):
     return _replayed(spark, d).where(F.col("reason").isNull()).select(
-        "check_date", "metric_name", "drift_detected", F.size("reasons").alias("n_reasons")
+        "city", "check_date", "metric_name", "drift_detected", F.size("reasons").alias("n_reasons")
     )
 
 
@@ -255,12 +260,12 @@ history AS (SELECT model_type, metric_name, count(*) AS n_runs, avg(metric_value
 @check(
     "performance_drop",
     f"""WITH {HISTORY_SQL} SELECT model_type, metric_name,
-          round((historical_mean-champion_value)/historical_mean, 6) AS performance_drop,
+          round((historical_mean-champion_value)/historical_mean + 1e-9, 6) AS performance_drop,
           (historical_mean-champion_value)/historical_mean > 0.1 AS degraded FROM history""",
 )
 def performance_drop(spark, d):
     drop = rules.performance_drop(F.col("historical_mean"), F.col("champion_value"))
     return history_stats(c.runs(spark, d)).select(
-        "model_type", "metric_name", F.round(drop, 6).alias("performance_drop"),
+        "model_type", "metric_name", c.r6(drop).alias("performance_drop"),
         rules.performance_degraded(drop).alias("degraded"),
     )

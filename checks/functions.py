@@ -142,19 +142,19 @@ def json_metadata(spark, d):
 
 @check(
     "math_core",
-    """SELECT city, date, round(exp(-precipitation/5), 6) AS decayed,
-         round(abs(temp_min-20), 6) AS distance, round(sqrt(wind_speed_max), 6) AS root,
-         round(pow(temp_max, 2), 6) AS squared, round(temp_max*wind_gusts_max/7, 2) AS rounded,
+    """SELECT city, date, round(exp(-precipitation/5) + 1e-9, 6) AS decayed,
+         round(abs(temp_min-20) + 1e-9, 6) AS distance, round(sqrt(wind_speed_max) + 1e-9, 6) AS root,
+         round(pow(temp_max, 2) + 1e-9, 6) AS squared, round(temp_max*wind_gusts_max/7, 2) AS rounded,
          greatest(0, least(30, temp_min)) AS clipped FROM obs""",
 )
 def math_core(spark, d):
     return c.obs(spark, d).select(
         "city",
         "date",
-        F.round(scoring.decay(F.col("precipitation"), 5), 6).alias("decayed"),
-        F.round(F.abs(F.col("temp_min") - 20), 6).alias("distance"),
-        F.round(F.sqrt("wind_speed_max"), 6).alias("root"),
-        F.round(F.pow("temp_max", 2), 6).alias("squared"),
+        c.r6(scoring.decay(F.col("precipitation"), 5)).alias("decayed"),
+        c.r6(F.abs(F.col("temp_min") - 20)).alias("distance"),
+        c.r6(F.sqrt("wind_speed_max")).alias("root"),
+        c.r6(F.pow("temp_max", 2)).alias("squared"),
         F.round(F.col("temp_max") * F.col("wind_gusts_max") / 7, 2).alias("rounded"),
         scoring.clip_score(F.col("temp_min"), 0.0, 30.0).alias("clipped"),
     )

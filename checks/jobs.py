@@ -211,15 +211,15 @@ _SAMPLES = """long AS (SELECT feature_date, 'temp_mean_3d' AS m, temp_mean_3d AS
 
 @check(
     "feature_drift",
-    f"""WITH {_SAMPLES} SELECT m AS metric_name, baseline_n, current_n, round(bm, 6) AS baseline_mean,
-          round(cm, 6) AS current_mean, round(k, 6) AS ks_statistic, round(shift, 6) AS mean_shift_std,
+    f"""WITH {_SAMPLES} SELECT m AS metric_name, baseline_n, current_n, round(bm + 1e-9, 6) AS baseline_mean,
+          round(cm + 1e-9, 6) AS current_mean, round(k + 1e-9, 6) AS ks_statistic, round(shift + 1e-9, 6) AS mean_shift_std,
           threshold, k > threshold OR shift > 2.5 AS drift_detected FROM cmp WHERE m <> 'leisure'""",
 )
 def feature_drift(spark, d):
     found = drift.detect_feature_drift(c.features(spark, d), c.as_of(spark, d))
     rounded = ("baseline_mean", "current_mean", "ks_statistic", "mean_shift_std")
     return found.select(
-        "metric_name", "baseline_n", "current_n", *[F.round(x, 6).alias(x) for x in rounded],
+        "metric_name", "baseline_n", "current_n", *[c.r6(x).alias(x) for x in rounded],
         "threshold", "drift_detected",
     )
 
@@ -227,27 +227,27 @@ def feature_drift(spark, d):
 @check(
     "model_drift",
     f"""WITH {HISTORY_SQL} SELECT model_type, metric_name, n_runs,
-          round((historical_mean-champion_value)/historical_mean, 6) AS performance_drop,
+          round((historical_mean-champion_value)/historical_mean + 1e-9, 6) AS performance_drop,
           (historical_mean-champion_value)/historical_mean > 0.1 AS drift_detected FROM history""",
 )
 def model_drift_job(spark, d):
     return model_drift(c.runs(spark, d)).select(
         "model_type", "metric_name", "n_runs",
-        F.round("performance_drop", 6).alias("performance_drop"), "drift_detected",
+        c.r6("performance_drop").alias("performance_drop"), "drift_detected",
     )
 
 
 @check(
     "prediction_drift",
-    f"""WITH {_SAMPLES} SELECT m AS profile_name, baseline_n, current_n, round(bm, 6) AS baseline_mean,
-          round(cm, 6) AS current_mean, round(k, 6) AS ks_statistic, k > 0.4 AS drift_detected
+    f"""WITH {_SAMPLES} SELECT m AS profile_name, baseline_n, current_n, round(bm + 1e-9, 6) AS baseline_mean,
+          round(cm + 1e-9, 6) AS current_mean, round(k + 1e-9, 6) AS ks_statistic, k > 0.4 AS drift_detected
         FROM cmp WHERE m = 'leisure'""",
 )
 def prediction_drift(spark, d):
     found = drift.detect_prediction_drift(c.scores(spark, d), c.as_of(spark, d))
     rounded = ("baseline_mean", "current_mean", "ks_statistic")
     return found.select(
-        "profile_name", "baseline_n", "current_n", *[F.round(x, 6).alias(x) for x in rounded],
+        "profile_name", "baseline_n", "current_n", *[c.r6(x).alias(x) for x in rounded],
         "drift_detected",
     )
 
@@ -268,11 +268,11 @@ def _checks(spark, d):
 
 @check(
     "drift_report",
-    f"WITH {_CHECKS} SELECT section, name, round(score, 6) AS score, drift_detected FROM all_checks",
+    f"WITH {_CHECKS} SELECT section, name, round(score + 1e-9, 6) AS score, drift_detected FROM all_checks",
 )
 def drift_report(spark, d):
     return _checks(spark, d).select(
-        "section", "name", F.round("score", 6).alias("score"), "drift_detected"
+        "section", "name", c.r6("score").alias("score"), "drift_detected"
     )
 
 

@@ -22,7 +22,7 @@ def _window(spark, d):
 
 
 _Z = ", ".join(
-    f"round(({x}-(SELECT avg({x}) FROM t))/(SELECT stddev_pop({x}) FROM t), 6) AS {x}_z"
+    f"round(({x}-(SELECT avg({x}) FROM t))/(SELECT stddev_pop({x}) FROM t) + 1e-9, 6) AS {x}_z"
     for x in CLUSTER_FEATURES
 )
 
@@ -37,7 +37,7 @@ def standard_scale(spark, d):
     )
     scaled = ml.standard_scale(rows, CLUSTER_FEATURES)
     return scaled.select(
-        "city", "feature_date", *[F.round(f"{x}_z", 6).alias(f"{x}_z") for x in CLUSTER_FEATURES]
+        "city", "feature_date", *[c.r6(f"{x}_z").alias(f"{x}_z") for x in CLUSTER_FEATURES]
     )
 
 
@@ -74,7 +74,7 @@ def _silhouette_sql(points: str) -> str:
         min(CASE WHEN other <> d.cluster_id THEN t/n END) b
         FROM dist d JOIN size s ON s.cluster_id = d.other GROUP BY 1, 2),
       sc AS (SELECT cluster_id, CASE WHEN own = 1 OR b IS NULL THEN 0 ELSE (b-a)/greatest(a, b) END s FROM ab)
-      SELECT cluster_id, round(avg(s), 6) AS silhouette_score, count(*) AS n_points FROM sc GROUP BY 1"""
+      SELECT cluster_id, round(avg(s) + 1e-9, 6) AS silhouette_score, count(*) AS n_points FROM sc GROUP BY 1"""
 
 
 @check(
@@ -88,7 +88,7 @@ def silhouette_exact(spark, d):
         F.col("embedding").alias("features"),
     )
     found = silhouette_by_cluster(points, block_points=256)
-    return found.withColumn("silhouette_score", F.round("silhouette_score", 6))
+    return found.withColumn("silhouette_score", c.r6("silhouette_score"))
 
 
 @check(
@@ -105,7 +105,7 @@ def silhouette_newest_date(spark, d):
         F.col("city").alias("id"), "cluster_id", F.array(*CLUSTER_FEATURES).alias("features")
     )
     found = silhouette_by_cluster(points)
-    return found.withColumn("silhouette_score", F.round("silhouette_score", 6))
+    return found.withColumn("silhouette_score", c.r6("silhouette_score"))
 
 
 @check("silhouette_scalable")

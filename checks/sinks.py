@@ -115,50 +115,53 @@ def append_run_log(spark, d):
 
 
 # Feature samples of every weekly check, and the drift figures from them, in plain SQL.
-DRIFT_REPLAY_SQL = """checks AS (
+_REPLAY = """checks AS (
   SELECT DISTINCT CAST(DATE '1970-01-01' + CAST(ceil((f.feature_date - DATE '1970-01-01')/7.0)*7 + 7*k
     AS INTEGER) AS DATE) AS check_date
   FROM features f CROSS JOIN range(0, 6) t(k)),
 long AS (
-  SELECT feature_date, 'temp_mean_3d' AS metric_name, temp_mean_3d AS value FROM features
-  UNION ALL SELECT feature_date, 'precip_sum_3d', precip_sum_3d FROM features
-  UNION ALL SELECT feature_date, 'wind_max_3d', wind_max_3d FROM features),
+  SELECT @feature_date, 'temp_mean_3d' AS metric_name, temp_mean_3d AS value FROM features
+  UNION ALL SELECT @feature_date, 'precip_sum_3d', precip_sum_3d FROM features
+  UNION ALL SELECT @feature_date, 'wind_max_3d', wind_max_3d FROM features),
 samples AS (
-  SELECT check_date, metric_name, value, FALSE AS is_current FROM checks JOIN long
+  SELECT @check_date, metric_name, value, FALSE AS is_current FROM checks JOIN long
     ON feature_date BETWEEN check_date - 35 AND check_date - 7 WHERE value IS NOT NULL
   UNION ALL
-  SELECT check_date, metric_name, value, TRUE FROM checks JOIN long
+  SELECT @check_date, metric_name, value, TRUE FROM checks JOIN long
     ON feature_date BETWEEN check_date - 7 AND check_date WHERE value IS NOT NULL),
 sized AS (SELECT *, count(*) FILTER (WHERE NOT is_current) OVER g AS nb,
     count(*) FILTER (WHERE is_current) OVER g AS nc FROM samples
   WHERE check_date <= (SELECT max(feature_date) FROM features)
-  WINDOW g AS (PARTITION BY check_date, metric_name)),
-steps AS (SELECT check_date, metric_name, nb, nc,
+  WINDOW g AS (PARTITION BY @check_date, metric_name)),
+steps AS (SELECT @check_date, metric_name, nb, nc,
     count(*) FILTER (WHERE NOT is_current) OVER v AS cb,
     count(*) FILTER (WHERE is_current) OVER v AS cc FROM sized
-  WINDOW v AS (PARTITION BY check_date, metric_name ORDER BY value
+  WINDOW v AS (PARTITION BY @check_date, metric_name ORDER BY value
     RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
-ks AS (SELECT check_date, metric_name,
+ks AS (SELECT @check_date, metric_name,
     max(abs(cb::DOUBLE/nullif(nb, 0) - cc::DOUBLE/nullif(nc, 0))) AS ks_statistic
-  FROM steps GROUP BY 1, 2),
-summary AS (SELECT check_date, metric_name,
+  FROM steps GROUP BY @check_date, metric_name),
+summary AS (SELECT @check_date, metric_name,
     count(*) FILTER (WHERE NOT is_current) AS baseline_n,
     count(*) FILTER (WHERE is_current) AS current_n,
     avg(value) FILTER (WHERE NOT is_current) AS baseline_mean,
     avg(value) FILTER (WHERE is_current) AS current_mean,
     stddev_pop(value) FILTER (WHERE NOT is_current) AS baseline_std
-  FROM sized GROUP BY 1, 2),
+  FROM sized GROUP BY @check_date, metric_name),
 drifts AS (SELECT s.*, k.ks_statistic,
     CASE WHEN baseline_std > 0 THEN abs(current_mean-baseline_mean)/baseline_std
          ELSE 0 END AS shift,
     CASE WHEN metric_name LIKE '%temp%' THEN 0.35::DOUBLE WHEN metric_name LIKE '%precip%'
          THEN 0.5::DOUBLE ELSE 0.4::DOUBLE END AS threshold
-  FROM summary s JOIN ks k USING (check_date, metric_name)),
+  FROM summary s JOIN ks k USING (@check_date, metric_name)),
 flagged AS (SELECT *, baseline_n > 0 AND current_n > 0
     AND coalesce(ks_statistic > threshold OR shift > 2.5, FALSE) AS drift_detected FROM drifts),
 log AS (SELECT *, CASE WHEN NOT drift_detected THEN 'none' WHEN ks_statistic < threshold*1.5 THEN 'minor'
     WHEN ks_statistic < threshold*2 THEN 'major' ELSE 'critical' END AS severity
   FROM flagged WHERE baseline_n > 0 AND current_n > 0)"""
+# Over all places together, and for each place on its own.
+DRIFT_REPLAY_SQL = _REPLAY.replace("@", "")
+DRIFT_BY_PLACE_SQL = _REPLAY.replace("@", "city, ")
 
 
 def drift_log(spark, d):
@@ -167,11 +170,18 @@ def drift_log(spark, d):
     return drift.drift_log_rows(found, F.col("check_date"))
 
 
+def drift_log_by_place(spark, d):
+    """The same with one check per place; the metric is named metric:place."""
+    found = drift.replay_feature_drift(c.features(spark, d), by=["city"])
+    named = found.withColumn("metric_name", F.concat_ws(":", "metric_name", "city"))
+    return drift.drift_log_rows(named, F.col("check_date"))
+
+
 @check(
     "append_drift_log",
     f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, 'feature' AS check_type, metric_name,
-      round(current_mean, 6) AS metric_value, round(baseline_mean, 6) AS baseline_value,
-      round(ks_statistic, 6) AS drift_score, drift_detected, threshold AS threshold_used,
+      round(current_mean + 1e-9, 6) AS metric_value, round(baseline_mean + 1e-9, 6) AS baseline_value,
+      round(ks_statistic + 1e-9, 6) AS drift_score, drift_detected, threshold AS threshold_used,
       severity AS drift_severity, baseline_n AS baseline_samples FROM log""",
 )
 def append_drift_log(spark, d):
@@ -179,7 +189,7 @@ def append_drift_log(spark, d):
         F.col("check_timestamp").cast("date").alias("check_date"),
         "check_type",
         "metric_name",
-        *[F.round(x, 6).alias(x) for x in ("metric_value", "baseline_value", "drift_score")],
+        *[c.r6(x).alias(x) for x in ("metric_value", "baseline_value", "drift_score")],
         "drift_detected",
         "threshold_used",
         "drift_severity",

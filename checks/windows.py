@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks import common as c
 from checks.common import check
 from checks.expressions import PREDICTED_SQL, RULE_SQL, predicted
-from checks.sinks import DRIFT_REPLAY_SQL, drift_log
+from checks.sinks import DRIFT_BY_PLACE_SQL, drift_log_by_place
 from dayscout.functions.scoring import absolute_error
 from dayscout.operators import runlog
 from dayscout.operators.aggregates import cluster_stats
@@ -176,20 +176,21 @@ def top3_pivot(spark, d):
 
 @check(
     "drift_trend",
-    f"""WITH {DRIFT_REPLAY_SQL} SELECT metric_name, check_date, round(ks_statistic, 6) AS drift_score,
-          round(ks_statistic - lag(ks_statistic) OVER (PARTITION BY metric_name ORDER BY check_date), 6)
-            AS change, drift_detected FROM log""",
+    f"""WITH {DRIFT_BY_PLACE_SQL} SELECT metric_name||':'||city AS metric_name, check_date,
+          round(ks_statistic + 1e-9, 6) AS drift_score,
+          round(ks_statistic - lag(ks_statistic) OVER (PARTITION BY city, metric_name
+            ORDER BY check_date) + 1e-9, 6) AS change, drift_detected FROM log""",
 )
 def drift_trend(spark, d):
     from pyspark.sql import Window
 
-    log = drift_log(spark, d)
+    log = drift_log_by_place(spark, d)
     before = F.lag("drift_score").over(Window.partitionBy("metric_name").orderBy("check_timestamp"))
     return log.select(
         "metric_name",
         F.col("check_timestamp").cast("date").alias("check_date"),
-        F.round("drift_score", 6).alias("drift_score"),
-        F.round(F.col("drift_score") - before, 6).alias("change"),
+        c.r6("drift_score").alias("drift_score"),
+        c.r6(F.col("drift_score") - before).alias("change"),
         "drift_detected",
     )
 
@@ -224,8 +225,8 @@ def top_n_places(spark, d):
 
 @check(
     "top_n_predicted",
-    f"""WITH {PREDICTED_SQL} SELECT city, feature_date, round(predicted, 6) AS predicted,
-          round(abs(predicted-actual), 6) AS error FROM predicted
+    f"""WITH {PREDICTED_SQL} SELECT city, feature_date, round(predicted + 1e-9, 6) AS predicted,
+          round(abs(predicted-actual) + 1e-9, 6) AS error FROM predicted
         ORDER BY predicted.predicted DESC, city, feature_date LIMIT 5""",
 )
 def top_n_predicted(spark, d):
@@ -233,8 +234,8 @@ def top_n_predicted(spark, d):
     best = top_n(rows, [*by_score("predicted"), F.col("feature_date")], 5)
     error = absolute_error(F.col("predicted"), F.col("comfort_score"))
     return best.select(
-        "city", "feature_date", F.round("predicted", 6).alias("predicted"),
-        F.round(error, 6).alias("error"),
+        "city", "feature_date", c.r6("predicted").alias("predicted"),
+        c.r6(error).alias("error"),
     )
 
 

@@ -79,14 +79,15 @@ def kolmogorov_p_value(ks: Column, n1: Column, n2: Column, terms: int = 24) -> C
 
     For the logged metadata only; no decision depends on it.
     """
-    en = F.sqrt(n1 * n2 / (n1 + n2))
+    en = F.nullif(F.sqrt(n1 * n2 / F.nullif(n1 + n2, F.lit(0))), F.lit(0.0))
     lam = (en + 0.12 + 0.11 / en) * ks
     series = sum(
         ((1.0 if k % 2 else -1.0) * F.exp(-2.0 * k * k * lam * lam) for k in range(1, terms + 1)),
         start=F.lit(0.0),
     )
     # Below 0.3 the tail is 1 to five digits and the alternating series converges badly.
-    return F.when(lam < 0.3, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * series)))
+    tail = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * series))
+    return F.when(lam < 0.3, 1.0).when(lam.isNotNull(), tail)
 
 
 def baseline_bounds(as_of: Column) -> tuple[Column, Column]:

@@ -93,7 +93,7 @@ def amenities(tags: Column) -> Column:
 
 
 def split_amenities(x: Column) -> Column:
-    return F.transform(F.split(x, ","), F.trim)
+    return F.transform(F.split(x, ","), lambda part: F.trim(part))
 
 
 def capitalised_label(icon: Column, name: Column) -> Column:

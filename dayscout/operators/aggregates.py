@@ -97,9 +97,9 @@ def cluster_stats(
     return rows.groupBy(*group, "cluster_id").agg(F.count("*").alias("size"), *out)
 
 
-def cluster_members(rows: DataFrame) -> DataFrame:
+def cluster_members(rows: DataFrame, key: Sequence[str] = ("city",)) -> DataFrame:
     """The places of each cluster, as rows: a cluster may hold any share of them."""
-    return rows.select("cluster_id", "city")
+    return rows.select("cluster_id", *key)
 
 
 def cluster_breakdown(stats: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayscout.functions.geo import Grid, haversine
@@ -75,11 +75,21 @@ def fresh_places(pois: DataFrame, as_of: When, days: int = FRESH_DAYS) -> DataFr
 def stale_places(
     top: DataFrame, pois: DataFrame, as_of: When, fallback: int = 2, days: int = FRESH_DAYS
 ) -> DataFrame:
-    """Top places without fresh data; if every one is fresh, the first ``fallback``."""
-    stale = top.join(fresh_places(pois, as_of, days), "city", "left_anti").select("city", "score")
-    n_stale = stale.agg(F.count("*")).scalar()
-    first = top_n(top, by_score("score"), fallback).where(n_stale == 0)
-    return stale.unionByName(first.select("city", "score"))
+    """Top places without fresh data; if every one is fresh, the first ``fallback``.
+
+    ``top`` is a top-n, so the unpartitioned windows see a handful of rows; one pass
+    over it does for both cases.
+    """
+    fresh = fresh_places(pois, as_of, days).withColumn("_fresh", F.lit(True))
+    is_stale = F.col("_fresh").isNull()
+    position = F.row_number().over(Window.partitionBy().orderBy(*by_score("score")))
+    n_stale = F.count_if(is_stale).over(Window.partitionBy())
+    return (
+        top.join(fresh, "city", "left")
+        .select("city", "score", "_fresh", position.alias("_position"), n_stale.alias("_stale"))
+        .where(is_stale | ((F.col("_stale") == 0) & (F.col("_position") <= fallback)))
+        .select("city", "score")
+    )
 
 
 def set_difference(top: DataFrame, done: DataFrame) -> DataFrame:

@@ -17,8 +17,10 @@ def score_profiles(
     profiles: Sequence[Profile] = tuple(SEED_PROFILES),
     inputs: Sequence[str] = tuple(REGRESSION_FEATURES),
     digits: int | None = 2,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(city, feature_date, profile_name, comfort_score), one row per profile.
+    """(city, feature_date, profile_name, comfort_score), one row per profile, next to
+    the columns in ``keep``.
 
     The profiles are configuration, so their parameters are folded into one
     expression per profile and the fan-out is an ``inline`` of a fixed array: a narrow
@@ -34,7 +36,7 @@ def score_profiles(
             for p in profiles
         ]
     )
-    return features.select("city", "feature_date", F.inline(scored))
+    return features.select("city", "feature_date", *keep, F.inline(scored))
 
 
 def with_default_score(

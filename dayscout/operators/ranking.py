@@ -13,54 +13,55 @@ from dayscout.functions.scoring import cluster_comfort_gauss, cluster_comfort_li
 
 
 def rank_within(
-    rows: DataFrame, group: Sequence[str], score: str, tie: str = "city", out: str = "rank"
+    rows: DataFrame,
+    group: Sequence[str],
+    score: str,
+    tie: str = "city",
+    out: str = "rank",
+    initials: int = 3,
 ) -> DataFrame:
     """Rank 1..n in each group by score descending, then by ``tie`` ascending.
 
     A group may be any size (all places of one hot date), so it is never sorted in one
-    task. Rows are numbered inside (group, score, first letters of the tie column);
-    the rows ahead of such a cell come from cell counts. Scores are rounded to two
-    decimals in 0..100, so a group has at most about ten thousand distinct scores, and
-    a score at most as many initials as place names have.
+    task. Rows are numbered inside cells of (group, score, first letters of the tie
+    column), and the rows ahead of a cell come from cell counts. Scores are rounded
+    to two decimals in 0..100, so a group has about ten thousand distinct scores at
+    most, and a score as many cells as place names have initials.
     """
     cell = [*group, score, "_initial"]
-    cells = rows.withColumn("_initial", F.substring(F.col(tie), 1, 3))
+    cells = rows.withColumn("_initial", F.substring(F.col(tie), 1, initials))
+    sizes = cells.groupBy(*cell).agg(F.count("*").alias("_size"))
+    by_score = sizes.groupBy(*group, score).agg(
+        F.sum("_size").alias("_in_score"),
+        F.array_sort(F.collect_list(F.struct("_initial", "_size"))).alias("_cells"),
+    )
+    higher = Window.partitionBy(*group).orderBy(F.col(score).desc_nulls_last())
+    ahead_scores = F.sum("_in_score").over(higher.rowsBetween(Window.unboundedPreceding, -1))
+    placed = by_score.select(
+        *group, score, "_cells", F.coalesce(ahead_scores, F.lit(0)).alias("_ahead")
+    ).select(*group, score, F.inline(_running_offsets(F.col("_cells"), F.col("_ahead"))))
     numbered = cells.withColumn(
         "_n", F.row_number().over(Window.partitionBy(*cell).orderBy(tie))
     )
-    sizes = numbered.groupBy(*cell).agg(F.max("_n").alias("_size"))
-    in_score = Window.partitionBy(*group, score).orderBy("_initial")
-    ahead_here = (
-        F.sum("_size").over(in_score.rowsBetween(Window.unboundedPreceding, -1))
-    )
-    sizes = sizes.withColumn("_ahead_initials", F.coalesce(ahead_here, F.lit(0)))
-    by_score = (
-        sizes.groupBy(*group, score)
-        .agg(F.sum("_size").alias("_size"))
-        .withColumn(
-            "_ahead_scores",
-            F.coalesce(
-                F.sum("_size").over(
-                    Window.partitionBy(*group)
-                    .orderBy(F.col(score).desc_nulls_last())
-                    .rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("_size")
-    )
-    ahead = (
-        sizes.drop("_size")
-        .alias("s")
-        .join(by_score.alias("b"), _same("s", "b", [*group, score]))
-        .select("s.*", "b._ahead_scores")
-    )
-    position = F.col("_ahead_scores") + F.col("_ahead_initials") + F.col("_n")
     return (
         numbered.alias("n")
-        .join(ahead.alias("a"), _same("n", "a", cell))
-        .select(*[F.col(f"n.{c}") for c in rows.columns], position.cast("int").alias(out))
+        .join(placed.alias("a"), _same("n", "a", cell))
+        .select(
+            *[F.col(f"n.{c}") for c in rows.columns],
+            (F.col("_offset") + F.col("_n")).cast("int").alias(out),
+        )
+    )
+
+
+def _running_offsets(cells: Column, start: Column) -> Column:
+    """Array of (_initial, _offset): the rows ahead of each cell of one score."""
+    sizes = F.transform(cells, lambda x: x["_size"])
+    return F.transform(
+        cells,
+        lambda x, i: F.struct(
+            x["_initial"].alias("_initial"),
+            F.aggregate(F.slice(sizes, F.lit(1), i), start, lambda a, b: a + b).alias("_offset"),
+        ),
     )
 
 

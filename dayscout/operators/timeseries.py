@@ -32,11 +32,12 @@ def _block(day_number: Column) -> Column:
     return F.floor(day_number / BLOCK_DAYS)
 
 
-def rolling_raw(obs: DataFrame) -> DataFrame:
-    """Per (city, date): means, sums and maxima over the last 7 and 3 calendar days.
+def _windowed(obs: DataFrame) -> DataFrame:
+    """Rolling values per (city, date), with the block and the next date inside it.
 
     RANGE frames on the day number, so date gaps count as missing days. One exchange
-    and one sort on (city, block) serve all six windows.
+    and one sort on (city, block) serve all windows. Copied border rows come first in
+    their block, so they never are anyone's next date; they are dropped afterwards.
     """
     number = F.unix_date("date")
     home, last_use = _block(number), _block(number + LONG_DAYS - 1)
@@ -55,28 +56,31 @@ def rolling_raw(obs: DataFrame) -> DataFrame:
         fn(source).over(series.rangeBetween(1 - length, 0)).alias(name)
         for name, source, fn, length in _ROLLING
     ]
-    return (
-        placed.select("city", "date", "_day", "_block", *windows)
-        .where(_block(F.col("_day")) == F.col("_block"))
-        .drop("_day", "_block")
+    following = F.lead("date").over(series).alias("_inside")
+    return placed.select("city", "date", "_day", "_block", following, *windows).where(
+        _block(F.col("_day")) == F.col("_block")
     )
 
 
-def rolling_features(obs: DataFrame, digits: int | None = 2) -> DataFrame:
-    """One feature row per observation: six rolling values and the general score.
+def rolling_raw(obs: DataFrame) -> DataFrame:
+    """Per (city, date): means, sums and maxima over the last 7 and 3 calendar days."""
+    return _windowed(obs).select("city", "date", *ROLLING_COLUMNS)
 
-    The score uses the unrounded 3-day values; the stored windows are rounded.
-    """
-    raw = rolling_raw(obs)
+
+def _feature_columns(digits: int | None) -> list[Column]:
+    """Stored columns: rounded windows, and the score of the unrounded 3-day values."""
     score = comfort_score(
         F.col("temp_mean_3d"), F.col("precip_sum_3d"), F.col("wind_max_3d"), digits=digits
     )
     stored = [
         (F.col(c) if digits is None else F.round(c, digits)).alias(c) for c in ROLLING_COLUMNS
     ]
-    return raw.select(
-        "city", F.col("date").alias("feature_date"), *stored, score.alias("comfort_score")
-    )
+    return [F.col("date").alias("feature_date"), *stored, score.alias("comfort_score")]
+
+
+def rolling_features(obs: DataFrame, digits: int | None = 2) -> DataFrame:
+    """One feature row per observation: six rolling values and the general score."""
+    return rolling_raw(obs).select("city", *_feature_columns(digits))
 
 
 def latest_per_place(features: DataFrame, as_of: When, anchor: str = "as_of") -> DataFrame:
@@ -105,15 +109,15 @@ def latest_per_place(features: DataFrame, as_of: When, anchor: str = "as_of") ->
     )
 
 
-def _with_next_date(features: DataFrame) -> DataFrame:
+def _with_next_date(blocked: DataFrame, seen: DataFrame) -> DataFrame:
     """Adds ``_next``: the place's next observed date, or NULL for its last one.
 
-    Inside a block it is a ``lead``; for a block's last row it is the first date of
-    the place's next non-empty block, from a table with one row per place and block.
+    Needs ``_block`` and ``_inside``, the next date within the block. For a block's last
+    row it is the first date of the place's next non-empty block, from a table with
+    one row per place and block.
     """
-    blocked = features.withColumn("_block", _block(F.unix_date("feature_date")))
     firsts = (
-        blocked.groupBy("city", "_block")
+        seen.groupBy("city", _block(F.unix_date("feature_date")).alias("_block"))
         .agg(F.min("feature_date").alias("_first"))
         .select(
             "city",
@@ -121,34 +125,51 @@ def _with_next_date(features: DataFrame) -> DataFrame:
             F.lead("_first").over(Window.partitionBy("city").orderBy("_block")).alias("_later"),
         )
     )
-    inside = F.lead("feature_date").over(
-        Window.partitionBy("city", "_block").orderBy("feature_date")
-    )
     return (
-        blocked.withColumn("_inside", inside)
-        .join(firsts, ["city", "_block"])
+        blocked.join(firsts, ["city", "_block"])
         .withColumn("_next", F.coalesce("_inside", "_later"))
         .drop("_block", "_inside", "_later")
     )
 
 
-def carry_forward(features: DataFrame) -> DataFrame:
-    """For every distinct date and every place already seen by then: the place's
-    newest feature row at or before that date, stamped with the date.
+def _carried(blocked: DataFrame, seen: DataFrame) -> DataFrame:
+    """Each row repeated on every distinct date up to the place's next row. ``seen``
+    holds the (city, feature_date) keys.
 
-    Each row covers the days up to the place's next row, so the as-of match is an
-    explode plus an equi semi-join with the distinct dates: no theta join.
+    The as-of match is an explode plus an equi semi-join: no theta join. Days between
+    two rows on which nothing was observed anywhere are dropped by the semi-join, which
+    Spark broadcasts as long as the list of days is small.
     """
-    last_day = features.agg(F.max("feature_date")).scalar()
+    last_day = seen.agg(F.max("feature_date")).scalar()
     until = F.coalesce(F.date_sub("_next", 1), last_day)
-    values = [c for c in features.columns if c not in ("city", "feature_date")]
-    covered = _with_next_date(features).select(
+    hidden = ("city", "feature_date", "_block", "_inside")
+    values = [c for c in blocked.columns if c not in hidden]
+    covered = _with_next_date(blocked, seen).select(
         "city",
         F.explode(F.sequence("feature_date", until)).alias("_on"),
         F.col("feature_date").alias("observed_date"),
         *values,
     )
-    dates = features.select(F.col("feature_date").alias("_on")).distinct()
-    return covered.join(dates, "_on", "left_semi").select(
+    wanted = seen.select(F.col("feature_date").alias("_on")).distinct()
+    return covered.join(wanted, "_on", "left_semi").select(
         "city", F.col("_on").alias("feature_date"), "observed_date", *values
     )
+
+
+def carry_forward(features: DataFrame) -> DataFrame:
+    """For every distinct date and every place already seen by then: the place's
+    newest feature row at or before that date, stamped with the date."""
+    inside = F.lead("feature_date").over(
+        Window.partitionBy("city", "_block").orderBy("feature_date")
+    )
+    blocked = features.withColumn("_block", _block(F.unix_date("feature_date"))).withColumn(
+        "_inside", inside
+    )
+    return _carried(blocked, features.select("city", "feature_date"))
+
+
+def rolling_carried(obs: DataFrame, digits: int | None = 2) -> DataFrame:
+    """``carry_forward(rolling_features(obs))`` in one pass: the next date comes from
+    the windows' own exchange and sort."""
+    blocked = _windowed(obs).select("city", "_block", "_inside", *_feature_columns(digits))
+    return _carried(blocked, obs.select("city", F.col("date").alias("feature_date")))

@@ -56,8 +56,10 @@ def replayed_samples(
     features: DataFrame,
     metrics: Sequence[str] = tuple(REGRESSION_FEATURES),
     every_days: int = 7,
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """The samples of every past check, for check dates ``every_days`` apart.
+    """The samples of every past check, for check dates ``every_days`` apart, next to
+    the columns in ``by`` (such as the place).
 
     A day lies in the windows of at most ceil(36 / every_days) checks, so the whole
     history is one bounded fan-out instead of a loop over dates.
@@ -70,10 +72,15 @@ def replayed_samples(
     last = F.least(number + span, F.unix_date(last_day))
     checks = F.when(first <= last, F.sequence(first, last, F.lit(every_days)))
     return (
-        features.select(*metrics, on, F.explode(checks).alias("_check"))
+        features.select(*by, *metrics, on, F.explode(checks).alias("_check"))
         .withColumn("check_date", F.date_from_unix_date("_check"))
-        .select(*metrics, "check_date", F.explode(_sides(on, F.col("check_date"))).alias("is_current"))
-        .select("check_date", "is_current", _unpivot(metrics))
+        .select(
+            *by,
+            *metrics,
+            "check_date",
+            F.explode(_sides(on, F.col("check_date"))).alias("is_current"),
+        )
+        .select(*by, "check_date", "is_current", _unpivot(metrics))
         .where(F.col("value").isNotNull())
     )
 
@@ -126,10 +133,12 @@ def detect_feature_drift(
     return joined.drop("_absent")
 
 
-def replay_feature_drift(features: DataFrame, every_days: int = 7) -> DataFrame:
-    return feature_drift(
-        replayed_samples(features, every_days=every_days), ["check_date", "metric_name"]
-    )
+def replay_feature_drift(
+    features: DataFrame, every_days: int = 7, by: Sequence[str] = ()
+) -> DataFrame:
+    """Feature drift of every past check; with ``by``, of each place on its own."""
+    samples = replayed_samples(features, every_days=every_days, by=by)
+    return feature_drift(samples, [*by, "check_date", "metric_name"])
 
 
 def prediction_samples(scores: DataFrame, as_of: When, profile: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dayscout.operators.profiles import score_profiles, with_default_score
-from dayscout.operators.timeseries import carry_forward, latest_per_place, rolling_features
+from dayscout.operators.timeseries import latest_per_place, rolling_carried, rolling_features
 from dayscout.operators.writes import new_rows, upsert_replace
 from dayscout.schemas import FEATURES, PROFILE_SCORES
 from dayscout.sources.dims import SEED_PROFILES, Profile
@@ -61,7 +61,7 @@ def backfill(obs: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     recomputing the history once per date would give. With ``existing`` only the rows
     whose key is not there yet are returned (insert, ignoring conflicts).
     """
-    rows = carry_forward(rolling_features(observations_history(obs)))
+    rows = rolling_carried(observations_history(obs))
     if existing is None:
         return rows
     return new_rows(existing, rows, FEATURES.key, [F.col("observed_date").desc()])

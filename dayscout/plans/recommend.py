@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from dayscout.functions.scoring import absolute_error, rule_score
 from dayscout.operators.aggregates import cluster_stats
-from dayscout.operators.profiles import join_scores
+from dayscout.operators.profiles import join_scores, score_profiles
 from dayscout.operators.ranking import keep_good_clusters, rank_clusters, rank_within
 from dayscout.operators.writes import retain_since
 from dayscout.schemas import CLUSTER_FEATURES, REGRESSION_FEATURES
+from dayscout.sources.dims import Profile
 from dayscout.sources.scans import When, day, features_on
 
 RETENTION_DAYS = 7
@@ -24,23 +25,35 @@ def complete(features: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def by_profiles(
-    features: DataFrame, scores: DataFrame, assign, form: str = "gauss", keep: int = 2
+    features: DataFrame,
+    scores: DataFrame | Sequence[Profile],
+    assign,
+    form: str = "gauss",
+    keep: int = 2,
 ) -> DataFrame:
     """Cluster filter, then rank by profile score, for all profiles and dates at once.
 
     ``assign`` maps a frame of features to the same frame with ``cluster_id``. The
     clusters depend on features only, so they are found once, not once per profile.
+    ``scores`` is the stored score table, or the profiles themselves: scoring the
+    surviving rows in place is cheaper than a join when the table is not at hand.
     """
     clustered = assign(complete(features, CLUSTER_FEATURES))
     ranked = rank_clusters(cluster_stats(clustered, ["feature_date"]), form, ["feature_date"])
     good = keep_good_clusters(clustered, ranked, keep, ["feature_date"])
-    scored = join_scores(good, scores).where(F.col("profile_name").isNotNull())
+    if isinstance(scores, DataFrame):
+        scored = join_scores(good, scores).where(F.col("profile_name").isNotNull())
+        scored = scored.drop("comfort_score").withColumnRenamed(
+            "comfort_score_profile", "comfort_score"
+        )
+    else:
+        scored = score_profiles(good, scores, keep=["cluster_id"])
     rows = scored.select(
         F.col("feature_date").alias("recommendation_date"),
         "city",
         "profile_name",
         "cluster_id",
-        F.col("comfort_score_profile").alias("comfort_score_pred"),
+        F.col("comfort_score").alias("comfort_score_pred"),
     )
     return rank_within(rows, ["recommendation_date", "profile_name"], "comfort_score_pred")
 
