@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dayscout.operators.learning import (
     ClusterFit,
     RegressionFit,
+    at_once,
     compare_models,
     fit_clusters,
     optimal_k,
@@ -70,8 +71,14 @@ def retrain(
     spark = features.sparkSession
     window = features_window(features, as_of, days_back).persist()
     try:
-        clusters = fit_clusters(newest_rows(window), k)
-        regression = train_regression(window, "gradient_boosting", folds=folds)
+        clusters, regression = at_once(
+            spark,
+            lambda train: train(),
+            [
+                lambda: fit_clusters(newest_rows(window), k),
+                lambda: train_regression(window, "gradient_boosting", folds=folds),
+            ],
+        )
     finally:
         window.unpersist()
     # At most one row per model type.
