@@ -7,7 +7,7 @@ recomputed, from the observations those windows need.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,10 +18,13 @@ from dayscout.sources.forecast import parse_forecasts
 from dayscout.sources.scans import FEATURE_INPUTS
 from dayscout.sources.store import Store
 
-NEWEST_FIRST = [F.col("fetched_at").desc_nulls_last()]
 PAYLOAD_FILE_SCHEMA = "city string, payload string, received_at timestamp"
 
 
+def _newest_first() -> list[Column]:
+    return [F.col("fetched_at").desc_nulls_last()]
+
+
 def payload_stream(spark: SparkSession, path: str, max_files: int = 1000) -> DataFrame:
     return (
         spark.readStream.schema(PAYLOAD_FILE_SCHEMA)
@@ -33,7 +36,7 @@ def payload_stream(spark: SparkSession, path: str, max_files: int = 1000) -> Dat
 def parse_batch(payloads: DataFrame) -> DataFrame:
     """Parsed rows of one micro-batch, one per key: the payload received last wins."""
     rows = parse_forecasts(payloads).withColumnRenamed("received_at", "fetched_at")
-    return one_per_key(rows, OBSERVATIONS.key, NEWEST_FIRST)
+    return one_per_key(rows, OBSERVATIONS.key, _newest_first())
 
 
 def refresh_features(store: Store, touched: DataFrame) -> None:
@@ -58,7 +61,7 @@ def apply_batch(store: Store, payloads: DataFrame) -> None:
     """One micro-batch: upsert observations, then refresh features. Idempotent."""
     batch = parse_batch(payloads).persist()
     try:
-        store.upsert(batch, OBSERVATIONS, NEWEST_FIRST)
+        store.upsert(batch, OBSERVATIONS, _newest_first())
         refresh_features(store, batch.select("city", "date"))
     finally:
         batch.unpersist()
