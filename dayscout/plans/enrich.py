@@ -11,6 +11,7 @@ from dayscout.operators.writes import one_per_key, upsert_replace
 from dayscout.schemas import POIS
 from dayscout.sources.poi_elements import parse_elements
 from dayscout.sources.scans import When, day
+from dayscout.sources.store import shared_dir
 
 
 def targets(recs: DataFrame, pois: DataFrame, as_of: When, n: int = 5) -> DataFrame:
@@ -48,5 +49,9 @@ def enrich(
     radius_m: float = JOB_RADIUS_M,
 ) -> DataFrame:
     """The new state of the points-of-interest table."""
-    fetched = fetch_for_places(targets(recs, pois, as_of), places, elements, as_of, radius_m)
+    shared_dir(recs.sparkSession)
+    # At most n places, then at most k rows for each: written out once, since both the
+    # next step and the upsert refer to them more than once.
+    wanted = targets(recs, pois, as_of).checkpoint()
+    fetched = fetch_for_places(wanted, places, elements, as_of, radius_m).checkpoint()
     return upsert_replace(pois, fetched.select(*pois.columns), POIS.key, by_stars_zero())

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +15,16 @@ from dayscout.schemas import Table
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it in
-    ``spark.checkpoint.dir``. Only where that is unset (tests) a local one is made."""
+    ``spark.checkpoint.dir``; checkpoints and models go there. Only on a local master
+    without that setting (tests) a temporary one is made."""
+    sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
-    named = named or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="dayscout-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    named = named or sc.getConf().get("spark.checkpoint.dir", None)
+    if named is None and sc.getCheckpointDir() is None and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="dayscout-"))
+    return (named or sc.getCheckpointDir()).rstrip("/")
 
 
 class Store:
@@ -75,10 +76,15 @@ class Store:
         read (a semi-join on the partition column prunes the scan) and rewritten."""
         if not table.partition:
             raise ValueError(f"{table.name} is not partitioned")
-        touched = batch.select(table.partition).distinct()
-        old = self.read(table).join(touched, table.partition, "left_semi")
-        merged = upsert_replace(old, _padded(batch, table), table.key, order)
-        self.replace_partitions(merged, table)
+        # The batch is referred to three times below: compute it once.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = batch.select(table.partition).distinct()
+            old = self.read(table).join(touched, table.partition, "left_semi")
+            merged = upsert_replace(old, _padded(batch, table), table.key, order)
+            self.replace_partitions(merged, table)
+        finally:
+            batch.unpersist()
 
     def insert_ignore(self, batch: DataFrame, table: Table, order: Sequence[Column]) -> None:
         """Append the rows whose key is not there yet; existing files stay untouched."""

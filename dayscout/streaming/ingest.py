@@ -16,7 +16,7 @@ from dayscout.operators.writes import one_per_key
 from dayscout.schemas import FEATURES, OBSERVATIONS
 from dayscout.sources.forecast import parse_forecasts
 from dayscout.sources.scans import FEATURE_INPUTS
-from dayscout.sources.store import Store
+from dayscout.sources.store import Store, shared_dir
 
 PAYLOAD_FILE_SCHEMA = "city string, payload string, received_at timestamp"
 
@@ -59,16 +59,14 @@ def refresh_features(store: Store, touched: DataFrame) -> None:
 
 def apply_batch(store: Store, payloads: DataFrame) -> None:
     """One micro-batch: upsert observations, then refresh features. Idempotent."""
-    batch = parse_batch(payloads).persist()
-    try:
-        store.upsert(batch, OBSERVATIONS, _newest_first())
-        refresh_features(store, batch.select("city", "date"))
-    finally:
-        batch.unpersist()
+    batch = parse_batch(payloads).checkpoint()
+    store.upsert(batch, OBSERVATIONS, _newest_first())
+    refresh_features(store, batch.select("city", "date"))
 
 
 def start_ingest(store: Store, payload_path: str, checkpoint: str) -> StreamingQuery:
     """Process all files present, then stop (run again for the next ones)."""
+    shared_dir(store.spark)
     return (
         payload_stream(store.spark, payload_path)
         .writeStream.foreachBatch(lambda df, _epoch: apply_batch(store, df))
