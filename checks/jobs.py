@@ -6,11 +6,11 @@ from checks import common as c
 from checks.common import check, profile_sql
 from checks.expressions import HISTORY_SQL, RULE_SQL
 from checks.joins import DISTANCE_SQL, STALE_SQL
+from checks.learning import champions
 from dayscout.operators import learning as ml
 from dayscout.operators.runlog import model_drift
 from dayscout.plans import dashboard, drift, enrich, features, ingest, recommend, retrain
 from dayscout.sources.dims import SEED_PROFILES
-from dayscout.sources.scans import features_window
 from dayscout.sources.store import shared_dir
 
 _OBS = (
@@ -138,11 +138,13 @@ def recommend_profiles_history(spark, d):
 
 @check("recommend_predicted")
 def recommend_predicted(spark, d):
-    rows = c.daily_features(spark, d)
-    window = features_window(c.features(spark, d), c.as_of(spark, d))
-    clusters = ml.fit_clusters(rows, 4, restarts=3, with_silhouette=False)
-    fit = ml.train_regression(window, folds=None)
-    return recommend.recommend_predicted(rows, c.as_of(spark, d), clusters.assign, fit.predict)
+    clusters, regression = champions(spark, d)
+    return recommend.recommend_predicted(
+        c.daily_features(spark, d),
+        c.as_of(spark, d),
+        lambda rows: ml.assign_clusters(clusters, rows),
+        lambda rows: ml.predict_clipped(regression, rows),
+    )
 
 
 @check(

@@ -7,13 +7,9 @@ from checks.common import check
 from dayscout.functions.geo import haversine
 from dayscout.operators import places as ops
 from dayscout.operators.aggregates import cluster_stats
-from dayscout.operators.profiles import join_scores, score_profiles, with_default_score
+from dayscout.operators.profiles import join_scores, with_default_score
 from dayscout.operators.ranking import keep_good_clusters, rank_clusters
 from dayscout.operators.timeseries import carry_forward
-from dayscout.plans.recommend import complete
-from dayscout.schemas import CLUSTER_FEATURES
-
-_REC = "recommendation_date, city, profile_name, cluster_id, comfort_score_pred, rank"
 
 
 @check("cross_profiles", "SELECT city, feature_date, profile_name, comfort_score FROM scores")

@@ -11,6 +11,7 @@ from dayscout.plans.recommend import complete
 from dayscout.plans.retrain import newest_rows
 from dayscout.schemas import CLUSTER_FEATURES, REGRESSION_FEATURES
 from dayscout.sources.scans import features_all, features_window
+from dayscout.sources.store import shared_dir
 
 
 def _usable(spark, d):
@@ -177,10 +178,36 @@ def feature_importances(spark, d):
     return spark.createDataFrame(fit.importances, "feature string, importance double")
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def champions(spark, d):
+    """The stored cluster and regression models: trained on the first call, as the
+    weekly job would, and loaded from the shared folder by every job that serves them."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _STORED:
+        rows = _window(spark, d)
+        clusters, fit = ml.at_once(
+            spark,
+            lambda train: train(),
+            [
+                lambda: ml.fit_clusters(newest_rows(rows), 4, with_silhouette=False),
+                lambda: ml.train_regression(rows, folds=None),
+            ],
+        )
+        root = f"{shared_dir(spark)}/models/champions-{len(_STORED)}"
+        ml.save_model(clusters.model, f"{root}/kmeans")
+        ml.save_model(fit.model, f"{root}/regression")
+        _STORED[key] = root
+    root = _STORED[key]
+    return ml.load_model(f"{root}/kmeans"), ml.load_model(f"{root}/regression")
+
+
 @check("rank_feature_importance")
 def rank_feature_importance(spark, d):
-    fit = ml.train_regression(_window(spark, d), "gradient_boosting", folds=None)
-    rows = spark.createDataFrame(fit.importances, "feature string, importance double")
+    _, regression = champions(spark, d)
+    ranked = ml.feature_importances(regression, REGRESSION_FEATURES)
+    rows = spark.createDataFrame(ranked, "feature string, importance double")
     return rows.orderBy(F.col("importance").desc(), "feature")
 
 
@@ -206,11 +233,11 @@ def predict_clipped(spark, d):
 @check("score_newest_date")
 def score_newest_date(spark, d):
     """Both models on the newest date: five best, each with its error."""
-    rows = _window(spark, d)
-    clusters = ml.fit_clusters(newest_rows(rows), 4, restarts=3, with_silhouette=False)
-    fit = ml.train_regression(rows, folds=None)
-    today = complete(newest_rows(rows), [*CLUSTER_FEATURES, *REGRESSION_FEATURES])
-    scored = fit.predict(clusters.assign(today))
+    clusters, regression = champions(spark, d)
+    today = complete(
+        newest_rows(_window(spark, d)), [*CLUSTER_FEATURES, *REGRESSION_FEATURES]
+    )
+    scored = ml.predict_clipped(regression, ml.assign_clusters(clusters, today))
     error = F.abs(F.col("predicted") - F.col("comfort_score"))
     overall = scored.agg(F.struct(F.avg(error).alias("mae"), F.sqrt(F.avg(error * error)).alias("rmse")))
     e = overall.scalar()

@@ -61,16 +61,26 @@ def tag_or_default(tags: Column, key: str, default: str) -> Column:
     return F.coalesce(tag(tags, key), F.lit(default))
 
 
+def tag_values(tags: Column, keys: list[str]) -> Column:
+    """The values of several tags in the order of ``keys``, NULL where absent.
+
+    As an array with higher-order functions on top, the expressions below stay small:
+    spelled out per key, the generated code outgrows what the JVM compiles.
+    """
+    return F.transform(F.array(*[F.lit(k) for k in keys]), lambda k: F.try_element_at(tags, k))
+
+
 def star_rating(tags: Column) -> Column:
     """First candidate in 1..5; failing that, the last candidate that parses at all."""
-    parsed = [safe_int(tag(tags, k)) for k in STAR_KEYS]
-    in_range = [F.when(s.between(1, 5), s) for s in parsed]
-    return F.coalesce(*in_range, *reversed(parsed))
+    parsed = F.array_compact(F.transform(tag_values(tags, STAR_KEYS), lambda x: safe_int(x)))
+    in_range = F.filter(parsed, lambda x: x.between(1, 5))
+    return F.coalesce(F.get(in_range, F.lit(0)), F.try_element_at(parsed, F.lit(-1)))
 
 
 def address_line(tags: Column) -> Column:
     """Non-empty address parts joined by ', '; NULL when there are none."""
-    return non_empty(F.concat_ws(", ", *[non_empty(tag(tags, k)) for k in ADDRESS_KEYS]))
+    parts = F.filter(tag_values(tags, ADDRESS_KEYS), lambda x: x != "")
+    return non_empty(F.array_join(parts, ", "))
 
 
 def website(tags: Column) -> Column:
@@ -78,18 +88,18 @@ def website(tags: Column) -> Column:
 
     A tag of blanks only is picked (it is not empty) and becomes the empty string.
     """
-    picked = F.coalesce(*[non_empty(tag(tags, k)) for k in WEBSITE_KEYS])
+    picked = F.get(F.filter(tag_values(tags, WEBSITE_KEYS), lambda x: x != ""), F.lit(0))
     url = F.regexp_replace(picked, r"^\s+|\s+$", "")
-    bare = (url != "") & ~url.startswith("http://") & ~url.startswith("https://")
-    return F.when(bare, F.concat(F.lit("https://"), url)).otherwise(url)
+    return F.regexp_replace(url, r"^(?!https?://)(?=.)", "https://")
 
 
 def amenities(tags: Column) -> Column:
     """Labels of the amenities switched on, comma separated, or NULL."""
-    labels = [
-        F.when(tag(tags, key).isin(AMENITY_ON), F.lit(label)) for key, label in AMENITY_LABELS
-    ]
-    return non_empty(F.concat_ws(",", *labels))
+    known = F.array(
+        *[F.struct(F.lit(k).alias("key"), F.lit(v).alias("label")) for k, v in AMENITY_LABELS]
+    )
+    on = F.filter(known, lambda a: F.try_element_at(tags, a["key"]).isin(AMENITY_ON))
+    return non_empty(F.array_join(on["label"], ","))
 
 
 def split_amenities(x: Column) -> Column:

@@ -21,16 +21,19 @@ def parse_elements(elements: DataFrame, element: str = "element") -> DataFrame:
     Columns of the input other than the JSON text (such as ``city``) are kept.
     """
     kept = [c for c in elements.columns if c != element]
-    parsed = elements.select(*kept, F.from_json(element, ELEMENT_SCHEMA).alias("e"))
-    e, tags = F.col("e"), F.col("e.tags")
+    # As a generator, so the filters below are not pushed into the parsing and the JSON
+    # is read once per element.
+    one = F.array(F.from_json(element, ELEMENT_SCHEMA))
+    parsed = elements.select(*kept, F.inline(one).alias("type", "lat", "lon", "center", "tags"))
+    kind, tags, centre = F.col("type"), F.col("tags"), F.col("center")
     rows = parsed.select(
         *kept,
         text.non_empty(text.tag(tags, "name")).alias("hotel_name"),
         text.tag_or_default(tags, "tourism", "hotel").alias("hotel_type"),
         text.star_rating(tags).alias("stars"),
         text.address_line(tags).alias("address"),
-        text.picked_coordinates(e["type"], e["lat"], e["center"]["lat"]).alias("latitude"),
-        text.picked_coordinates(e["type"], e["lon"], e["center"]["lon"]).alias("longitude"),
+        text.picked_coordinates(kind, F.col("lat"), centre["lat"]).alias("latitude"),
+        text.picked_coordinates(kind, F.col("lon"), centre["lon"]).alias("longitude"),
         text.website(tags).alias("website_url"),
         text.amenities(tags).alias("amenities"),
         F.lit(DATA_SOURCE).alias("data_source"),
