@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dayscout.llm import exact, hilbert, packing, urls
+from dayscout.llm import exact, hilbert, licenses, packing, pii, urls, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +82,51 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+@query
+def op4_winnowing(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.edited_fingerprints(table(spark, folder, "documents"))
+
+
+@query
+def op5_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(table(spark, folder, "documents"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+_TEMPLATE_SQL = ", ".join(
+    f"('{name}', {licenses.template_bigrams(text)!r})" for name, text in licenses.TEMPLATES.items()
+)
+ORACLES["op6_license_scan"] = f"""
+WITH templates(license, grams) AS (VALUES {_TEMPLATE_SQL}),
+lines AS (
+  SELECT doc_id, p.i - 1 AS segment,
+    trim(regexp_replace(lower(p.s), '[^a-z0-9]+', ' ', 'g')) AS s
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents) d,
+    unnest(list_transform(parts, lambda x, i: {{'s': x, 'i': i}})) AS u(p)
+), words AS (
+  SELECT doc_id, segment, string_split(s, ' ') AS w FROM lines
+  WHERE length(s) - length(replace(s, ' ', '')) BETWEEN 1 AND 40
+), grams AS (
+  SELECT doc_id, segment, list_transform(w[1:len(w) - 1], lambda x, i: x || ' ' || w[i + 1]) AS g FROM words
+), bags AS (
+  SELECT doc_id, segment, list_transform(g, lambda x, i:
+    x || CASE WHEN len(list_filter(g[1:i - 1], lambda y: y = x)) > 0
+      THEN '#' || len(list_filter(g[1:i - 1], lambda y: y = x)) ELSE '' END) AS b FROM grams
+), scored AS (
+  SELECT doc_id, segment, license,
+    2.0::DOUBLE * len(list_intersect(b, grams)) / (len(b) + len(grams)) AS score
+  FROM bags, templates
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, segment ORDER BY score DESC, license) AS n FROM scored
+)
+SELECT doc_id, CAST(segment AS INTEGER) AS segment, license, score FROM best WHERE n = 1 AND score >= 0.8
+"""
+
+
 @query
 def op7_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     return hilbert.document_shards(table(spark, folder, "documents"), 16)
