@@ -73,7 +73,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         "edges",
     )
     seen = None
-    for _ in range(max_rounds):
+    for _ in range(0 if now.isEmpty() else max_rounds):
         # large star: link each neighbour above a node to the smallest around the node
         both = now.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             now.select(F.col("b").alias("u"), F.col("a").alias("v"))
@@ -101,6 +101,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             break
         seen = state
     else:
-        raise RuntimeError("components did not settle")
+        if seen is not None:
+            raise RuntimeError("components did not settle")
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(roots)
