@@ -154,11 +154,11 @@ WITH RECURSIVE words AS (
   FROM words
 ), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 pairs AS (
-  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS hits
   FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
 ), links AS (
   SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-  WHERE 100 * both >= 75 * (p.n + q.n - both)
+  WHERE 100 * hits >= 75 * (p.n + q.n - hits)
 ), reach AS (
   SELECT doc_id AS x, doc_id AS y FROM documents
   UNION
