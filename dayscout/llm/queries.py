@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dayscout.llm import exact, hilbert, licenses, ngram_join, packing, pii, urls, winnow
+from dayscout.llm import (
+    exact,
+    hilbert,
+    licenses,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    urls,
+    winnow,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +37,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 #: (host + path, allow?)
 URL_RULES = (
     ("com/", True),
