@@ -12,6 +12,7 @@ from dayscout.llm import (
     licenses,
     ngram_join,
     packing,
+    pieces,
     pii,
     quality,
     urls,
@@ -183,3 +184,8 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
 JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_id
 """
+
+
+@query
+def op10_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.digests(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"), 1.0, 7)
