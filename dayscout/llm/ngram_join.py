@@ -448,3 +448,13 @@ def similar_groups(
             "component_id"
         ),
     )
+
+
+def one_of_each_group(
+    docs: DataFrame, percent: int = 75, size: int = 5, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows whose id is the least of their group, with all columns, and the rows without
+    an id. Edge cases as in ``similar_groups``."""
+    groups = similar_groups(docs, percent, size, id_column, text_column)
+    gone = groups.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("_gone")).distinct()
+    return docs.join(gone, F.col(f"`{id_column}`") == F.col("_gone"), "left_anti")

@@ -206,10 +206,12 @@ def sample(texts: list[str], seeds: list[int], p: Pieces) -> list[np.ndarray]:
     rank = np.empty(len(distinct), np.int64)
     pieces = np.zeros(len(words), np.int64)
     drawn = []
-    for n in np.unique(sizes).tolist():
-        mine = by_size[slice(*np.searchsorted(sizes[by_size], (n, n + 1)))]
+    lengths = np.unique(sizes)
+    mine_ends = np.cumsum(np.bincount(np.searchsorted(lengths, sizes)))[:-1]
+    own_ends = np.cumsum(np.bincount(np.searchsorted(lengths, size)))[:-1]
+    groups = zip(lengths.tolist(), np.split(by_size, mine_ends), np.split(occurrences, own_ends), strict=True)
+    for n, mine, own in groups:
         rank[mine] = np.arange(len(mine))
-        own = occurrences[slice(*np.searchsorted(size[occurrences], (n, n + 1)))]
         lattice = _lattice([distinct[i] for i in mine], p)
         for step, (who, symbols) in enumerate(_draw(lattice, n, rank[which[own]], seed[own], starts[own])):
             pieces[own[who]] += 1

@@ -231,23 +231,9 @@ def fit(rows: DataFrame, penalty: float = 1e-3, steps: int = 12):
     return risk.least(w, prior, steps), mean, scale, prior
 
 
-def score_quality(
-    docs: DataFrame,
-    labels: DataFrame,
-    threshold: float = 0.3,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    held_out_remainder: int = 0,
-) -> DataFrame:
-    """One row per row of ``docs``: id, held_out, score (0 to 1, higher: likelier good),
-    predicted (1 from ``threshold`` on).
-
-    ``labels`` (doc_id, quality): positives are ids with quality 1 whose crc32 modulo 5
-    is not ``held_out_remainder``; an id labelled both ways is not trusted. Null texts
-    count as empty and are scored like any other; rows that repeat an id are scored one by
-    one; a null id is never labelled and counts as not held out; other columns are ignored.
-    Without any positive every score is 0.5; an empty table gives an empty result."""
-    held_out = F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == held_out_remainder, F.lit(False))
+def _feature_table(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, remainder: int) -> DataFrame:
+    """(_id, held_out, x, positive) of every row, stored."""
+    held_out = F.crc32(F.col(id_column).cast("string").cast("binary")) % 5 == remainder
     trusted = (
         labels.select(F.col("doc_id").alias("_i"), "quality")
         .where("_i is not null and quality is not null")
@@ -258,14 +244,35 @@ def score_quality(
     )
     kind = docs.schema[id_column].dataType.simpleString()
     counted = docs.select(
-        F.col(id_column).alias("_id"), held_out.alias("held_out"), F.col(text_column).alias("_text")
+        F.col(id_column).alias("_id"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.col(text_column).alias("_text"),
     ).mapInPandas(_feature_rows, f"_id {kind}, held_out boolean, x array<double>")
-    rows = stored(
+    return stored(
         counted.join(trusted, F.col("_id") == F.col("_i"), "left").select(
             "_id", "held_out", "x", (F.col("_i").isNotNull() & ~F.col("held_out")).alias("positive")
         ),
         "features",
     )
+
+
+def score_quality(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = 0.3,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    held_out_remainder: int = 0,
+) -> DataFrame:
+    """One row per row of ``docs``: id, held_out, score (0 to 1, higher: likelier good),
+    predicted (1 from ``threshold`` on).
+
+    ``labels`` (doc_id, quality): positives are ids with quality 1 whose crc32 modulo 5
+    is not ``held_out_remainder``; an id labelled both ways is not trusted. Null texts
+    count as empty and are scored like any other; rows that repeat an id are scored one by
+    one; a null id is never labelled and counts as not held out; other columns are ignored.
+    Without any positive every score is 0.5; an empty table gives an empty result."""
+    rows = _feature_table(docs, labels, id_column, text_column, held_out_remainder)
     model = fit(rows.select("x", "positive"))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -276,6 +283,31 @@ def score_quality(
                 s = scores(np.stack(b["x"].to_list()), *model[:3])
             yield b.drop(columns=["x"]).assign(score=s, predicted=(s >= threshold).astype(np.int32))
 
+    kind = docs.schema[id_column].dataType.simpleString()
     return rows.drop("positive").mapInPandas(
         score, f"_id {kind}, held_out boolean, score double, predicted int"
     ).withColumnRenamed("_id", id_column)
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    threshold: float = 0.3,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    held_out_remainder: int = 0,
+) -> DataFrame:
+    """The rows that ``score_quality`` would predict as 1, with all columns. Texts stay where
+    they are: they are scored as they are filtered, and only the features were stored."""
+    rows = _feature_table(docs, labels, id_column, text_column, held_out_remainder)
+    model = fit(rows.select("x", "positive"))
+    if model is None:
+        return docs if threshold <= 0.5 else docs.limit(0)
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for t in texts:
+            x = np.array([features(v) for v in t]).reshape(-1, WIDTH)
+            yield pd.Series(scores(x, *model[:3]))
+
+    return docs.where(score(F.col(f"`{text_column}`")) >= threshold)
