@@ -457,4 +457,5 @@ def one_of_each_group(
     an id. Edge cases as in ``similar_groups``."""
     groups = similar_groups(docs, percent, size, id_column, text_column)
     gone = groups.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_column}`") == F.col("_gone"), "left_anti")
+    same = F.col(f"d.`{id_column}`") == F.col("g._gone")
+    return docs.alias("d").join(gone.alias("g"), same, "left_anti").select("d.*")

@@ -252,18 +252,19 @@ def redact(docs: DataFrame, text_column: str = "text", kinds=KINDS) -> DataFrame
 
     A kind is searched in what the kinds before it left, so of overlapping spans the
     earlier kind's wins and nothing personal is left over."""
-    df = docs.withColumn("_t", F.coalesce(F.col(f"`{text_column}`"), F.lit("")))
+    df = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("_t"),
+    )
     for kind in kinds:
         df = _matches(df, "_t", kind).withColumn("_c", _scored(kind))
-        mark = f"<{kind.name.upper()}>"
-        pieces = F.transform("_g", _piece(mark))
-        df = df.withColumn("_t", F.when(F.size("_m") > 0, F.array_join(pieces, "")).otherwise(F.col("_t")))
-        df = df.drop("_m", "_g", "_c")
-    text = F.when(F.col(f"`{text_column}`").isNotNull(), F.col("_t"))
-    out = df.withColumn(text_column, text).drop("_t")
+        pieces = F.transform("_g", _piece(f"<{kind.name.upper()}>"))
+        left = F.when(F.size("_m") > 0, F.array_join(pieces, "")).otherwise(F.col("_t"))
+        df = df.select("_row", left.alias("_t"))
+    new = {text_column: F.when(F.col(f"_row.`{text_column}`").isNotNull(), F.col("_t"))}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text_column).cast("long"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+        new["n_chars"] = F.length(new[text_column]).cast(docs.schema["n_chars"].dataType)
+    return df.select(*[new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _piece(mark: str):
