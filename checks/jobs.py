@@ -30,9 +30,16 @@ def _moved(spark, d):
 
 
 def _ingested(spark, d):
-    return ingest.ingest(
-        c.obs(spark, d), c.payloads(spark, d, _moved(spark, d)), [F.col("temp_max").desc()]
+    """Every payload comes twice; the warmer one was received first and must lose."""
+    moved = _moved(spark, d)
+    warmer = moved.withColumns({t: F.col(t) + 7 for t in ("temp_max", "temp_min")})
+    received = [(warmer, "2002-01-01 06:00:00"), (moved, "2002-01-01 18:00:00")]
+    first, second = (
+        c.payloads(spark, d, rows).withColumn("fetched_at", F.lit(at).cast("timestamp"))
+        for rows, at in received
     )
+    batch = first.unionByName(second)
+    return ingest.ingest(c.obs(spark, d), batch, [F.col("fetched_at").desc()])
 
 
 _STATE = """batch AS (SELECT city, date+3 AS date, temp_max+2 AS temp_max, temp_min+2 AS temp_min,

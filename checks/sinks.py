@@ -48,9 +48,7 @@ fresh AS (SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY city, date
 def upsert_replace(spark, d):
     old = c.obs(spark, d).select(*_KEY, "temp_max", "precipitation")
     batch = _batch(spark, d)
-    order = [F.col("revision").desc()]
-    fresh = writes.one_per_key(batch, _KEY, order)
-    return writes.upsert_replace(old, fresh, _KEY, order)
+    return writes.upsert_replace(old, batch, _KEY, [F.col("revision").desc()])
 
 
 @check(

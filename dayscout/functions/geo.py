@@ -24,38 +24,58 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
 
 @dataclass(frozen=True)
 class Grid:
-    """A latitude / longitude grid whose cells are at least one radius across.
+    """Rows of latitude as high as the radius, each cut into its own number of columns, so
+    that a cell is about as wide as it is high at any latitude, the poles included.
 
-    A circle of the radius never leaves the 3 x 3 neighbourhood of its centre's cell
-    for centres up to ``max_latitude``. Columns wrap at the date line.
+    ``neighbourhood`` is exact: a circle spans three rows, and in each of them the columns
+    that its widest extent in longitude touches; around a pole that is all of them, which
+    are few there. Longitudes wrap at the date line.
     """
 
     height: float
-    columns: int
 
     @classmethod
-    def for_radius(cls, radius_m: float, max_latitude: float) -> Grid:
-        height = radius_m / METRES_PER_DEGREE * 1.001
-        # The circle is widest, in degrees of longitude, towards its poleward edge.
-        reach = abs(max_latitude) + height
-        if not 0 < radius_m or reach >= 89:
-            raise ValueError("radius must be positive and the circle must stay below 89 degrees")
-        width = height / math.cos(math.radians(reach))
-        return cls(height, max(3, int(360 / width)))
-
-    def _row_col(self, lat: Column, lon: Column) -> tuple[Column, Column]:
-        return F.floor(lat / self.height), F.floor((lon + 180) * (self.columns / 360.0))
+    def for_radius(cls, radius_m: float) -> Grid:
+        if radius_m <= 0:
+            raise ValueError("radius must be positive")
+        return cls(radius_m / METRES_PER_DEGREE * 1.001)
+
+    def _row(self, lat: Column) -> Column:
+        return F.floor((lat + 90) / self.height)
+
+    def _columns(self, row: Column) -> Column:
+        """Columns of a row, by its edge next to the equator."""
+        low, high = row * self.height - 90, (row + 1) * self.height - 90
+        edge = F.when((low <= 0) & (high >= 0), 0.0).otherwise(F.least(F.abs(low), F.abs(high)))
+        across = 360 * F.cos(F.radians(F.least(edge, F.lit(90.0)))) / self.height
+        return F.greatest(F.lit(1), F.floor(across)).cast("long")
 
     def _struct(self, row: Column, col: Column) -> Column:
-        wrapped = F.pmod(col, F.lit(self.columns))
-        return F.struct(row.alias("row"), wrapped.cast("long").alias("col"))
+        return F.struct(row.cast("long").alias("row"), col.cast("long").alias("col"))
 
     def cell(self, lat: Column, lon: Column) -> Column:
-        return self._struct(*self._row_col(lat, lon))
+        row = self._row(lat)
+        n = self._columns(row)
+        col = F.floor(F.pmod(lon + 180, F.lit(360.0)) * n / 360)
+        return self._struct(row, F.least(col, n - 1))
+
+    def _half_width(self, lat: Column) -> Column:
+        """Widest extent of the circle in degrees of longitude, to either side."""
+        ratio = math.sin(math.radians(min(self.height, 90.0))) / F.cos(F.radians(lat))
+        wide = F.degrees(F.asin(F.least(F.lit(1.0), ratio))) * 1.001
+        return F.when(F.abs(lat) + self.height < 90, wide).otherwise(180.0)
 
     def neighbourhood(self, lat: Column, lon: Column) -> Column:
-        """The cell of a point and its eight neighbours, without repeats."""
-        row, col = self._row_col(lat, lon)
-        steps = (-1, 0, 1)
-        cells = [self._struct(row + dr, col + dc) for dr in steps for dc in steps]
-        return F.array_distinct(F.array(*cells))
+        """Every cell that the circle around a point may touch, each once."""
+        half, east = self._half_width(lat), F.pmod(lon + 180, F.lit(360.0))
+        rows = []
+        for step in (-1, 0, 1):
+            row = self._row(lat) + step
+            n = self._columns(row)
+            first = F.floor((east - half) * n / 360)
+            last = F.least(F.floor((east + half) * n / 360), first + n - 1)
+            rows.append(F.transform(F.sequence(first, last), self._in_row(row, n)))
+        return F.concat(*rows)
+
+    def _in_row(self, row: Column, n: Column):
+        return lambda col: self._struct(row, F.pmod(col, n))

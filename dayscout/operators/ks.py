@@ -47,11 +47,12 @@ def ks_two_sample(
     group: Sequence[str],
     value: str,
     current: str,
-    band_width: float = 1.0,
+    bands: int = 1024,
 ) -> DataFrame:
     """Per group: the counts, the KS statistic and its asymptotic p-value.
 
-    A group with an empty side has a NULL statistic.
+    A group with an empty side has a NULL statistic. Each group's range of values is cut
+    into ``bands``, whatever its scale.
     """
     v = F.col(value)
     counts = (
@@ -61,8 +62,11 @@ def ks_two_sample(
             F.count_if(~F.col(current)).alias("_b"),
             F.count_if(F.col(current)).alias("_c"),
         )
-        .withColumn("_band", F.floor(F.col("_v") / band_width))
     )
+    limits = counts.groupBy(*group).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    step = F.nullif(F.col("_high") / bands - F.col("_low") / bands, F.lit(0.0))
+    band = F.coalesce(F.floor((F.col("_v") - F.col("_low")) / step), F.lit(0))
+    counts = counts.join(limits, list(group)).withColumn("_band", band)
     inside = Window.partitionBy(*group, "_band").orderBy("_v")
     running = counts.select(
         *group,
@@ -72,10 +76,10 @@ def ks_two_sample(
         F.sum("_b").over(inside).alias("_rb"),
         F.sum("_c").over(inside).alias("_rc"),
     )
-    bands = running.groupBy(*group, "_band").agg(F.sum("_b").alias("_b"), F.sum("_c").alias("_c"))
+    totals = running.groupBy(*group, "_band").agg(F.sum("_b").alias("_b"), F.sum("_c").alias("_c"))
     over_bands = Window.partitionBy(*group).orderBy("_band")
     whole = Window.partitionBy(*group)
-    offsets = bands.select(
+    offsets = totals.select(
         *group,
         "_band",
         _ahead("_b", over_bands).alias("_ab"),

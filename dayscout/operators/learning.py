@@ -22,12 +22,14 @@ from dayscout.functions.scoring import clip_score
 from dayscout.operators.aggregates import regression_metrics
 from dayscout.operators.silhouette import as_points, silhouette_exact
 from dayscout.schemas import CLUSTER_FEATURES, REGRESSION_FEATURES, REGRESSION_TARGET
+from dayscout.sources.store import shared_dir
 
 SEED = 42
 RESTARTS = 10
 TEST_SIZE = 0.2
 FOLDS = 5
-ROWS_PER_TASK = 10_000
+KMEANS_ITERATIONS = 300
+TREE_BINS = 256
 
 
 def at_once(spark: SparkSession, fn: Callable, items: Iterable, width: int = 10) -> list:
@@ -38,10 +40,11 @@ def at_once(spark: SparkSession, fn: Callable, items: Iterable, width: int = 10)
         return pool.map(inheritable_thread_target(spark)(fn), items, chunksize=1)
 
 
-def compact(rows: DataFrame, n_rows: int) -> DataFrame:
-    """Fewer partitions for a small frame: an iterative fit pays per task and job, not
-    per row. ``coalesce`` never adds partitions, so large frames keep theirs."""
-    return rows.coalesce(max(1, -(-n_rows // ROWS_PER_TASK)))
+def dealt(rows: DataFrame, partitions: int | None, *key: str) -> DataFrame:
+    """``rows`` in as many partitions as the caller asks for, by hash of ``key`` (the same
+    rows in the same ones each time); as they are without a number. An iterative fit pays
+    per task, so the caller of a small frame may ask for few."""
+    return rows if partitions is None else rows.repartition(partitions, *key)
 
 
 # --- scaling -----------------------------------------------------------------
@@ -133,29 +136,46 @@ def fit_clusters(
     seed: int = SEED,
     restarts: int = RESTARTS,
     with_silhouette: bool = True,
-    id_columns: Sequence[str] = ("city",),
+    max_iterations: int = KMEANS_ITERATIONS,
+    partitions: int | None = None,
+) -> ClusterFit:
+    """k-means on z-scores; of several seeded restarts the lowest inertia wins. Every
+    complete row is a point, whatever its key."""
+    clean = dealt(rows.select(*columns).dropna(), partitions, *columns).persist()
+    try:
+        return _fit_clusters(clean, k, columns, seed, restarts, with_silhouette, max_iterations)
+    finally:
+        clean.unpersist()
+
+
+def _fit_clusters(
+    clean: DataFrame,
+    k: int,
+    columns: Sequence[str],
+    seed: int,
+    restarts: int,
+    with_silhouette: bool,
+    max_iterations: int,
 ) -> ClusterFit:
-    """k-means on z-scores; of several seeded restarts the lowest inertia wins."""
-    clean = rows.select(*id_columns, *columns).dropna(subset=list(columns))
     n = clean.count()
     if n == 0:
         raise ValueError("no complete rows to cluster")
     scaler = Pipeline(stages=scaler_stages(columns, n)).fit(clean)
-    scaled = compact(scaler.transform(clean).select(*id_columns, "scaled"), n).persist()
+    scaled = scaler.transform(clean).select("scaled").persist()
     try:
         def restart(i: int):
             return KMeans(
-                k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster_id", maxIter=50
+                k=k, seed=seed + i, featuresCol="scaled", predictionCol="cluster_id",
+                maxIter=max_iterations,
             ).fit(scaled)
 
-        fits = at_once(rows.sparkSession, restart, range(restarts))
+        fits = at_once(clean.sparkSession, restart, range(restarts))
         best = min(fits, key=lambda m: m.summary.trainingCost)
         fit = ClusterFit(
             PipelineModel([*scaler.stages, best]), k, n, float(best.summary.trainingCost)
         )
         if with_silhouette:
-            points = as_points(best.transform(scaled), id_columns)
-            row = silhouette_exact(points, n_points=n).first()
+            row = silhouette_exact(as_points(best.transform(scaled)), n_points=n).first()
             fit.silhouette = float(row["silhouette_score"])
     finally:
         scaled.unpersist()
@@ -264,10 +284,13 @@ def fold_of(key: Sequence[str], folds: int = FOLDS, seed: int = SEED) -> Column:
 
 # --- regression ------------------------------------------------------------------
 
+# The model types by the names they are logged with.
 MODEL_TYPES = ["ridge", "random_forest", "gradient_boosting"]
 
 
-def make_regressor(model_type: str, n_rows: int, target_std: float, seed: int = SEED):
+def make_regressor(
+    model_type: str, n_rows: int, target_std: float, seed: int = SEED, max_bins: int = TREE_BINS
+):
     """The estimator of a model type, on column ``scaled``.
 
     Ridge: MLlib averages the loss over the rows and standardises the target, so a
@@ -284,11 +307,12 @@ def make_regressor(model_type: str, n_rows: int, target_std: float, seed: int =
     if model_type == "random_forest":
         return RandomForestRegressor(
             **common, numTrees=100, maxDepth=10, minInstancesPerNode=2,
-            featureSubsetStrategy="all", seed=seed,
+            featureSubsetStrategy="all", seed=seed, maxBins=max_bins, maxMemoryInMB=1024,
         )
     if model_type == "gradient_boosting":
         return GBTRegressor(
             **common, maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=2, seed=seed,
+            maxBins=max_bins, maxMemoryInMB=1024,
         )
     raise ValueError(f"unknown model type: {model_type}")
 
@@ -334,12 +358,34 @@ def train_regression(
     test_size: float = TEST_SIZE,
     seed: int = SEED,
     folds: int | None = FOLDS,
+    max_bins: int = TREE_BINS,
+    partitions: int | None = None,
 ) -> RegressionFit:
     """Split, scale on the training part, fit, evaluate, cross validate.
 
-    The fold fits and the final fit do not depend on each other and run at once.
+    The input is read once. The fold fits and the final fit do not depend on each other
+    and run at once; boosting cuts its lineage in the shared folder.
     """
-    clean = rows.select(*key, *columns, F.col(target).alias("label")).dropna()
+    shared_dir(rows.sparkSession)
+    clean = dealt(
+        rows.select(*key, *columns, F.col(target).alias("label")).dropna(), partitions, *key
+    ).persist()
+    try:
+        return _train_regression(clean, model_type, columns, key, test_size, seed, folds, max_bins)
+    finally:
+        clean.unpersist()
+
+
+def _train_regression(
+    clean: DataFrame,
+    model_type: str,
+    columns: Sequence[str],
+    key: Sequence[str],
+    test_size: float,
+    seed: int,
+    folds: int | None,
+    max_bins: int,
+) -> RegressionFit:
     parts = train_test_split(clean, key, test_size, seed).withColumn(
         "fold", fold_of(key, folds or FOLDS, seed)
     ).persist()
@@ -353,10 +399,9 @@ def train_regression(
         n_train = sizes[False]["n"]
         train = parts.where(~F.col("is_test"))
         scaler = Pipeline(stages=scaler_stages(columns, n_train)).fit(train)
-        scaled = scaler.transform(train).select("scaled", "label", "fold")
-        scaled = compact(scaled, n_train).persist()
+        scaled = scaler.transform(train).select("scaled", "label", "fold").persist()
         try:
-            estimator = make_regressor(model_type, n_train, sizes[False]["std"], seed)
+            estimator = make_regressor(model_type, n_train, sizes[False]["std"], seed, max_bins)
             evaluator = RegressionEvaluator(labelCol="label", metricName="r2")
 
             def fit_fold(fold: int | None):
@@ -367,7 +412,7 @@ def train_regression(
                 return evaluator.evaluate(model.transform(scaled.where(F.col("fold") == fold)))
 
             fitted, *r2 = at_once(
-                rows.sparkSession, fit_fold, [None, *range(folds or 0)], width=6
+                clean.sparkSession, fit_fold, [None, *range(folds or 0)], width=6
             )
             cv = {}
             if r2:

@@ -22,18 +22,16 @@ def radius_join(
     places: DataFrame,
     pois: DataFrame,
     radius_m: float = DEFAULT_RADIUS_M,
-    max_latitude: float = 72.0,
     types: Sequence[str] = tuple(LODGING_TYPES),
 ) -> DataFrame:
-    """Points of interest within ``radius_m`` metres of each place.
+    """Points of interest within ``radius_m`` metres of each place, anywhere on the globe.
 
-    A place is expanded to its grid cell and the eight around it, a point lies in one
+    A place is expanded to the grid cells its circle may touch, a point lies in one
     cell: an equi-join on the cell, then the exact distance. Spark broadcasts the
     expanded places when they are small; otherwise a crowded cell is split by AQE's
-    skew join, since only the point side of it is large. Neither side may lie beyond
-    ``max_latitude``; such rows are found by comparing against it up front.
+    skew join, since only the point side of it is large.
     """
-    grid = Grid.for_radius(radius_m, max_latitude)
+    grid = Grid.for_radius(radius_m)
     centres = places.select(
         F.col("city").alias("place"),
         F.col("latitude").alias("_lat"),

@@ -12,9 +12,15 @@ from dayscout.schemas import REGRESSION_FEATURES
 from dayscout.sources.dims import DEFAULT_PROFILE, SEED_PROFILES, Profile
 
 
+PARAMETERS = [
+    "temp_weight", "temp_ideal", "temp_tolerance", "rain_weight", "rain_decay",
+    "rain_preference", "wind_weight", "wind_decay", "wind_preference",
+]
+
+
 def score_profiles(
     features: DataFrame,
-    profiles: Sequence[Profile] = tuple(SEED_PROFILES),
+    profiles: DataFrame | Sequence[Profile] = tuple(SEED_PROFILES),
     inputs: Sequence[str] = tuple(REGRESSION_FEATURES),
     digits: int | None = 2,
     keep: Sequence[str] = (),
@@ -22,11 +28,23 @@ def score_profiles(
     """(city, feature_date, profile_name, comfort_score), one row per profile, next to
     the columns in ``keep``.
 
-    The profiles are configuration, so their parameters are folded into one
-    expression per profile and the fan-out is an ``inline`` of a fixed array: a narrow
-    operation without any join.
+    ``profiles`` is the stored profile table: its rows are gathered into one array of
+    parameters and every feature row is fanned out by it, so the plan is the same for
+    any number of profiles and no feature row is shuffled. Profiles given as objects are
+    folded into one expression each, which saves reading the table.
     """
     temp, rain, wind = (F.col(c) for c in inputs)
+    if isinstance(profiles, DataFrame):
+        names = ["profile_name", *PARAMETERS]
+        listed = profiles.agg(F.array_sort(F.collect_list(F.struct(*names)))).scalar()
+        fanned = features.select(
+            "city", "feature_date", *keep, *inputs, F.explode(listed).alias("_p")
+        )
+        parameters = {p: F.col(f"_p.{p}") for p in PARAMETERS}
+        score = profile_score(temp, rain, wind, parameters, digits=digits)
+        return fanned.select(
+            "city", "feature_date", *keep, "_p.profile_name", score.alias("comfort_score")
+        )
     scored = F.array(
         *[
             F.struct(

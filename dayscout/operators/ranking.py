@@ -10,61 +10,46 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayscout.functions.scoring import cluster_comfort_gauss, cluster_comfort_linear
+from dayscout.sources.store import shared_dir
 
 
 def rank_within(
-    rows: DataFrame,
-    group: Sequence[str],
-    score: str,
-    tie: str = "city",
-    out: str = "rank",
-    initials: int = 3,
+    rows: DataFrame, group: Sequence[str], score: str, tie: str = "city", out: str = "rank"
 ) -> DataFrame:
     """Rank 1..n in each group by score descending, then by ``tie`` ascending.
 
-    A group may be any size (all places of one hot date), so it is never sorted in one
-    task. Rows are numbered inside cells of (group, score, first letters of the tie
-    column), and the rows ahead of a cell come from cell counts. Scores are rounded
-    to two decimals in 0..100, so a group has about ten thousand distinct scores at
-    most, and a score as many cells as place names have initials.
+    A group may be any size (all places of one hot date), so it is not sorted in one
+    task: rows are dealt by ranges of (group, score, tie) and sorted once; a rank is the
+    row's place in its range plus the rows of the group in the ranges before, which come
+    from one count per range and group. The dealt rows are checkpointed, so that the
+    places and the counts are of the same ranges.
     """
-    cell = [*group, score, "_initial"]
-    cells = rows.withColumn("_initial", F.substring(F.col(tie), 1, initials))
-    sizes = cells.groupBy(*cell).agg(F.count("*").alias("_size"))
-    by_score = sizes.groupBy(*group, score).agg(
-        F.sum("_size").alias("_in_score"),
-        F.array_sort(F.collect_list(F.struct("_initial", "_size"))).alias("_cells"),
+    shared_dir(rows.sparkSession)
+    keys = [*[F.col(g) for g in group], F.col(score).desc_nulls_last(), F.col(tie).asc()]
+    number = F.monotonically_increasing_id()
+    placed = (
+        rows.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("_at", number)
+        .withColumn("_range", F.shiftright(F.col("_at"), 33))
+        .checkpoint()
     )
-    higher = Window.partitionBy(*group).orderBy(F.col(score).desc_nulls_last())
-    ahead_scores = F.sum("_in_score").over(higher.rowsBetween(Window.unboundedPreceding, -1))
-    placed = by_score.select(
-        *group, score, "_cells", F.coalesce(ahead_scores, F.lit(0)).alias("_ahead")
-    ).select(*group, score, F.inline(_running_offsets(F.col("_cells"), F.col("_ahead"))))
-    numbered = cells.withColumn(
-        "_n", F.row_number().over(Window.partitionBy(*cell).orderBy(tie))
+    ranges = placed.groupBy(*group, "_range").agg(
+        F.min("_at").alias("_first"), F.count("*").alias("_size")
     )
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum("_size").over(before), F.lit(0))
+    offsets = ranges.select(*group, "_range", "_first", ahead.alias("_ahead"))
     return (
-        numbered.alias("n")
-        .join(placed.alias("a"), _same("n", "a", cell))
+        placed.alias("n")
+        .join(offsets.alias("a"), _same("n", "a", [*group, "_range"]))
         .select(
             *[F.col(f"n.{c}") for c in rows.columns],
-            (F.col("_offset") + F.col("_n")).cast("int").alias(out),
+            (F.col("_at") - F.col("_first") + F.col("_ahead") + 1).cast("int").alias(out),
         )
     )
 
 
-def _running_offsets(cells: Column, start: Column) -> Column:
-    """Array of (_initial, _offset): the rows ahead of each cell of one score."""
-    sizes = F.transform(cells, lambda x: x["_size"])
-    return F.transform(
-        cells,
-        lambda x, i: F.struct(
-            x["_initial"].alias("_initial"),
-            F.aggregate(F.slice(sizes, F.lit(1), i), start, lambda a, b: a + b).alias("_offset"),
-        ),
-    )
-
-
 def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     """NULL-safe equality on all keys of two aliased sides."""
     pairs = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]

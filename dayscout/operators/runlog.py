@@ -5,17 +5,20 @@ Rows are ordered by (created_at, run_id); ``run_id`` makes the order total.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dayscout.functions.drift_rules import performance_degraded, performance_drop
 from dayscout.operators.ranking import top_k
 
-# The metric that decides per model type, the gain needed to replace a
-# champion, and the decimals metrics are logged with.
+# The metric that decides per model type, and the gain needed to replace a
+# champion.
 DECIDING_METRIC = {"kmeans": "silhouette_score", "regression": "test_r2"}
 PROMOTION_DELTA = {"kmeans": 0.05, "regression": 0.01}
-METRIC_DIGITS = 3
+DEFAULT_DELTA = 0.01
 HISTORY_RUNS = 10
 
 _ORDER = ["created_at", "run_id"]
@@ -75,60 +78,69 @@ def model_drift(runs: DataFrame, n: int = HISTORY_RUNS) -> DataFrame:
     )
 
 
-def _fold(runs: Column, delta: Column) -> Column:
-    """Fold a short ordered array of runs into the array of promoted runs."""
-    empty = F.filter(runs, lambda r: F.lit(False))
+def _champions_of(deltas: dict[str, float], default: float):
+    """Folds runs, sorted by model type and order, into the promoted ones."""
 
-    def step(promoted: Column, run: Column) -> Column:
-        champion = F.try_element_at(promoted, F.lit(-1))["metric"]
-        wins = champion.isNull() | (run["metric"] > champion + delta)
-        return F.when(wins, F.array_append(promoted, run)).otherwise(promoted)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kind = champion = None
+        sequence = 0
+        for batch in batches:
+            out = []
+            for row in batch.itertuples(index=False):
+                if row.model_type != kind:
+                    if champion is not None:
+                        out.append((*champion, None, True))
+                    kind, champion, sequence = row.model_type, None, 0
+                gain = deltas.get(kind, default)
+                if champion is None or row.metric_value > champion[4] + gain:
+                    if champion is not None:
+                        out.append((*champion, row.run_id, False))
+                    sequence += 1
+                    champion = (kind, sequence, row.created_at, row.run_id, row.metric_value)
+            yield pd.DataFrame(out, columns=_PROMOTED, dtype=object)
+        if champion is not None:
+            yield pd.DataFrame([(*champion, None, True)], columns=_PROMOTED, dtype=object)
 
-    return F.aggregate(runs, empty, step)
+    return run
 
 
-def promotion_delta(model_type: Column, default: float = 0.01) -> Column:
-    chain = F
-    for name, delta in PROMOTION_DELTA.items():
-        chain = chain.when(model_type == name, delta)
-    return chain.otherwise(default)
+_PROMOTED = [
+    "model_type", "sequence", "created_at", "run_id", "metric_value", "replaced_by", "is_champion",
+]
 
 
-def promotions(runs: DataFrame) -> DataFrame:
+def promotions(runs: DataFrame, subsets: int = 64) -> DataFrame:
     """Every run that became champion, with its sequence number and the run that
     replaced it.
 
     The first run wins; a later run wins only if it beats the champion by more than
-    the delta. That is a true recurrence, but a promoted run always has the highest
-    metric so far, so it is the *first* run with its metric value. Metrics are logged
-    with three decimals: one partial aggregation to (model type, metric value) leaves
-    at most a few thousand candidates per model type however long the log is, and the
-    fold over those is exact.
+    the delta. That is a true recurrence over the stored metrics, but a promoted run is
+    higher than all before it, in the whole log and so in any part of it. Runs are dealt
+    by hash into parts, only the successive maxima of each part are kept, and those are
+    folded in order by a stream that holds one champion.
     """
-    metric = F.round("metric_value", METRIC_DIGITS)
-    firsts = (
-        runs.where(F.col("metric_value").isNotNull() & ~F.isnan("metric_value"))
-        .groupBy("model_type", metric.alias("metric"))
-        .agg(F.min(order_key()).alias("k"))
+    usable = runs.where(F.col("metric_value").isNotNull() & ~F.isnan("metric_value")).select(
+        "model_type", *_ORDER, "metric_value"
     )
-    candidate = F.struct("k.created_at", "k.run_id", "metric")
-    delta = promotion_delta(F.col("model_type"))
-    promoted = firsts.groupBy("model_type").agg(
-        F.array_sort(F.collect_list(candidate)).alias("candidates")
-    ).select("model_type", _fold(F.col("candidates"), delta).alias("promoted"))
-    following = F.get(F.col("promoted"), F.col("i") + 1)
-    return (
-        promoted.select("model_type", "promoted", F.posexplode("promoted").alias("i", "run"))
-        .select(
-            "model_type",
-            (F.col("i") + 1).alias("sequence"),
-            "run.created_at",
-            "run.run_id",
-            F.col("run.metric").alias("metric_value"),
-            following["run_id"].alias("replaced_by"),
-            following.isNull().alias("is_champion"),
-        )
+    part = F.pmod(F.xxhash64("run_id"), F.lit(subsets)).alias("part")
+    earlier = Window.partitionBy("model_type", "part").orderBy(*_ORDER).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    highest = F.max("metric_value").over(earlier)
+    maxima = (
+        usable.select("*", part)
+        .withColumn("highest", highest)
+        .where(F.col("highest").isNull() | (F.col("metric_value") > F.col("highest")))
+        .drop("part", "highest")
+    )
+    kinds = {f.name: f.dataType.simpleString() for f in usable.schema}
+    schema = (
+        f"model_type {kinds['model_type']}, sequence int, created_at {kinds['created_at']},"
+        f"run_id {kinds['run_id']}, metric_value double, replaced_by {kinds['run_id']},"
+        "is_champion boolean"
     )
+    ordered = maxima.repartition("model_type").sortWithinPartitions("model_type", *_ORDER)
+    return ordered.mapInPandas(_champions_of(PROMOTION_DELTA, DEFAULT_DELTA), schema)
 
 
 def flag_champions(runs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ is one partial sum per point and cluster, never a pair of points.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -132,12 +132,13 @@ def silhouette_squared(
     return evaluator.evaluate(clustered)
 
 
-def as_points(clustered: DataFrame, id_columns: Sequence[str], features: str = "scaled") -> DataFrame:
-    """Points frame from an MLlib frame with a vector column."""
+def as_points(clustered: DataFrame, features: str = "scaled") -> DataFrame:
+    """Points frame from an MLlib frame with a vector column; each row is a point of its
+    own. Pass a persisted frame: the row numbers are those of its partitions."""
     from pyspark.ml.functions import vector_to_array
 
     return clustered.select(
-        F.concat_ws("|", *[F.col(c).cast("string") for c in id_columns]).alias("id"),
+        F.monotonically_increasing_id().alias("id"),
         "cluster_id",
         vector_to_array(features).alias("features"),
     )

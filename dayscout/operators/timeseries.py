@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dayscout.functions.scoring import comfort_score
+from dayscout.functions.scoring import comfort_score, nan_to_null
 from dayscout.sources.scans import When, day
 
 BLOCK_DAYS = 366
@@ -35,7 +35,7 @@ def _block(day_number: Column) -> Column:
 def _windowed(obs: DataFrame) -> DataFrame:
     """Rolling values per (city, date), with the block and the next date inside it.
 
-    RANGE frames on the day number, so date gaps count as missing days. One exchange
+    NaN counts as missing. RANGE frames on the day number, so date gaps count as missing days. One exchange
     and one sort on (city, block) serve all windows. Copied border rows come first in
     their block, so they never are anyone's next date; they are dropped afterwards.
     """
@@ -45,7 +45,7 @@ def _windowed(obs: DataFrame) -> DataFrame:
     placed = obs.select(
         "city",
         "date",
-        *inputs,
+        *[nan_to_null(F.col(c).cast("double")).alias(c) for c in inputs],
         number.alias("_day"),
         F.explode(
             F.when(home == last_use, F.array(home)).otherwise(F.array(home, last_use))

@@ -40,22 +40,19 @@ def upsert_partial(
     columns: Sequence[str],
     order: Sequence[Column],
 ) -> DataFrame:
-    """Insert the batch; on a conflict only ``columns`` take the batch's values."""
+    """Insert the batch; on a conflict only ``columns`` take the batch's values.
+
+    Old rows that the batch does not name are only anti-joined with its keys, as in
+    ``upsert_replace``; the others, as many as the batch at most, meet it in a join.
+    """
     fresh = one_per_key(batch, key, order)
-    # A literal marker tells "absent" from "present with NULL".
-    o = old.withColumn("_in_old", F.lit(True)).alias("o")
-    b = fresh.withColumn("_in_new", F.lit(True)).alias("b")
-    joined = o.join(b, list(key), "full_outer")
-    in_old, in_new = F.col("_in_old").isNotNull(), F.col("_in_new").isNotNull()
-
-    def merged(c: str) -> Column:
-        if c in key:
-            return F.col(c)
-        if c in columns:
-            return F.when(in_new, F.col(f"b.{c}")).otherwise(F.col(f"o.{c}")).alias(c)
-        return F.when(in_old, F.col(f"o.{c}")).otherwise(F.col(f"b.{c}")).alias(c)
-
-    return joined.select(*[merged(c) for c in old.columns])
+    keys = list(key)
+    kept = old.join(fresh.select(*key), keys, "left_anti")
+    known = old.alias("o").join(fresh.alias("b"), keys).select(
+        *[F.col(c if c in key else f"{'b' if c in columns else 'o'}.{c}").alias(c) for c in old.columns]
+    )
+    added = fresh.join(old.select(*key), keys, "left_anti").select(*old.columns)
+    return kept.unionByName(known).unionByName(added)
 
 
 def insert_ignore(

@@ -13,9 +13,9 @@ from dayscout.sources.scans import When, day
 
 
 def ingest(old: DataFrame, payloads: DataFrame, order: list[Column]) -> DataFrame:
-    """Parse the payloads and upsert them; newer values replace older ones."""
-    batch = parse_forecasts(payloads).withColumn("_seen", F.lit(1))
-    return upsert_replace(old, batch.select(*old.columns), OBSERVATIONS.key, order)
+    """Parse the payloads and upsert them; of several values for a key the first by
+    ``order`` wins, which may use any column of the payloads (such as the receive time)."""
+    return upsert_replace(old, parse_forecasts(payloads), OBSERVATIONS.key, order)
 
 
 def quality_report(obs: DataFrame, as_of: When, expected_places: int = 20) -> DataFrame:

@@ -11,7 +11,7 @@ from dayscout.functions.scoring import absolute_error, rule_score
 from dayscout.operators.aggregates import cluster_stats
 from dayscout.operators.profiles import join_scores, score_profiles
 from dayscout.operators.ranking import keep_good_clusters, rank_clusters, rank_within
-from dayscout.operators.writes import retain_since
+from dayscout.operators.writes import retain_since, upsert_replace
 from dayscout.schemas import CLUSTER_FEATURES, REGRESSION_FEATURES
 from dayscout.sources.dims import Profile
 from dayscout.sources.scans import When, day, features_on
@@ -79,12 +79,14 @@ def recommend_predicted(features: DataFrame, as_of: When, assign, predict) -> Da
         F.col("feature_date").alias("recommendation_date"),
         "city",
         "cluster_id",
-        F.round("predicted", 2).alias("comfort_score_pred"),
+        F.col("predicted").alias("comfort_score_pred"),
         F.round(absolute_error(F.col("predicted"), F.col("comfort_score")), 2).alias(
             "prediction_error"
         ),
     )
-    return rank_within(rows, ["recommendation_date"], "comfort_score_pred")
+    # the unrounded prediction ranks; it is rounded as it is written
+    ranked_rows = rank_within(rows, ["recommendation_date"], "comfort_score_pred")
+    return ranked_rows.withColumn("comfort_score_pred", F.round("comfort_score_pred", 2))
 
 
 def rule_scores(features: DataFrame) -> DataFrame:
@@ -100,13 +102,14 @@ def rule_scores(features: DataFrame) -> DataFrame:
 
 
 def recommend_rules(features: DataFrame, as_of: When, old: DataFrame | None = None) -> DataFrame:
-    """Banded scores of the day's places, after the retention of older rows."""
+    """Banded scores of the day's places, upserted after the retention of older rows: a
+    place of the same day that is not in the batch stays."""
     today = rule_scores(features_on(features, as_of))
     if old is None:
         return today
     kept = retain_since(old, "recommendation_date", F.date_sub(day(as_of), RETENTION_DAYS))
-    others = kept.where(F.col("recommendation_date") != day(as_of))
-    return others.unionByName(today)
+    key = ["recommendation_date", "city"]
+    return upsert_replace(kept, today, key, [F.col("score").desc_nulls_last()])
 
 
 def pivot_top3(recs: DataFrame, profiles: Sequence[str]) -> DataFrame:

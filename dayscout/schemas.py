@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     DateType,
     DoubleType,
     IntegerType,
+    LongType,
     StringType,
     StructField,
     StructType,
@@ -20,6 +21,7 @@ _TYPES = {
     "date": DateType(),
     "double": DoubleType(),
     "int": IntegerType(),
+    "long": LongType(),
     "boolean": BooleanType(),
     "timestamp": TimestampType(),
 }
@@ -115,10 +117,10 @@ RECOMMENDATIONS = Table(
 MODEL_RUNS = Table(
     "model_runs",
     _struct(
-        "run_date date!, model_type string!, metric_name string!, metric_value double,"
+        "run_date date!, run_id long, model_type string!, metric_name string!, metric_value double,"
         "artifact_path string, is_champion boolean, created_at timestamp"
     ),
-    ("model_type", "created_at"),
+    ("model_type", "run_id"),
 )
 
 POIS = Table(

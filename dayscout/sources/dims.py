@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, fields
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from dayscout.schemas import PLACES, PROFILES
 
@@ -71,7 +70,6 @@ SKIER = Profile("skier", 40.0, 0.0, 5.0, 30.0, 10.0, "seek", 30.0, 30.0, "neutra
                 "⛷️", "Cold with precipitation.")
 
 DEFAULT_PROFILE = "leisure"
-MAX_PROFILES = 10_000
 
 
 def places(spark: SparkSession, rows=DEFAULT_PLACES) -> DataFrame:
@@ -84,15 +82,3 @@ def profiles_table(spark: SparkSession, profiles: list[Profile] = SEED_PROFILES)
     rows = [tuple(asdict(p)[n] for n in names) for p in profiles]
     schema = PROFILES.schema.__class__([PROFILES.schema[n] for n in names])
     return spark.createDataFrame(rows, schema).orderBy("profile_name")
-
-
-def profiles_from_table(table: DataFrame, limit: int = MAX_PROFILES) -> list[Profile]:
-    """Read the profile parameters back; they are job configuration, not data.
-
-    Refuses a table larger than ``limit`` instead of pulling it through the driver.
-    """
-    names = [f.name for f in fields(Profile)]
-    found = table.select(*[F.col(n) for n in names]).limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"profile table has more than {limit} rows")
-    return sorted((Profile(**r.asDict()) for r in found), key=lambda p: p.profile_name)

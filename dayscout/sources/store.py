@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dayscout.operators.writes import conform, new_rows, upsert_replace
+from dayscout.operators.writes import (
+    conform,
+    new_rows,
+    one_per_key,
+    upsert_partial,
+    upsert_replace,
+)
 from dayscout.schemas import Table
 
 
@@ -71,28 +78,96 @@ class Store:
             raise ValueError(f"{table.name} is not partitioned")
         self._writer(conform(rows, table), table).mode("overwrite").parquet(self.path(table))
 
-    def upsert(self, batch: DataFrame, table: Table, order: Sequence[Column]) -> None:
-        """Upsert into a partitioned table. Only the partitions the batch touches are
-        read (a semi-join on the partition column prunes the scan) and rewritten."""
+    def replace_all(self, rows: DataFrame, table: Table) -> None:
+        """Replace the whole table; ``rows`` may be made from it. The new rows are
+        checkpointed before the old files go, so they are never the only copy."""
+        shared_dir(self.spark)
+        rows = conform(rows, table).checkpoint()
+        writer = self._writer(rows, table)
+        if table.partition:
+            writer = writer.option("partitionOverwriteMode", "static")
+        writer.mode("overwrite").parquet(self.path(table))
+
+    def touched(self, batch: DataFrame, table: Table) -> DataFrame:
+        """The stored rows of the partitions that ``batch`` has rows for. The range of its
+        partition values is two literals, so the scan reads no folder outside of it."""
+        old = self.read(table)
         if not table.partition:
-            raise ValueError(f"{table.name} is not partitioned")
-        # The batch is referred to three times below: compute it once.
+            return old
+        at = F.col(table.partition)
+        low, high = batch.agg(F.min(at), F.max(at)).first()
+        if low is None:
+            return old.where(F.lit(False))
+        values = batch.select(at).distinct()
+        return old.where(at.between(F.lit(low), F.lit(high))).join(values, table.partition, "left_semi")
+
+    def upsert(
+        self, batch: DataFrame, table: Table, order: Sequence[Column], newer: str | None = None
+    ) -> None:
+        """Upsert the first row of each key by ``order``. Of a partitioned table only the
+        partitions the batch touches are read and rewritten. With ``newer``, a batch row
+        whose value there is below the stored row's does not replace it."""
+        # The batch is referred to several times below: compute it once.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            touched = batch.select(table.partition).distinct()
-            old = self.read(table).join(touched, table.partition, "left_semi")
-            merged = upsert_replace(old, _padded(batch, table), table.key, order)
-            self.replace_partitions(merged, table)
+            old, fresh = self.touched(batch, table), _padded(batch, table)
+            if newer:
+                fresh = one_per_key(fresh, table.key, order)
+                stored = old.select(*table.key, F.col(newer).alias("_stored"))
+                late = fresh.join(stored, list(table.key)).where(F.col(newer) < F.col("_stored"))
+                fresh = fresh.join(late.select(*table.key), list(table.key), "left_anti")
+            merged = upsert_replace(old, fresh, table.key, order)
+            self._replace(merged, table)
         finally:
             batch.unpersist()
 
+    def upsert_columns(
+        self, batch: DataFrame, table: Table, columns: Sequence[str], order: Sequence[Column]
+    ) -> None:
+        """Upsert in which known keys take the batch's values in ``columns`` only."""
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            fresh = _padded(batch, table)
+            self._replace(
+                upsert_partial(self.touched(batch, table), fresh, table.key, columns, order), table
+            )
+        finally:
+            batch.unpersist()
+
+    def _replace(self, rows: DataFrame, table: Table) -> None:
+        if table.partition:
+            self.replace_partitions(rows, table)
+        else:
+            self.replace_all(rows, table)
+
     def insert_ignore(self, batch: DataFrame, table: Table, order: Sequence[Column]) -> None:
         """Append the rows whose key is not there yet; existing files stay untouched."""
-        touched = batch.select(table.partition).distinct() if table.partition else None
-        old = self.read(table)
-        if touched is not None:
-            old = old.join(touched, table.partition, "left_semi")
-        self.append(new_rows(old, _padded(batch, table), table.key, order), table)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            old = self.touched(batch, table)
+            self.append(new_rows(old, _padded(batch, table), table.key, order), table)
+        finally:
+            batch.unpersist()
+
+    def update(self, table: Table, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Replace the table by what ``change`` makes of it: a conditional update, or a
+        delete of rows whose parents are gone."""
+        self.replace_all(change(self.read(table)), table)
+
+    def drop_before(self, table: Table, first_kept: dt.date) -> list[str]:
+        """Retention: delete the folders of partition values below ``first_kept``, and
+        return their names. No row is read."""
+        if not table.partition:
+            raise ValueError(f"{table.name} is not partitioned")
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        gone = []
+        for status in fs.listStatus(root) if fs.exists(root) else []:
+            name, _, value = status.getPath().getName().partition("=")
+            if name == table.partition and value < first_kept.isoformat():
+                fs.delete(status.getPath(), True)
+                gone.append(value)
+        return sorted(gone)
 
 
 def _padded(batch: DataFrame, table: Table) -> DataFrame:

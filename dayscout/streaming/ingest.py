@@ -50,7 +50,7 @@ def refresh_features(store: Store, touched: DataFrame) -> None:
         "city",
         F.explode(F.sequence(F.date_sub("date", reach), F.date_add("date", reach))).alias("date"),
     ).distinct()
-    obs = store.read(OBSERVATIONS).join(needed, ["city", "date"], "left_semi")
+    obs = store.touched(needed, OBSERVATIONS).join(needed, ["city", "date"], "left_semi")
     fresh = rolling_features(obs.select(*FEATURE_INPUTS)).join(
         affected, ["city", "feature_date"], "left_semi"
     )
@@ -58,9 +58,10 @@ def refresh_features(store: Store, touched: DataFrame) -> None:
 
 
 def apply_batch(store: Store, payloads: DataFrame) -> None:
-    """One micro-batch: upsert observations, then refresh features. Idempotent."""
+    """One micro-batch: upsert observations, then refresh features. Idempotent. A payload
+    received before the stored one never replaces it, in whatever order files arrive."""
     batch = parse_batch(payloads).checkpoint()
-    store.upsert(batch, OBSERVATIONS, _newest_first())
+    store.upsert(batch, OBSERVATIONS, _newest_first(), newer="fetched_at")
     refresh_features(store, batch.select("city", "date"))
 
 

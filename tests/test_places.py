@@ -26,12 +26,16 @@ def distance(a, b):
 def test_radius_join_equals_brute_force(spark, radius):
     rng = np.random.default_rng(1)
     centres = [("equator", 0.0, 0.01), ("dateline", 10.0, 179.99), ("north", 69.9, 20.0),
-               ("south", -45.0, -179.97), ("mid", 48.85, 2.35), ("near", 48.86, 2.36)]
+               ("south", -45.0, -179.97), ("mid", 48.85, 2.35), ("near", 48.86, 2.36),
+               ("71", 71.0, 5.0), ("72", -72.0, 179.9), ("73", 73.0, -60.0), ("85", 85.0, 10.0),
+               ("85s", -85.0, 100.0), ("89", 89.0, -179.99), ("89.9", 89.9, 40.0), ("89.9s", -89.9, 0.0),
+               ("pole", 90.0, 12.0), ("south pole", -90.0, -77.0)]
     points = []
     for name, lat, lon in centres:
         for i in range(120):
-            y = lat + rng.normal(0, 0.12)
-            x = (lon + rng.normal(0, 0.2) + 180) % 360 - 180
+            y = max(-90.0, min(90.0, lat + rng.normal(0, 0.12)))
+            wide = 0.2 / max(math.cos(math.radians(lat)), 1e-3)
+            x = (lon + rng.normal(0, wide) + 180) % 360 - 180
             points.append((f"{name}{i}", "hotel", float(y), float(x)))
     c = spark.createDataFrame(centres, "city string, latitude double, longitude double")
     p = spark.createDataFrame(points, "hotel_name string, hotel_type string, latitude double, longitude double")
@@ -55,9 +59,21 @@ def test_lodging_types_are_a_parameter(spark):
     assert ops.radius_join(c, p, types=["museum"]).first()["hotel_name"] == "m"
 
 
-def test_grid_refuses_the_poles():
+def test_a_pair_far_north(spark):
+    c = spark.createDataFrame([("a", 85.0, 10.0)], "city string, latitude double, longitude double")
+    p = spark.createDataFrame([("h", "hotel", 85.0, 10.9)], "hotel_name string, hotel_type string, latitude double, longitude double")
+    assert ops.radius_join(c, p, 10_000.0).count() == 1
     with pytest.raises(ValueError):
-        Grid.for_radius(10_000.0, 89.5)
+        Grid.for_radius(0.0)
+
+
+def test_a_radius_of_half_the_globe(spark):
+    centres = spark.createDataFrame([("a", 10.0, 20.0)], "city string, latitude double, longitude double")
+    points = [(str(i), "hotel", -90.0 + 9 * (i // 12), -180.0 + 30 * (i % 12)) for i in range(12 * 21)]
+    p = spark.createDataFrame(points, "hotel_name string, hotel_type string, latitude double, longitude double")
+    for radius in (5e6, 9.9e6, 1.9e7, 3e7):
+        want = sorted(n for n, _, y, x in points if distance((10.0, 20.0), (y, x)) <= radius)
+        assert sorted(r["hotel_name"] for r in ops.radius_join(centres, p, radius).collect()) == want
 
 
 def recs(spark, scores, on=DAY):

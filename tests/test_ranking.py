@@ -37,6 +37,21 @@ def test_rank_within_single_score(spark):
     assert [r["rank"] for r in got] == list(range(1, 201))
 
 
+def test_one_score_and_one_prefix_are_many_tasks_work(spark):
+    df = spark.range(20_000).selectExpr(
+        "'g' AS g", "concat('Station_', lpad(id, 7, '0')) AS city", "100.0 AS score"
+    )
+    joined = "spark.sql.adaptive.coalescePartitions.enabled"  # so few rows would be one range
+    spark.conf.set(joined, "false")
+    try:
+        out = ranking.rank_within(df, ["g"], "score")
+        assert out.where("rank <> cast(substring(city, 9) AS int) + 1").count() == 0
+        parts = out.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset(joined)
+    assert len(parts) > 1 and max(r["count"] for r in parts) < 15_000
+
+
 def test_top_k_prunes_before_the_exchange(spark):
     df = spark.range(1000).select(
         (F.col("id") % 3).cast("string").alias("city"), F.col("id").cast("int").alias("stars"),

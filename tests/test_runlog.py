@@ -43,7 +43,8 @@ def test_a_running_maximum_would_differ(spark):
 @pytest.mark.parametrize("seed", range(4))
 def test_equals_the_loop(spark, kind, seed):
     rng = random.Random(seed)
-    values = [round(rng.random() ** (1 + seed), 3) for _ in range(400)]
+    digits = 3 if seed % 2 else 6
+    values = [round(rng.random() ** (1 + seed), digits) for _ in range(400)]
     got = [r["run_id"] for r in promoted(spark, values, kind)]
     assert got == loop(values, runlog.PROMOTION_DELTA[kind])
 
@@ -62,3 +63,20 @@ def test_last_runs_and_single_rule(spark):
     assert runlog.beats_champion("kmeans", 0.1, None)
     assert not runlog.beats_champion("kmeans", 0.54, 0.5)
     assert runlog.beats_champion("regression", 0.52, 0.5)
+
+
+def test_the_stored_metric_decides(spark):
+    """A gain of more than the delta that rounding to three decimals would hide."""
+    values = [0.9004, 0.91045, 0.920449, 0.92046]
+    assert [r["run_id"] for r in promoted(spark, values, "regression")] == loop(values, 0.01) == [0, 1, 3]
+
+
+def test_a_log_that_always_rises(spark):
+    """Every run is higher than all before it; nothing is gathered into one array."""
+    n = 200_000
+    runs = spark.range(n).selectExpr(
+        "'kmeans' AS model_type", "'silhouette_score' AS metric_name", f"id / {n} AS metric_value",
+        "DATE '2024-01-01' AS created_at", "id AS run_id",
+    )
+    got = [r["run_id"] for r in runlog.promotions(runs).orderBy("sequence").collect()]
+    assert got == loop([i / n for i in range(n)], runlog.PROMOTION_DELTA["kmeans"])

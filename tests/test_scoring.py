@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dayscout.functions import scoring
 from dayscout.operators.profiles import score_profiles, with_default_score
 from dayscout.operators.ranking import rank_clusters
-from dayscout.sources.dims import SEED_PROFILES, SKIER, Profile, profiles_from_table, profiles_table
+from dayscout.sources.dims import SEED_PROFILES, SKIER, Profile, profiles_table
 
 TRIPLE = "temp_mean_3d double, precip_sum_3d double, wind_max_3d double"
 
@@ -19,31 +19,38 @@ def comfort(spark, *triples, **kwargs):
     return [r[0] for r in df.select(scoring.comfort_score(*cols, **kwargs)).collect()]
 
 
-@pytest.mark.parametrize(
-    "triple,expected",
-    [
-        ((20.0, 0.0, 0.0), 100.00),
-        ((25.0, 0.0, 50.0), 68.04),
-        ((14.0, 20.0, 30.0), 36.90),
-        ((5.0, 30.0, 40.0), 6.31),
-        ((35.0, 0.0, 5.0), 48.57),
-        ((20.0, 200.0, 10.0), 63.41),
-        ((15.0, 10.0, 25.0), 46.75),
-        ((None, None, None), 50.00),
-        ((math.nan, math.nan, math.nan), 50.00),
-    ],
-)
-def test_comfort_anchor(spark, triple, expected):
-    assert comfort(spark, triple) == [expected]
+def part(x, weight, value):
+    """Half the weight where the input is missing."""
+    return weight / 2 if x is None or math.isnan(x) else weight * value(x)
 
 
-def test_comfort_shape(spark):
-    ideal, low, high, hot, cold = comfort(
-        spark, (20.0, 0.0, 0.0), (14.0, 0.0, 0.0), (26.0, 0.0, 0.0), (50.0, 0.0, 0.0),
-        (-20.0, 0.0, 0.0),
+def comfort_formula(t, r, w):
+    return (
+        part(t, 50, lambda x: math.exp(-(((x - 20) / 6) ** 2) / 2))
+        + part(r, 30, lambda x: math.exp(-x / 5))
+        + part(w, 20, lambda x: math.exp(-x / 25))
     )
-    assert ideal > low and ideal > high and abs(low - high) < 5
-    assert 0 <= cold < 60 and 0 <= hot < 60
+
+
+GRID = [(t, r, w) for t in (-11.0, 3.5, 17.25, 23.0, 41.0, None) for r in (0.0, 0.75, 8.0, 63.0, math.nan)
+        for w in (0.0, 12.5, 71.0, None)]
+
+
+def test_comfort_is_its_formula(spark):
+    got = comfort(spark, *GRID)
+    assert got == pytest.approx([comfort_formula(*x) for x in GRID], abs=0.0051)
+    assert all(x == round(x, 2) for x in got)
+
+
+def test_comfort_is_symmetric_around_the_ideal_and_falls_with_rain_and_wind(spark):
+    steps = [0.5 * i for i in range(1, 25)]
+    warm = comfort(spark, *[(20 + s, 2.0, 9.0) for s in steps], digits=None)
+    cool = comfort(spark, *[(20 - s, 2.0, 9.0) for s in steps], digits=None)
+    assert warm == pytest.approx(cool) and warm == sorted(warm, reverse=True)
+    for i in (1, 2):
+        rows = [tuple(s if i == j else x for j, x in enumerate((16.0, 1.0, 4.0))) for s in steps]
+        scores = comfort(spark, *rows, digits=None)
+        assert scores == sorted(scores, reverse=True) and len(set(scores)) == len(steps)
 
 
 def test_comfort_constants_are_parameters(spark):
@@ -58,32 +65,37 @@ def scores_of(spark, triple, profiles):
     return {r["profile_name"]: r["comfort_score"] for r in rows}
 
 
-@pytest.mark.parametrize(
-    "triple,expected",
-    [
-        ((18.0, 5.0, 30.0), (64.36, 88.88, 52.02, 35.60, 32.87)),
-        ((18.0, 5.0, 5.0), (74.71, 54.01, 63.13, 57.83, 32.87)),
-        ((18.0, 20.0, 10.0), (61.25, 66.19, 52.18, 43.43, 47.00)),
-        ((0.0, 10.0, 15.0), (15.23, 47.31, 10.94, 26.81, 79.96)),
-    ],
-)
-def test_profile_anchor(spark, triple, expected):
-    got = scores_of(spark, triple, [*SEED_PROFILES, SKIER])
-    names = ["leisure", "wind_sports_enthusiast", "cyclist", "stargazer", "skier"]
-    assert tuple(got[n] for n in names) == expected
+def profile_formula(p, t, r, w):
+    def exposure(x, weight, scale, preference):
+        shapes = {"seek": lambda v: 1 - math.exp(-v / scale), "neutral": lambda v: 0.7}
+        return part(x, weight, shapes.get(preference, lambda v: math.exp(-v / scale)))
+
+    return (
+        part(t, p.temp_weight, lambda v: math.exp(-(((v - p.temp_ideal) / p.temp_tolerance) ** 2) / 2))
+        + exposure(r, p.rain_weight, p.rain_decay, p.rain_preference)
+        + exposure(w, p.wind_weight, p.wind_decay, p.wind_preference)
+    )
 
 
-def test_profile_preferences(spark):
-    wind, cyclist = SEED_PROFILES[1], SEED_PROFILES[2]
-    strong = scores_of(spark, (18.0, 5.0, 35.0), [wind])
-    calm = scores_of(spark, (18.0, 5.0, 5.0), [wind])
-    assert strong["wind_sports_enthusiast"] > calm["wind_sports_enthusiast"] + 20
-    dry = scores_of(spark, (18.0, 0.0, 10.0), [cyclist])
-    wet = scores_of(spark, (18.0, 20.0, 10.0), [cyclist])
-    assert dry["cyclist"] > wet["cyclist"] + 30
-    freezing = scores_of(spark, (0.0, 10.0, 15.0), [SKIER])
-    warm = scores_of(spark, (20.0, 10.0, 15.0), [SKIER])
-    assert freezing["skier"] > warm["skier"] + 20
+@pytest.mark.parametrize("triple", [(-6.5, 0.0, 3.0), (11.0, 2.25, 44.0), (29.5, 33.0, 8.5), (None, 4.0, None)])
+def test_profiles_are_their_formula(spark, triple):
+    everyone = [*SEED_PROFILES, SKIER]
+    got = scores_of(spark, triple, everyone)
+    assert got == pytest.approx({p.profile_name: profile_formula(p, *triple) for p in everyone}, abs=0.0051)
+
+
+@pytest.mark.parametrize("column", [1, 2])
+def test_preferences_turn_a_part_over(spark, column):
+    """What avoiding loses by more rain or wind, seeking gains; neutral does not move."""
+    kinds = ("avoid", "neutral", "seek")
+    kind = lambda i, x: x if i == column else "avoid"
+    profiles = [Profile(x, 40.0, 15.0, 7.0, 30.0, 8.0, kind(1, x), 30.0, 8.0, kind(2, x)) for x in kinds]
+    low, high = (
+        scores_of(spark, tuple(v if i == column else 9.0 for i in range(3)), profiles) for v in (2.0, 13.0)
+    )
+    change = {x: high[x] - low[x] for x in kinds}
+    assert change["avoid"] < 0 and change["neutral"] == 0
+    assert change["seek"] == pytest.approx(-change["avoid"], abs=0.021)
 
 
 def test_unknown_preference_behaves_as_avoid(spark):
@@ -108,14 +120,23 @@ def test_column_parameters_equal_literal_ones(spark):
     assert got == scores_of(spark, (18.0, 5.0, 30.0), [*SEED_PROFILES, SKIER])
 
 
-def test_profiles_table_round_trip(spark):
-    table = profiles_table(spark)
-    assert [r[0] for r in table.select("profile_name").collect()] == sorted(
-        p.profile_name for p in SEED_PROFILES
-    )
-    assert profiles_from_table(table) == sorted(SEED_PROFILES, key=lambda p: p.profile_name)
-    with pytest.raises(ValueError):
-        profiles_from_table(table, limit=3)
+def test_scores_from_the_profile_table(spark):
+    """The table scores like the objects, and two thousand profiles plan like two."""
+    df = spark.createDataFrame(
+        [(f"x{i}", *t) for i, t in enumerate([(18.0, 5.0, 30.0), (None, 0.5, 2.0)])], "city string, " + TRIPLE
+    ).withColumn("feature_date", F.lit("2024-01-01").cast("date"))
+    everyone = [*SEED_PROFILES, SKIER]
+    rows = lambda out: sorted(map(tuple, out.collect()))
+    table = profiles_table(spark, everyone)
+    assert rows(score_profiles(df, table)) == rows(score_profiles(df, everyone))
+    many = table.crossJoin(spark.range(400)).withColumn(
+        "profile_name", F.concat_ws("-", "profile_name", "id")
+    ).drop("id")
+    plans = [
+        score_profiles(df, t)._jdf.queryExecution().optimizedPlan().toString() for t in (table, many)
+    ]
+    assert score_profiles(df, many).count() == 2 * 2000
+    assert plans[0].count("explode") == plans[1].count("explode") == 1
 
 
 def test_default_score_is_zero_when_absent(spark):

@@ -55,3 +55,22 @@ def test_stream_equals_batch(spark, tmp_path):
     got = {key(r): r for r in store.read(FEATURES).select(*names).collect()}
     want = {key(r): r for r in rolling_features(table.select(*FEATURE_INPUTS)).select(*names).collect()}
     assert got == want
+
+
+def test_files_in_reverse_order_give_the_same_state(spark, tmp_path):
+    """A payload that was received earlier but arrives later replaces nothing."""
+    start = dt.date(2024, 3, 1)
+    files = [
+        ("old", payload(start, [10.0, 11.0, 12.0]), "2024-03-01T00:00:00Z"),
+        ("new", payload(start + dt.timedelta(days=1), [20.0, 21.0]), "2024-03-02T00:00:00Z"),
+    ]
+    states = []
+    for order in (files, files[::-1]):
+        root = tmp_path / order[0][0]
+        (root / "in").mkdir(parents=True)
+        store = Store(spark, str(root / "tables"))
+        for name, text, at in order:
+            drop(root / "in", f"{name}.json", ("x", text, at))
+            run(store, root)
+        states.append(sorted((r["date"], r["temp_max"]) for r in store.read(OBSERVATIONS).collect()))
+    assert states[0] == states[1] == [(start + dt.timedelta(days=i), v) for i, v in enumerate((10.0, 20.0, 21.0))]

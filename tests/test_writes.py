@@ -6,7 +6,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayscout.operators import writes
-from dayscout.schemas import ALL_TABLES, FEATURES, OBSERVATIONS, RECOMMENDATIONS
+from dayscout.operators.runlog import current_champion
+from dayscout.operators.timeseries import rolling_features
+from dayscout.schemas import (
+    ALL_TABLES,
+    FEATURES,
+    MODEL_RUNS,
+    OBSERVATIONS,
+    POIS,
+    RECOMMENDATIONS,
+)
 from dayscout.sources import scans
 from dayscout.sources.store import Store, shared_dir
 
@@ -121,3 +130,59 @@ def test_sql_with_parameters(spark):
     assert scans.has_column(df, "k") and not scans.has_column(df, "z")
     assert not scans.has_table(spark, "no_such_table")
     assert scans.declared_schema("weather_features") == FEATURES.schema
+
+
+def test_upsert_reads_only_the_touched_dates(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    days = [dt.date(2024, 1, i) for i in range(1, 21)]
+    store.append(observations(spark, [("a", d, 1.0, 1) for d in days]), OBSERVATIONS)
+    batch = observations(spark, [("a", days[4], 5.0, 1), ("b", days[6], 6.0, 1)]).persist()
+    plan = store.touched(batch, OBSERVATIONS)._jdf.queryExecution().executedPlan().toString()
+    assert "date#" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "2024-01-05" in plan or ">= 19727" in plan
+    store.upsert(batch, OBSERVATIONS, [F.col("n")])
+    assert store.read(OBSERVATIONS).count() == 21
+
+
+def test_unpartitioned_tables_are_written_too(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    names = "city string, hotel_name string, hotel_type string, stars int"
+    rows = lambda *r: spark.createDataFrame(list(r), names)
+    store.upsert(rows(("a", "x", "hotel", 3), ("a", "y", "hotel", 1)), POIS, [F.col("stars").desc()])
+    store.upsert(rows(("a", "y", "hostel", 2), ("b", "z", "hotel", 5)), POIS, [F.col("stars").desc()])
+    got = pairs(store.read(POIS), "hotel_name", "hotel_type", "stars")
+    assert got == [("x", "hotel", 3), ("y", "hostel", 2), ("z", "hotel", 5)]
+    store.upsert_columns(rows(("a", "x", "inn", 4), ("c", "w", "inn", 1)), POIS, ["stars"], [F.col("stars")])
+    assert pairs(store.read(POIS), "hotel_name", "hotel_type", "stars")[:2] == [("w", "inn", 1), ("x", "hotel", 4)]
+    parents = spark.createDataFrame([("a",)], "city string")
+    store.update(POIS, lambda old: writes.cascade_delete(old, parents, ["city"]))
+    assert pairs(store.read(POIS), "hotel_name") == [("x",), ("y",)]
+
+
+def test_the_run_log_survives_storage(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    day = dt.date(2024, 1, 1)
+    runs = spark.createDataFrame(
+        [(day, i, "kmeans", "silhouette_score", 0.1 * i, i == 2) for i in range(4)],
+        "run_date date, run_id long, model_type string, metric_name string, metric_value double, is_champion boolean",
+    ).withColumn("created_at", F.lit(day).cast("timestamp"))
+    store.append(runs, MODEL_RUNS)
+    assert current_champion(store.read(MODEL_RUNS)).first()["run_id"] == 2
+    store.update(MODEL_RUNS, lambda old: writes.clear_flag(old, "is_champion", F.col("run_id") == 2))
+    assert current_champion(store.read(MODEL_RUNS)).count() == 0
+
+
+def test_retention_drops_folders(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    days = [dt.date(2024, 1, i) for i in (1, 2, 3)]
+    store.append(observations(spark, [("a", d, 1.0, 1) for d in days]), OBSERVATIONS)
+    assert store.drop_before(OBSERVATIONS, days[2]) == ["2024-01-01", "2024-01-02"]
+    assert pairs(store.read(OBSERVATIONS), "date") == [(days[2],)]
+
+
+def test_missing_readings_are_no_numbers(spark):
+    day = dt.date(2024, 1, 1)
+    rows = [("a", day, 4.0, 1.0, 9.0), ("a", day + dt.timedelta(days=1), float("nan"), None, float("nan"))]
+    obs = spark.createDataFrame(rows, "city string, date date, temp_mean double, precipitation double, wind_speed_max double")
+    last = rolling_features(obs).orderBy("feature_date").collect()[-1]
+    assert (last["temp_mean_3d"], last["precip_sum_3d"], last["wind_max_3d"]) == (4.0, 1.0, 9.0)
