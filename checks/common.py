@@ -87,15 +87,9 @@ def obs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-_AS_OF: dict[str, dt.date] = {}
-
-
 def as_of(spark: SparkSession, d: str) -> dt.date:
     """The job date parameter: the newest day in the observations."""
-    if d not in _AS_OF:
-        newest = table(spark, d, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
-        _AS_OF[d] = newest
-    return _AS_OF[d]
+    return table(spark, d, "lineitem").agg(F.max("l_shipdate").cast("date")).first()[0]
 
 
 def features(spark: SparkSession, d: str) -> DataFrame:

@@ -119,7 +119,7 @@ def backfill_features(spark, d):
 def retrain_job(spark, d):
     rows, runs = c.features(spark, d), c.runs(spark, d)
     root = f"{shared_dir(spark)}/models/retrain"
-    result = retrain.retrain(rows, runs, c.as_of(spark, d), root, run_id=10**9, folds=None)
+    result = retrain.retrain(rows, runs, c.as_of(spark, d), root, run_id=10**9, partitions=2)
     return result.log.groupBy("model_type", "is_champion").agg(
         F.count("*").alias("n_runs"), F.max("run_id").alias("last_run")
     )

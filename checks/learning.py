@@ -1,6 +1,8 @@
 """Learning operators. Seeded fits are not expressible in SQL; their tests check
 invariants instead."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks import common as c
@@ -112,7 +114,7 @@ def silhouette_newest_date(spark, d):
 @check("silhouette_scalable")
 def silhouette_scalable(spark, d):
     rows = complete(c.features(spark, d), CLUSTER_FEATURES)
-    fit = ml.fit_clusters(rows, 4, restarts=1, with_silhouette=False)
+    fit = ml.fit_clusters(rows, 4, with_silhouette=False)
     assigned = ml.assign_clusters(fit.model, rows, keep_vector=True)
     value = silhouette_squared(assigned)
     return assigned.agg(F.count("*").alias("n_rows")).withColumn("silhouette", F.lit(value))
@@ -122,7 +124,7 @@ def silhouette_scalable(spark, d):
 def optimal_k(spark, d):
     """Inertia and silhouette per k on the newest date, with the elbow."""
     rows = c.daily_features(spark, d)
-    curve = ml.scan_k(rows, range(2, 7), restarts=3)
+    curve = ml.scan_k(rows, range(2, 7), partitions=FEW)
     best = ml.elbow(curve).select("elbow_k")
     return curve.withColumn("elbow_k", best.scalar())
 
@@ -162,44 +164,46 @@ _single_fit("gbt_fit", "gradient_boosting")
 @check("train_eval")
 def train_eval(spark, d):
     """The retraining form: last 90 days, boosting, metrics of both parts and folds."""
-    return _metrics_frame(spark, ml.train_regression(_window(spark, d)).metrics)
+    return _metrics_frame(spark, ml.train_regression(_window(spark, d), partitions=FEW).metrics)
 
 
 @check("cross_validate_r2")
 def cross_validate_r2(spark, d):
-    fit = ml.train_regression(_usable(spark, d), "ridge")
+    fit = ml.train_regression(_window(spark, d), partitions=FEW)
     wanted = {k: v for k, v in fit.metrics.items() if k.startswith("cv_")}
     return _metrics_frame(spark, wanted)
 
 
 @check("feature_importances")
 def feature_importances(spark, d):
-    fit = ml.train_regression(_usable(spark, d), "random_forest", folds=None)
+    """Of the boosted model, the one that is served."""
+    fit = ml.train_regression(_window(spark, d), folds=None, partitions=FEW)
     return spark.createDataFrame(fit.importances, "feature string, importance double")
 
 
-_STORED: dict[tuple[str, str], str] = {}
+#: partitions of the fits over 90 days of 25 places
+FEW = 2
 
 
 def champions(spark, d):
-    """The stored cluster and regression models: trained on the first call, as the
-    weekly job would, and loaded from the shared folder by every job that serves them."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _STORED:
-        rows = _window(spark, d)
+    """The cluster and regression models, trained as the weekly job would, stored in the
+    shared folder and loaded from there, as the jobs that serve them do. (Folds and the
+    silhouette are figures of the training job; no served model depends on them.)"""
+    rows = _window(spark, d).persist()
+    try:
         clusters, fit = ml.at_once(
             spark,
             lambda train: train(),
             [
-                lambda: ml.fit_clusters(newest_rows(rows), 4, with_silhouette=False),
-                lambda: ml.train_regression(rows, folds=None),
+                lambda: ml.fit_clusters(newest_rows(rows), 4, with_silhouette=False, partitions=FEW),
+                lambda: ml.train_regression(rows, folds=None, partitions=FEW),
             ],
         )
-        root = f"{shared_dir(spark)}/models/champions-{len(_STORED)}"
-        ml.save_model(clusters.model, f"{root}/kmeans")
-        ml.save_model(fit.model, f"{root}/regression")
-        _STORED[key] = root
-    root = _STORED[key]
+    finally:
+        rows.unpersist()
+    root = f"{shared_dir(spark)}/models/champions-{uuid.uuid4().hex}"
+    ml.save_model(clusters.model, f"{root}/kmeans")
+    ml.save_model(fit.model, f"{root}/regression")
     return ml.load_model(f"{root}/kmeans"), ml.load_model(f"{root}/regression")
 
 
@@ -213,14 +217,14 @@ def rank_feature_importance(spark, d):
 
 @check("compare_models")
 def compare_models(spark, d):
-    return ml.compare_models(_window(spark, d), folds=None)[0]
+    """All three models, each with its folds."""
+    return ml.compare_models(_window(spark, d), partitions=FEW)[0]
 
 
 @check("order_model_comparison")
 def order_model_comparison(spark, d):
     """The best model only: all models in one table, first by test R2."""
-    table, _ = ml.compare_models(_usable(spark, d), ["ridge", "random_forest"], folds=None)
-    return table.limit(1)
+    return ml.compare_models(_window(spark, d), folds=None, partitions=FEW)[0].limit(1)
 
 
 @check("predict_clipped")

@@ -62,9 +62,12 @@ def retrain(
     days_back: int = DAYS_BACK,
     k: int = N_CLUSTERS,
     folds: int | None = 5,
+    partitions: int | None = None,
 ) -> Retrained:
     """Train both models, compare with the champions, log, and store the models.
 
+    ``partitions`` is that of the fits: 90 days of few places need few.
+
     Models are saved under their run id; the log names the champion, so promotion
     never overwrites a model that is being read.
     """
@@ -75,8 +78,10 @@ def retrain(
             spark,
             lambda train: train(),
             [
-                lambda: fit_clusters(newest_rows(window), k),
-                lambda: train_regression(window, "gradient_boosting", folds=folds),
+                lambda: fit_clusters(newest_rows(window), k, partitions=partitions),
+                lambda: train_regression(
+                    window, "gradient_boosting", folds=folds, partitions=partitions
+                ),
             ],
         )
     finally:
