@@ -14,7 +14,7 @@ def corpus(spark):
     rnd = random.Random(8)
     words = [a + b for a in ("ta", "mo", "ri", "se", "lu") for b in ("", "n", "ra", "ke", "st")]
     rows = []
-    for i in range(900):
+    for i in range(3000):
         text = " ".join(rnd.choice(words) for _ in range(rnd.randint(15, 200)))
         good = rnd.random() < 0.8
         if not good:
