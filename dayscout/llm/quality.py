@@ -187,7 +187,7 @@ def best_bin(unlabelled: np.ndarray, positive: np.ndarray) -> float:
     n, m = unlabelled.sum(), positive.sum()
     u = np.cumsum(unlabelled[::-1]) / n
     p = np.cumsum(positive[::-1]) / m
-    margin = np.sqrt(np.log(20) / (2 * n)) + np.sqrt(np.log(20) / (2 * m))
+    margin = np.sqrt(np.log(40) / (2 * n)) + np.sqrt(np.log(40) / (2 * m))
     fit = p > 0
     bound = (u[fit] + margin) / p[fit]
     best = int(np.argmin(bound))
@@ -224,11 +224,15 @@ def fit(rows: DataFrame, penalty: float = 1e-3, steps: int = 12):
     mean = np.array([found[k]["m"] for k in range(WIDTH)])
     scale = np.array([found[k]["s"] for k in range(WIDTH)])
     scale[scale < 1e-6] = 1.0
-    risk = Risk(rows, mean, scale, penalty)
-    # positives against all text orders the scores; their top bins give the prior
-    w = risk.least(np.zeros(WIDTH + 1), 0.5, steps)
-    prior = _histogram(rows, w, mean, scale)
-    return risk.least(w, prior, steps), mean, scale, prior
+    # half of the positives against all text orders the scores; the other half, which that
+    # fit has not seen, gives the prior
+    side = F.pmod(F.xxhash64("x"), F.lit(2))
+    seen, unseen = (rows.select("x", (F.col("positive") & (side == k)).alias("positive")) for k in (0, 1))
+    if seen.where("positive").isEmpty() or unseen.where("positive").isEmpty():
+        seen = unseen = rows
+    w = Risk(seen, mean, scale, penalty).least(np.zeros(WIDTH + 1), 0.5, steps)
+    prior = _histogram(unseen, w, mean, scale)
+    return Risk(rows, mean, scale, penalty).least(w, prior, steps), mean, scale, prior
 
 
 def _feature_table(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, remainder: int) -> DataFrame:
