@@ -131,16 +131,19 @@ def edited_fingerprints(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     ranked, total = numbered(heads, [F.col("doc_id").desc_nulls_last(), F.col("key")], "rank")
     before = ranked.select(
         F.col("key").alias("to"),
+        F.col("doc_id").alias("to_id"),
         F.floor(F.col("n") / 2).cast("int").alias("take"),
         F.pmod(F.col("rank") + 1, F.lit(max(total, 1))).alias("rank"),
     )
-    lent = ranked.join(before, "rank").select("key", "to", "take")
-    sent = rows.join(lent, "key")
+    lent = ranked.join(before, "rank").select("key", "to", "to_id", "take")
+    # both joins read the same columns of the texts, so that one exchange serves them
+    texts = rows.select("key", "t")
+    sent = texts.join(lent, "key")
     if (ranked.agg(F.max("m")).first()[0] or 1) > 1:
         sent = sent.dropDuplicates(["key"])
     sent = with_fingerprint(sent, "t", "fp", k, w)
-    sent = sent.select(F.col("to").alias("key"), F.left("t", F.col("take")).alias("head"), hashes(F.col("fp")).alias("next_fp"))
-    own = rows.join(sent, "key")
+    sent = sent.select(F.col("to").alias("key"), F.col("to_id").alias("doc_id"), F.left("t", F.col("take")).alias("head"), hashes(F.col("fp")).alias("next_fp"))
+    own = texts.join(sent, "key")
     n = F.length("t")
     edited = F.concat(F.left("t", n - F.floor(n / 2).cast("int")), F.col("head"))
     own = own.select("doc_id", "t", "next_fp", edited.alias("e"))
