@@ -41,13 +41,13 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _MULTIPLIERS = [0x9E3779B97F4A7C15 * (2 * i + 1) % 2**64 | 1 for i in range(1, 65)]
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 #: a task packs its shingles at so many, or at so many documents
-FLUSH_SHINGLES, FLUSH_DOCUMENTS = 2_000_000, 65_535
+FLUSH_SHINGLES, FLUSH_DOCUMENTS = 1_000_000, 65_535
 #: a shingle in so many sets of one flush is frequent at once; one in more than
 #: ``FREQUENT`` sets of all is frequent, too
 LOCALLY_FREQUENT, FREQUENT = 64, 32
 _MARK = 2**31 - 1
-#: bytes of text behind one range of hashes: about two million shingles
-RANGE_BYTES = 12 << 20
+#: bytes of text behind one range of hashes: about a million shingles
+RANGE_BYTES = 6 << 20
 #: shingles, with 500 for a document, in a block of the verification
 BLOCK = 600_000
 
