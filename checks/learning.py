@@ -169,15 +169,16 @@ def train_eval(spark, d):
 
 @check("cross_validate_r2")
 def cross_validate_r2(spark, d):
-    fit = ml.train_regression(_window(spark, d), partitions=FEW)
+    """Of the boosted model over all history."""
+    fit = ml.train_regression(_usable(spark, d))
     wanted = {k: v for k, v in fit.metrics.items() if k.startswith("cv_")}
     return _metrics_frame(spark, wanted)
 
 
 @check("feature_importances")
 def feature_importances(spark, d):
-    """Of the boosted model, the one that is served."""
-    fit = ml.train_regression(_window(spark, d), folds=None, partitions=FEW)
+    """Of the boosted model over all history. (No importance depends on the folds.)"""
+    fit = ml.train_regression(_usable(spark, d), folds=None)
     return spark.createDataFrame(fit.importances, "feature string, importance double")
 
 
@@ -217,14 +218,14 @@ def rank_feature_importance(spark, d):
 
 @check("compare_models")
 def compare_models(spark, d):
-    """All three models, each with its folds."""
-    return ml.compare_models(_window(spark, d), partitions=FEW)[0]
+    """All three models over all history, each with its folds."""
+    return ml.compare_models(_usable(spark, d))[0]
 
 
 @check("order_model_comparison")
 def order_model_comparison(spark, d):
     """The best model only: all models in one table, first by test R2."""
-    return ml.compare_models(_window(spark, d), folds=None, partitions=FEW)[0].limit(1)
+    return ml.compare_models(_usable(spark, d))[0].limit(1)
 
 
 @check("predict_clipped")
