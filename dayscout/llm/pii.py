@@ -127,27 +127,48 @@ def _holds(text: Column, kind: Kind) -> Column:
 
 
 def _matches(df: DataFrame, text: str, kind: Kind) -> DataFrame:
-    """Adds _m (the matches of the kind) and _g (what lies before, between and after)."""
+    """Adds _m (the matches of the kind), _g (what lies before, between and after) and _s
+    (where each match starts)."""
     pattern = F.lit(kind.pattern)
     empty = F.array().cast("array<string>")
     found = F.regexp_extract_all(F.col(text), pattern, F.lit(0))
     df = df.withColumn("_m", F.when(_holds(F.col(text), kind), found).otherwise(empty))
     gaps = F.split(F.col(text), kind.pattern, -1)
-    return df.withColumn("_g", F.when(F.size("_m") > 0, gaps).otherwise(empty))
+    df = df.withColumn("_g", F.when(F.size("_m") > 0, gaps).otherwise(empty))
+    df = df.withColumn(
+        "_l", F.transform("_m", lambda m, i: F.length(m) + F.length(F.get("_g", i)))
+    )
+    count = F.ceil(F.size("_m") / _BLOCK).cast("int")
+    df = df.withColumn(
+        "_b",
+        F.when(F.size("_m") <= _BLOCK, F.array(F.lit(0))).otherwise(
+            F.transform(
+                F.sequence(F.lit(0), count - 1),
+                lambda b: F.aggregate(
+                    F.slice("_l", b * _BLOCK + 1, F.lit(_BLOCK)), F.lit(0), lambda acc, x: acc + x
+                ),
+            )
+        ),
+    )
+    return df.withColumn("_s", _starts())
 
 
 def _scored(kind: Kind) -> Column:
-    """For each match: the score if it is confirmed, else null."""
-    window = F.lit(CONTEXT)
+    """For each match: the score if it is confirmed, else null. The context is that of the
+    whole text, other matches included."""
+
+    def reported(score: float) -> Column:
+        return F.lit(score if score >= THRESHOLD else None).cast("double")
 
-    def one(match: Column, i: Column) -> Column:
-        before = F.right(F.get("_g", i), window)
-        after = F.left(F.get("_g", i + 1), window)
+    def one(x: Column) -> Column:
+        start, match = x["_s"], x["_m"]
+        before = F.substring("_t", F.greatest(start - CONTEXT, F.lit(0)) + 1, F.least(start, F.lit(CONTEXT)))
+        after = F.substring("_t", start + F.length(match) + 1, F.lit(CONTEXT))
         near = F.lower(F.concat(before, F.lit(" "), after)).rlike(rf"(?:{kind.words})")
-        score = F.lit(kind.score) + F.when(near, kind.bonus).otherwise(0.0)
-        return F.when(kind.confirm(match) & (score >= THRESHOLD), score)
+        score = F.when(near, reported(kind.score + kind.bonus)).otherwise(reported(kind.score))
+        return F.when(kind.confirm(match), score)
 
-    return F.transform("_m", one)
+    return F.transform(F.arrays_zip("_m", "_s"), one)
 
 
 def _starts() -> Column:
@@ -168,15 +189,16 @@ def _starts() -> Column:
 
 
 def _spans(name: str) -> Column:
-    def one(start: Column, i: Column) -> Column:
+    # zipped, for Spark may copy a column that a lambda names once into it, for each match
+    def one(x: Column) -> Column:
         return F.struct(
             F.lit(name).alias("kind"),
-            start.alias("start"),
-            (start + F.length(F.get("_m", i))).alias("end"),
-            F.get("_c", i).alias("score"),
+            x["_s"].alias("start"),
+            (x["_s"] + F.length(x["_m"])).alias("end"),
+            x["_c"].alias("score"),
         )
 
-    return F.filter(F.transform("_s", one), lambda x: x["score"].isNotNull())
+    return F.filter(F.transform(F.arrays_zip("_s", "_m", "_c"), one), lambda x: x["score"].isNotNull())
 
 
 def find_pii(docs: DataFrame, text_column: str = "text", out: str = "pii", kinds=KINDS) -> DataFrame:
@@ -193,22 +215,7 @@ def find_pii(docs: DataFrame, text_column: str = "text", out: str = "pii", kinds
     done = []
     for n, kind in enumerate(kinds):
         df = _matches(df, "_t", kind)
-        df = df.withColumn(
-            "_l", F.transform("_m", lambda m, i: F.length(m) + F.length(F.get("_g", i)))
-        )
-        count = F.ceil(F.size("_m") / _BLOCK).cast("int")
-        df = df.withColumn(
-            "_b",
-            F.when(F.size("_m") <= _BLOCK, F.array(F.lit(0))).otherwise(
-                F.transform(
-                    F.sequence(F.lit(0), count - 1),
-                    lambda b: F.aggregate(
-                        F.slice("_l", b * _BLOCK + 1, F.lit(_BLOCK)), F.lit(0), lambda acc, x: acc + x
-                    ),
-                )
-            ),
-        )
-        df = df.withColumn("_s", _starts()).withColumn("_c", _scored(kind))
+        df = df.withColumn("_c", _scored(kind))
         df = df.withColumn(f"_found{n}", F.when(F.size("_m") > 0, _spans(kind.name)).otherwise(F.array().cast(_SPAN)))
         done.append(f"_found{n}")
         df = df.select("_row", "_t", *done)
@@ -258,7 +265,7 @@ def redact(docs: DataFrame, text_column: str = "text", kinds=KINDS) -> DataFrame
     )
     for kind in kinds:
         df = _matches(df, "_t", kind).withColumn("_c", _scored(kind))
-        pieces = F.transform("_g", _piece(f"<{kind.name.upper()}>"))
+        pieces = F.transform(F.arrays_zip("_g", "_m", "_c"), _piece(f"<{kind.name.upper()}>"))
         left = F.when(F.size("_m") > 0, F.array_join(pieces, "")).otherwise(F.col("_t"))
         df = df.select("_row", left.alias("_t"))
     new = {text_column: F.when(F.col(f"_row.`{text_column}`").isNotNull(), F.col("_t"))}
@@ -268,8 +275,8 @@ def redact(docs: DataFrame, text_column: str = "text", kinds=KINDS) -> DataFrame
 
 
 def _piece(mark: str):
-    def one(gap: Column, i: Column) -> Column:
-        match = F.when(F.get("_c", i).isNotNull(), F.lit(mark)).otherwise(F.get("_m", i))
-        return F.concat(gap, F.when(i < F.size("_m"), match).otherwise(F.lit("")))
+    def one(x: Column) -> Column:
+        match = F.when(x["_c"].isNotNull(), F.lit(mark)).otherwise(F.coalesce(x["_m"], F.lit("")))
+        return F.concat(x["_g"], match)
 
     return one
