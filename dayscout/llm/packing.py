@@ -58,6 +58,10 @@ class ByteBPE:
         ids = self._encoding.encode(text, allowed_special=self._allowed, disallowed_special=())
         return np.array(ids, "<u4").tobytes()
 
+    def pieces(self, pre_token: str) -> int:
+        """How many ids one pre-token has."""
+        return len(self._encoding._encode_single_piece(pre_token.encode()))
+
 
 #: the split of this family of tokenizers, a fixed value of the format
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

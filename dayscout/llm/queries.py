@@ -15,6 +15,7 @@ from dayscout.llm import (
     pieces,
     pii,
     quality,
+    token_counts,
     urls,
     winnow,
 )
@@ -189,3 +190,8 @@ JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) r ON r.x = d.doc_i
 @query
 def op10_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"), 1.0, 7)
+
+
+@query
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path(), 1024)
