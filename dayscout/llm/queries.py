@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from dayscout.llm import (
+    conversation_repair,
     exact,
     hilbert,
     licenses,
@@ -195,3 +196,115 @@ def op10_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path(), 1024)
+
+
+@query
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, folder, "conversations"))
+    return conversation_repair.repair_report(damaged, "copies")
+
+
+#: unsigned CRC-32 of the ASCII text {0}, with the table of 256 entries crc_table.t
+_CRC32_SQL = (
+    "xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,"
+    " list_transform(string_split({0}, ''), lambda c: ord(c)::BIGINT)),"
+    " lambda h, b: xor(h >> 8, t[1 + (xor(h, b) & 255)])))"
+)
+_CRC_TABLE_SQL = """crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(
+    [n::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, i: xor(x >> 1, 3988292384::BIGINT * (x & 1)))) AS t
+)"""
+#: ways to a state by one row: (from state, letter, allowed if)
+_WAYS = {
+    0: [(0, "D", "TRUE")],
+    1: [(1, "D", "TRUE"), (0, "K", "i = 's'")],
+    2: [(2, "D", "TRUE")] + [(p, k, c) for p in (0, 1, 3) for k, c in (("K", "i = 'u'"), ("R", "TRUE"))],
+    3: [(3, "D", "TRUE"), (2, "K", "i = 'a'"), (2, "R", "TRUE")],
+}
+
+
+def _least(ways: list[str]) -> str:
+    return f"list_min([{', '.join(ways)}])"
+
+
+def _row_sql(q: int) -> str:
+    cost = {"D": "4", "K": "x", "R": "3 + x"}
+    return _least(
+        [
+            f"CASE WHEN s{p} IS NOT NULL AND {ok}{'' if k == 'D' else ' AND NOT gone'}"
+            f" THEN {{'c': s{p}.c + {cost[k]}, 'a': s{p}.a || '{k}'}} END"
+            for p, k, ok in _WAYS[q]
+        ]
+    )
+
+
+def _insert_sql(q: int) -> str:
+    way = lambda p, n: f"CASE WHEN s{p} IS NOT NULL THEN {{'c': s{p}.c + {3 * n}, 'a': s{p}.a || '{'I' * n}'}} END"
+    return _least({0: ["s0"], 1: ["s1"], 2: ["s2", way(0, 1), way(1, 1), way(3, 1)], 3: ["s3", way(2, 1), way(0, 2), way(1, 2)]}[q])
+
+
+_STATES = range(4)
+ORACLES["op11_conversation_repair"] = rf"""
+WITH RECURSIVE {_CRC_TABLE_SQL}, coded AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC32_SQL.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS code
+  FROM conversations, crc_table
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN code = 1 THEN '' WHEN code = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN code = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM coded WHERE code <> 0
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS n,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen,
+    NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+    NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS cut, substr(role, 1, 1) AS i
+  FROM damaged
+), rows_ AS (
+  SELECT *, blank OR seen > 1 AS gone, CASE WHEN NOT blank AND seen = 1 AND cut THEN 3 ELSE 0 END AS x,
+    lag(i) OVER (PARTITION BY conv_id ORDER BY n) || i AS pair FROM placed
+), counts AS (
+  SELECT conv_id, max(n) AS last,
+    coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND seen > 1) AS duplicate,
+    count(*) FILTER (x > 0) AS truncated,
+    count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv_id
+), ids AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS n, {{'c': 0::BIGINT, 'a': ''}} AS s0, NULL::STRUCT(c BIGINT, a VARCHAR) AS s1,
+    {{'c': 3::BIGINT, 'a': 'I'}} AS s2, {{'c': 6::BIGINT, 'a': 'II'}} AS s3 FROM ids
+  UNION ALL
+  SELECT conv_id, n, {", ".join(f"{_insert_sql(q)} AS s{q}" for q in _STATES)} FROM (
+    SELECT w.conv_id, r.n, {", ".join(f"{_row_sql(q)} AS s{q}" for q in _STATES)}
+    FROM walk w JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.n = w.n + 1)
+), found AS (
+  SELECT w.conv_id, list_min([s0, s3]) AS s FROM walk w JOIN counts k
+    ON k.conv_id IS NOT DISTINCT FROM w.conv_id AND k.last = w.n
+), letters AS (
+  SELECT conv_id, generate_subscripts(string_split(s.a, ''), 1) AS p, unnest(string_split(s.a, '')) AS k
+  FROM found
+), edits AS (
+  SELECT *, sum(CASE WHEN k = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY p) AS n,
+    sum(CASE WHEN k = 'D' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY p) AS place
+  FROM letters
+), kept AS (
+  SELECT e.conv_id, e.place, e.k, r.role, CASE WHEN e.k = 'I' THEN '' ELSE r.text END AS text,
+    max(CASE WHEN e.k = 'K' AND r.i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS with_s
+  FROM edits e LEFT JOIN rows_ r ON e.k <> 'I' AND r.conv_id IS NOT DISTINCT FROM e.conv_id AND r.n = e.n
+  WHERE e.k <> 'D'
+), repaired AS (
+  SELECT conv_id, sha256(string_agg(
+    CASE WHEN k = 'K' THEN role WHEN (place - with_s) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text,
+    chr(10) ORDER BY place)) AS h FROM kept GROUP BY conv_id
+)
+SELECT i.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank,
+  coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
+  coalesce(f.s.c, 0) AS cost, coalesce(f.s.a, '') AS audit, coalesce(h.h, sha256('')) AS repaired_sha256
+FROM ids i LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN repaired h ON h.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
