@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from dayscout.llm import (
     conversation_repair,
+    conversation_trie,
     exact,
     hilbert,
     licenses,
@@ -308,3 +309,46 @@ FROM ids i LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
 LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM i.conv_id
 LEFT JOIN repaired h ON h.conv_id IS NOT DISTINCT FROM i.conv_id
 """
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, folder, "conversations")).drop("ref_conv_id", "ref_turn")
+
+
+ORACLES["op12_prefix_trie"] = rf"""
+WITH {_CRC_TABLE_SQL}, turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c.conv_id, c.conv_id - c.conv_id % 20 AS base, {_CRC32_SQL.format("CAST(c.conv_id AS VARCHAR)")} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns) c, crc_table
+), sized AS (
+  SELECT c.*, (SELECT count(*) FROM turns t WHERE t.conv_id = c.base AND t.n <= c.h) AS head FROM convs c
+), rebuilt AS (
+  SELECT c.conv_id, t.n AS depth, t.role, t.text FROM sized c JOIN turns t ON t.conv_id = c.base AND t.n <= c.h
+  UNION ALL
+  SELECT c.conv_id, c.head + t.n - c.h, t.role, t.text FROM sized c JOIN turns t ON t.conv_id = c.conv_id AND t.n > c.h
+), paths AS (
+  SELECT conv_id, depth, string_agg(length(role) || ':' || role || length(text) || ':' || text, '')
+      OVER (PARTITION BY conv_id ORDER BY depth) AS path,
+    len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM rebuilt
+  UNION ALL SELECT conv_id, 0, '', 0 FROM sized
+), members AS (
+  SELECT *, lag(path) OVER w AS parent, depth = max(depth) OVER (PARTITION BY conv_id) AS ends
+  FROM paths WINDOW w AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+  SELECT depth, path, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY depth, path
+), childed AS (
+  SELECT n.*, (SELECT count(*) FROM nodes k WHERE k.depth = n.depth + 1 AND k.parent = n.path) AS n_children FROM nodes n
+)
+SELECT v.conv_id, v.depth, any_value(p.conv_id) AS parent_conv_id, v.n_convs, v.n_children,
+  count(*) FILTER (w.n_children = 0) AS n_leaves, CAST(sum((w.n_convs - 1) * w.words) AS BIGINT) AS saved_tokens,
+  v.ends_sha256
+FROM childed v JOIN childed w ON w.depth >= v.depth AND starts_with(w.path, v.path)
+LEFT JOIN nodes p ON p.depth = v.depth - 1 AND p.path = v.parent
+GROUP BY v.conv_id, v.depth, v.path, v.n_convs, v.n_children, v.ends_sha256
+"""
