@@ -3,9 +3,10 @@
 A byte-level BPE cuts a text into pre-tokens and then each pre-token into pieces on its
 own, so the number of pieces of a pre-token is the same wherever it stands. Tasks count
 the pre-tokens of each document and store the counts beside the distinct pre-tokens of a
-chunk of documents. The distinct pre-tokens of all chunks meet in one exchange, the
-pieces of each are counted once, and every chunk gets the counts of its own pre-tokens
-back by a join. A document's tokens are then a sum of products.
+chunk of documents. The vocabularies of all chunks meet in one sorted exchange, where the
+pieces of each pre-token are counted once, and every chunk gets the counts of its own
+pre-tokens back in a join with its documents. A document's tokens are then a sum of
+products.
 
 A pre-token travels once per chunk that holds it, not once per document, and never as
 ids. What a document stores is one place in the chunk's vocabulary and one count per
@@ -20,16 +21,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dayscout.llm.packing import ByteBPE
+from dayscout.llm.packing import _PATTERN, ByteBPE
 from dayscout.llm.shared import stored
 
 #: a space between two characters that are not white space starts a pre-token, whatever
 #: stands farther left or right
 _WORD_START = re.compile(r"(?<=\S) (?=\S)")
 
+#: below this character the classes of all Unicode versions in use are the same
+_SETTLED = "\u0530"
+_PRE_TOKEN = regex.compile(_PATTERN)
+
 #: what this worker has loaded, by path
 _STATE: dict = {}
 
@@ -53,55 +59,87 @@ def _counter(path: str) -> ByteBPE:
     return _STATE["ids", path]
 
 
+class _Codes(dict):
+    """Numbers from 0 for keys in the order they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = code = len(self)
+        return code
+
+
 class Chunk:
     """Pre-token counts of a bounded number of texts, over one vocabulary."""
 
     def __init__(self, path: str):
         self._cut, self._special = _pre_tokenizer(path)
-        self._of_word: dict[str, np.ndarray] = {}
-        self.places: dict[str, int] = {}
-
-    def _word(self, word: str) -> np.ndarray:
-        """Places of the pre-tokens of a word, once per distinct word."""
-        known = self._of_word.get(word)
-        if known is None:
-            tokens = [word[a:b] for _, (a, b) in self._cut.pre_tokenize_str(word)]
-            known = np.array([self.places.setdefault(t, len(self.places)) for t in tokens], np.int64)
-            self._of_word[word] = known
-        return known
-
-    def count(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
-        """(special names, places, frequencies) of the pre-tokens of a text."""
-        special = 0
+        self._first, self._later = _Codes(), _Codes()  # words at the start, after a space
+        self._codes: tuple[list[int], list[int]] = ([], [])
+        self._times: tuple[list[int], list[int]] = ([], [])
+        self._ends: tuple[list[int], list[int]] = ([], [])
+        self.chars = 0
+
+    def add(self, text: str) -> int:
+        """Count the words of a text; the number of its special names is returned."""
         parts = [text]
         if self._special and self._special.search(text):
             parts = self._special.split(text)
-            special = len(parts) - 1
-        words: Counter[str] = Counter()
-        later: Counter[str] = Counter()
+        words: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
         for part in parts:
             first, *rest = _WORD_START.split(part)
             if first:
-                words[first] += 1
-            later.update(rest)
-        for word, n in later.items():
-            words[" " + word] += n
-        if not words:
-            return special, np.empty(0, np.int64), np.empty(0, np.int64)
-        each = [self._word(w) for w in words]
-        places, at = np.unique(np.concatenate(each), return_inverse=True)
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(e) for e in each])
-        return special, places, np.bincount(at, times, len(places)).astype(np.int64)
+                words[0][first] += 1
+            words[1].update(rest)
+        for k, known in enumerate((self._first, self._later)):
+            self._codes[k].extend(map(known.__getitem__, words[k]))
+            self._times[k].extend(words[k].values())
+            self._ends[k].append(len(self._codes[k]))
+        self.chars += len(text)
+        return len(parts) - 1
+
+    def tokens(self, word: str) -> list[str]:
+        """The pre-tokens of a word, as the library cuts them."""
+        if max(word) < _SETTLED:  # characters that no later Unicode version has changed
+            return [word] if word[1:].isalpha() and word[0] == " " else _PRE_TOKEN.findall(word)
+        return [word[a:b] for _, (a, b) in self._cut.pre_tokenize_str(word)]
+
+    def counted(self) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
+        """(vocabulary, (places, frequencies) of each text)."""
+        places = _Codes()
+        of_word: list[int] = []  # places of the pre-tokens of all words
+        ends: list[int] = []
+        for words, space in ((self._first, ""), (self._later, " ")):
+            for word in words:
+                of_word.extend(map(places.__getitem__, self.tokens(space + word)))
+                ends.append(len(of_word))
+        at, starts = np.array(of_word, np.int64), np.array([0, *ends], np.int64)
+        texts = len(self._ends[0])
+        token, times, text = [], [], []
+        for k, shift in ((0, 0), (1, len(self._first))):
+            word = np.array(self._codes[k], np.int64) + shift
+            lengths = starts[word + 1] - starts[word]
+            before = np.cumsum(lengths) - lengths
+            token.append(at[np.repeat(starts[word] - before, lengths) + np.arange(lengths.sum())])
+            times.append(np.repeat(np.array(self._times[k], np.int64), lengths))
+            of_text = np.repeat(np.arange(texts), np.diff(self._ends[k], prepend=0))
+            text.append(np.repeat(of_text, lengths))
+        keys, where = np.unique(np.concatenate(text) * len(places) + np.concatenate(token), return_inverse=True)
+        sums = np.bincount(where, np.concatenate(times), len(keys)).astype(np.int64)
+        cuts = np.searchsorted(keys, np.arange(1, texts) * len(places)) if texts else []
+        keys %= max(1, len(places))
+        return list(places), list(zip(np.split(keys, cuts), np.split(sums, cuts), strict=True))
 
 
 def _packed(values: np.ndarray) -> bytes:
-    """Small numbers in as few bytes as the largest needs, led by that width."""
-    width = next(w for w in (1, 2, 4, 8) if not len(values) or int(values.max()) < 1 << 8 * w)
-    return bytes([width]) + values.astype(f"<u{width}").tobytes()
+    """Numbers by planes of bytes, as many as the largest needs: the higher planes, nearly
+    all zeros, cost little once compressed."""
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    width = next((w for w in range(8, 0, -1) if planes[w - 1].any()), 1)
+    return bytes([width]) + planes[:width].tobytes()
 
 
 def _unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+    planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1).astype(np.int64)
+    return (planes << (8 * np.arange(raw[0]))[:, None]).sum(axis=0)
 
 
 _FIELDS = "chunk long, _bytes long, _special long, places binary, times binary, vocabulary array<string>"
@@ -112,42 +150,43 @@ def _frequencies(path: str, chunk_chars: int):
         from pyspark import TaskContext
 
         chunk_id = TaskContext.get().partitionId() << 32
+        chunk, rows = Chunk(path), []
         for batch in batches:
-            chunk, rows, held = Chunk(path), [], 0
             for key, text in zip(batch["_id"], batch["_text"], strict=True):
                 text = text or ""
-                special, places, times = chunk.count(text)
-                steps = np.diff(places, prepend=0)
-                raw = len(text.encode())
-                rows.append((key, chunk_id, raw, special, _packed(steps), _packed(times), None))
-                held += len(text)
-                if held >= chunk_chars:
-                    yield _chunk_rows(rows, chunk, batch)
-                    chunk, rows, held = Chunk(path), [], 0
+                rows.append((key, len(text.encode()), chunk.add(text)))
+                if chunk.chars >= chunk_chars:
+                    yield _chunk_rows(rows, chunk, chunk_id)
+                    chunk, rows = Chunk(path), []
                     chunk_id += 1
-            if rows:
-                yield _chunk_rows(rows, chunk, batch)
-                chunk_id += 1
+        if rows:
+            yield _chunk_rows(rows, chunk, chunk_id)
 
     return run
 
 
-def _chunk_rows(rows: list[tuple], chunk: Chunk, batch: pd.DataFrame) -> pd.DataFrame:
-    rows = [*rows, (None, rows[0][1], None, None, None, None, list(chunk.places))]
-    names = ["_id", "chunk", "_bytes", "_special", "places", "times", "vocabulary"]
-    out = pd.DataFrame(rows, columns=names)
-    for name in ("_bytes", "_special"):
-        out[name] = out[name].astype("Int64")
-    if pd.api.types.is_integer_dtype(batch["_id"].dtype):
-        out["_id"] = out["_id"].astype("Int64")
-    return out
+def _chunk_rows(rows: list[tuple], chunk: Chunk, chunk_id: int) -> pd.DataFrame:
+    vocabulary, counts = chunk.counted()
+    out = [
+        (*row, _packed(np.diff(places, prepend=0)), _packed(times), None)
+        for row, (places, times) in zip(rows, counts, strict=True)
+    ]
+    out.append((None, None, None, None, None, vocabulary))
+    out = pd.DataFrame(out, columns=["_id", "_bytes", "_special", "places", "times", "vocabulary"], dtype=object)
+    return out.assign(chunk=chunk_id)
 
 
 def _piece_counts(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = _counter(path)
+        token, pieces = None, 0  # rows are sorted: equal pre-tokens follow each other
         for b in batches:
-            yield b.assign(pieces=[counter.pieces(t) for t in b["token"]])
+            out = []
+            for t in b["token"]:
+                if t != token:
+                    token, pieces = t, counter.pieces(t)
+                out.append(pieces)
+            yield pd.DataFrame({"of": b["chunk"], "place": b["place"], "pieces": out})
 
     return run
 
@@ -174,7 +213,7 @@ def token_counts(
     limit: int = 1024,
     id_column: str = "doc_id",
     text_column: str = "text",
-    chunk_chars: int = 4_000_000,
+    chunk_chars: int = 32_000_000,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_bytes (UTF-8), n_tokens, over_limit.
 
@@ -194,14 +233,12 @@ def token_counts(
         texts.mapInPandas(_frequencies(tokenizer_path, chunk_chars), f"_id {kind}, {_FIELDS}"),
         "pre_tokens",
     )
-    vocabulary = held.where("vocabulary IS NOT NULL").select(
-        "chunk", F.posexplode("vocabulary").alias("place", "token")
-    )
-    pieces = vocabulary.select("token").distinct().mapInPandas(
-        _piece_counts(tokenizer_path), "token string, pieces long"
-    )
-    counted = vocabulary.join(pieces, "token").select(
-        F.col("chunk").alias("of"), "place", "pieces"
+    counted = (
+        held.where("vocabulary IS NOT NULL")
+        .select("chunk", F.posexplode("vocabulary").alias("place", "token"))
+        .repartition("token")
+        .sortWithinPartitions("token")
+        .mapInPandas(_piece_counts(tokenizer_path), "of long, place int, pieces int")
     )
     rows = held.where("vocabulary IS NULL").drop("vocabulary")
     return (

@@ -1,5 +1,6 @@
 import random
 import sys
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -20,23 +21,27 @@ def split(library, text):
     return [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
 
 
-def words_of(text):
+def parts(text):
+    """Pre-tokens by way of words."""
     first, *rest = token_counts._WORD_START.split(text)
-    return [first, *(" " + w for w in rest)]
+    chunk = token_counts.Chunk(PATH)
+    return sum(map(chunk.tokens, ([first] if first else []) + [" " + w for w in rest]), [])
 
 
 def test_words_hold_whole_pre_tokens_at_every_code_point(library):
     for low in range(0, sys.maxunicode, 256):
         points = [chr(c) for c in range(low, low + 256) if not 0xD800 <= c < 0xE000]
         text = "".join(f"a{c} {c}b" for c in points)
-        assert sum((split(library, w) for w in words_of(text)), []) == split(library, text)
+        if low < 0x600:
+            text += "".join(f"{c}{d}1 {c}" for c in points for d in "a1'. \t")
+        assert parts(text) == split(library, text)
 
 
 def test_words_hold_whole_pre_tokens_of_mixed_texts(library):
     rnd = random.Random(3)
     for _ in range(5000):
         text = "".join(rnd.choice("ab 1!\n\t é'sé.   ") for _ in range(rnd.randint(0, 40)))
-        assert sum((split(library, w) for w in words_of(text)), []) == split(library, text)
+        assert parts(text) == split(library, text)
 
 
 def check(rows, texts, library, limit=1024):
@@ -68,22 +73,32 @@ def test_special_names_and_long_runs(spark, library):
 
 def test_a_pre_token_is_counted_once(spark, tmp_path, monkeypatch):
     docs = spark.createDataFrame([(i, "same words here") for i in range(40)], "doc_id long, text string")
-    seen = []
     real = token_counts._piece_counts
 
     def spy(path):
         run = real(path)
 
         def counted(batches):
-            for b in run(batches):
-                open(f"{tmp_path}/{hash(tuple(b['token']))}", "a").write("".join(t + "\n" for t in b["token"]))
-                yield b
+            def seen_by(counter=token_counts.ByteBPE.pieces):
+                def pieces(self, token):
+                    with open(f"{tmp_path}/{uuid.uuid4().hex}", "w") as f:
+                        f.write(token)
+                    return counter(self, token)
+
+                return pieces
+
+            real_pieces = token_counts.ByteBPE.pieces
+            token_counts.ByteBPE.pieces = seen_by()
+            try:
+                yield from run(batches)
+            finally:
+                token_counts.ByteBPE.pieces = real_pieces
 
         return counted
 
     monkeypatch.setattr(token_counts, "_piece_counts", spy)
     rows = token_counts.token_counts(docs.repartition(8), PATH, chunk_chars=20).collect()
-    seen = sorted(w for f in tmp_path.iterdir() for w in f.read_text().splitlines())
+    seen = sorted(f.read_text() for f in tmp_path.iterdir())
     assert {r.n_tokens for r in rows} == {3} and seen == [" here", " words", "same"]
 
 
