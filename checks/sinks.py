@@ -1,7 +1,11 @@
 """Writes as state changes. The batches are the whole tables moved by some days, so
 they overlap the stored rows in part."""
 
+from dataclasses import replace
+from datetime import timedelta
+
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks import common as c
 from checks.common import check
@@ -12,14 +16,27 @@ from dayscout.operators.profiles import score_profiles
 from dayscout.operators.runlog import last_runs
 from dayscout.plans import drift, retrain
 from dayscout.plans.recommend import complete
-from dayscout.schemas import CLUSTER_FEATURES
+from dayscout.schemas import (
+    CLUSTER_FEATURES,
+    MODEL_RUNS,
+    OBSERVATIONS,
+    POIS,
+    PROFILE_SCORES,
+    PROFILES,
+    RECOMMENDATIONS,
+)
 from dayscout.sources.dims import profiles_table
-from dayscout.sources.store import shared_dir
+from dayscout.sources.files import scratch_dir
+from dayscout.sources.store import Store, shared_dir
 
 _KEY = ["city", "date"]
 _COLS = "city, date, temp_max, precipitation"
 
 
+def _store(spark):
+    return Store(spark, scratch_dir(spark, "store"))
+
+
 def _batch(spark, d):
     """Two revisions of the same days: the later revision must win."""
     base = c.obs(spark, d).select(*_KEY, "temp_max", "precipitation")
@@ -46,9 +63,10 @@ fresh AS (SELECT * FROM batch QUALIFY row_number() OVER (PARTITION BY city, date
       FROM obs o FULL JOIN fresh f USING (city, date)""",
 )
 def upsert_replace(spark, d):
-    old = c.obs(spark, d).select(*_KEY, "temp_max", "precipitation")
-    batch = _batch(spark, d)
-    return writes.upsert_replace(old, batch, _KEY, [F.col("revision").desc()])
+    store = _store(spark)
+    store.append(c.obs(spark, d).select(*_KEY, "temp_max", "precipitation"), OBSERVATIONS)
+    store.upsert(_batch(spark, d), OBSERVATIONS, [F.col("revision").desc()])
+    return store.read(OBSERVATIONS).select(*_KEY, "temp_max", "precipitation")
 
 
 @check(
@@ -67,13 +85,12 @@ def upsert_partial(spark, d):
         .withColumn("website_url", F.lit("changed"))
     )
     renamed = changed.withColumn("hotel_name", F.concat("hotel_name", F.lit(" Annex")))
-    return writes.upsert_partial(
-        old,
-        changed.unionByName(renamed),
-        ["city", "hotel_name"],
-        ["hotel_type", "stars"],
-        [F.col("stars").desc()],
+    store = _store(spark)
+    store.append(old, POIS)
+    store.upsert_columns(
+        changed.unionByName(renamed), POIS, ["hotel_type", "stars"], [F.col("stars").desc()]
     )
+    return store.read(POIS).select(*columns)
 
 
 @check(
@@ -82,8 +99,10 @@ def upsert_partial(spark, d):
         SELECT {_COLS} FROM fresh ANTI JOIN obs USING (city, date)""",
 )
 def insert_ignore(spark, d):
-    old = c.obs(spark, d).select(*_KEY, "temp_max", "precipitation")
-    return writes.insert_ignore(old, _batch(spark, d), _KEY, [F.col("revision").desc()])
+    store = _store(spark)
+    store.append(c.obs(spark, d).select(*_KEY, "temp_max", "precipitation"), OBSERVATIONS)
+    store.insert_ignore(_batch(spark, d), OBSERVATIONS, [F.col("revision").desc()])
+    return store.read(OBSERVATIONS).select(*_KEY, "temp_max", "precipitation")
 
 
 _RUN_COLS = "run_date, created_at, run_id, model_type, metric_name, metric_value, is_champion"
@@ -201,9 +220,12 @@ def append_drift_log(spark, d):
         is_champion AND model_type <> 'kmeans' AS is_champion FROM runs""",
 )
 def conditional_update(spark, d):
-    return writes.clear_flag(
-        c.runs(spark, d), "is_champion", (F.col("model_type") == "kmeans") & F.col("is_champion")
-    )
+    store = _store(spark)
+    store.append(c.runs(spark, d), MODEL_RUNS)
+    flagged = (F.col("model_type") == "kmeans") & F.col("is_champion")
+    store.update_where(MODEL_RUNS, flagged, {"is_champion": F.lit(False)})
+    names = c.runs(spark, d).columns
+    return store.read(MODEL_RUNS).withColumn("created_at", F.col("created_at").cast("date")).select(*names)
 
 
 @check(
@@ -212,8 +234,10 @@ def conditional_update(spark, d):
        FROM recs_all WHERE recommendation_date >= (SELECT d FROM job_date) - 7""",
 )
 def retention_delete(spark, d):
-    first = F.date_sub(F.lit(c.as_of(spark, d)), 7)
-    return writes.retain_since(c.recs_all(spark, d), "recommendation_date", first)
+    store, recs = _store(spark), c.recs_all(spark, d)
+    store.append(recs, RECOMMENDATIONS)
+    store.drop_before(RECOMMENDATIONS, c.as_of(spark, d) - timedelta(days=7))
+    return store.read(RECOMMENDATIONS).select(*recs.columns)
 
 
 @check(
@@ -221,8 +245,14 @@ def retention_delete(spark, d):
     "SELECT city, feature_date, profile_name, comfort_score FROM scores WHERE profile_name <> 'stargazer'",
 )
 def cascade_delete(spark, d):
-    left = profiles_table(spark, c.PROFILES).where(F.col("profile_name") != "stargazer")
-    return writes.cascade_delete(c.scores(spark, d), left, ["profile_name"])
+    store, scores = _store(spark), c.scores(spark, d)
+    with store.transaction() as t:
+        t.append(profiles_table(spark, c.PROFILES), PROFILES)
+        t.append(scores, PROFILE_SCORES)
+    with store.transaction() as t:
+        t.delete_where(PROFILES, F.col("profile_name") == "stargazer")
+        t.delete_orphans(PROFILE_SCORES, t.read(PROFILES), ["profile_name"])
+    return store.read(PROFILE_SCORES).select(*scores.columns)
 
 
 @check("drift_report_json")
@@ -267,13 +297,19 @@ def cluster_breakdown_text(spark, d):
          'leisure' AS profile_name FROM features""",
 )
 def evolve_add_column(spark, d):
-    """Recommendations from before there were profiles get the default one."""
+    """Recommendations from before there were profiles get the default one; their files
+    stay as they are."""
     old = c.features(spark, d).select(
         F.col("feature_date").alias("recommendation_date"),
         "city",
         F.col("comfort_score").alias("comfort_score_pred"),
     )
-    return writes.add_column(old, "profile_name", F.lit("leisure"))
+    store, names = _store(spark), [n for n in RECOMMENDATIONS.columns if n != "profile_name"]
+    schema = StructType([RECOMMENDATIONS.schema[n] for n in names])
+    before = replace(RECOMMENDATIONS, schema=schema, key=("recommendation_date", "city"))
+    store.append(old, before)
+    store.add_column(RECOMMENDATIONS, "profile_name", "string", "leisure")
+    return store.read(RECOMMENDATIONS).select(*old.columns, "profile_name")
 
 
 @check(

@@ -38,12 +38,15 @@ def _struct(spec: str) -> StructType:
 
 @dataclass(frozen=True)
 class Table:
-    """A table's schema, its unique key, and the column its files are partitioned by."""
+    """A table's schema, its key (unique unless it is a log), the column whose ranges its
+    files hold, and the tables its columns refer to by their keys."""
 
     name: str
     schema: StructType
     key: tuple[str, ...]
     partition: str | None = None
+    unique: bool = True
+    parents: tuple[tuple[tuple[str, ...], Table], ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -102,6 +105,7 @@ PROFILE_SCORES = Table(
     ),
     ("city", "feature_date", "profile_name"),
     "feature_date",
+    parents=((("profile_name",), PROFILES),),
 )
 
 RECOMMENDATIONS = Table(
@@ -121,6 +125,7 @@ MODEL_RUNS = Table(
         "artifact_path string, is_champion boolean, created_at timestamp"
     ),
     ("model_type", "run_id"),
+    unique=False,
 )
 
 POIS = Table(
@@ -141,6 +146,7 @@ DRIFT_LOG = Table(
         "drift_detected boolean, threshold_used double, drift_severity string, metadata string"
     ),
     ("check_timestamp", "check_type", "metric_name"),
+    unique=False,
 )
 
 ALL_TABLES = (

@@ -16,7 +16,8 @@ from dayscout.operators.writes import one_per_key
 from dayscout.schemas import FEATURES, OBSERVATIONS
 from dayscout.sources.forecast import parse_forecasts
 from dayscout.sources.scans import FEATURE_INPUTS
-from dayscout.sources.store import Store, shared_dir
+from dayscout.sources.files import shared_dir
+from dayscout.sources.store import Store, Transaction
 
 PAYLOAD_FILE_SCHEMA = "city string, payload string, received_at timestamp"
 
@@ -39,7 +40,7 @@ def parse_batch(payloads: DataFrame) -> DataFrame:
     return one_per_key(rows, OBSERVATIONS.key, _newest_first())
 
 
-def refresh_features(store: Store, touched: DataFrame) -> None:
+def refresh_features(tables: Transaction, touched: DataFrame) -> None:
     """Recompute the features of touched (city, date) and the six days after."""
     reach = LONG_DAYS - 1
     affected = touched.select(
@@ -50,19 +51,24 @@ def refresh_features(store: Store, touched: DataFrame) -> None:
         "city",
         F.explode(F.sequence(F.date_sub("date", reach), F.date_add("date", reach))).alias("date"),
     ).distinct()
-    obs = store.touched(needed, OBSERVATIONS).join(needed, ["city", "date"], "left_semi")
+    near = tables.read_range(OBSERVATIONS, *tables.span(needed, OBSERVATIONS))
+    obs = near.join(needed, ["city", "date"], "left_semi")
     fresh = rolling_features(obs.select(*FEATURE_INPUTS)).join(
         affected, ["city", "feature_date"], "left_semi"
     )
-    store.upsert(fresh, FEATURES, [F.col("feature_date")])
+    tables.upsert(fresh, FEATURES, [F.col("feature_date")])
 
 
 def apply_batch(store: Store, payloads: DataFrame) -> None:
-    """One micro-batch: upsert observations, then refresh features. Idempotent. A payload
-    received before the stored one never replaces it, in whatever order files arrive."""
+    """One micro-batch: upsert observations and refresh features, published together.
+    Idempotent. A payload received before the stored one never replaces it, in whatever
+    order files arrive."""
     batch = parse_batch(payloads).checkpoint()
-    store.upsert(batch, OBSERVATIONS, _newest_first(), newer="fetched_at")
-    refresh_features(store, batch.select("city", "date"))
+    if batch.isEmpty():
+        return
+    with store.transaction() as t:
+        t.upsert(batch, OBSERVATIONS, _newest_first(), newer="fetched_at")
+        refresh_features(t, batch.select("city", "date"))
 
 
 def start_ingest(store: Store, payload_path: str, checkpoint: str) -> StreamingQuery:

@@ -1,4 +1,4 @@
-"""State changes and the Parquet store."""
+"""Writes as state changes; the store has tests of its own."""
 
 import datetime as dt
 
@@ -6,18 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from dayscout.operators import writes
-from dayscout.operators.runlog import current_champion
 from dayscout.operators.timeseries import rolling_features
-from dayscout.schemas import (
-    ALL_TABLES,
-    FEATURES,
-    MODEL_RUNS,
-    OBSERVATIONS,
-    POIS,
-    RECOMMENDATIONS,
-)
+from dayscout.schemas import ALL_TABLES, FEATURES, OBSERVATIONS
 from dayscout.sources import scans
-from dayscout.sources.store import Store, shared_dir
+from dayscout.sources.files import shared_dir
 
 KV = "k string, v int, w int"
 
@@ -73,56 +65,10 @@ def test_every_declared_key_is_a_column():
         assert t.partition is None or t.partition in t.columns
 
 
-def observations(spark, rows):
-    return spark.createDataFrame(rows, "city string, date date, temp_max double, n int")
-
-
-def test_store_upsert_touches_only_its_partitions(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    d = [dt.date(2024, 1, i) for i in (1, 2, 3)]
-    order = [F.col("n").desc()]
-    assert store.read(OBSERVATIONS).count() == 0
-    first = observations(spark, [("a", d[0], 1.0, 1), ("a", d[1], 2.0, 1), ("b", d[1], 3.0, 1)])
-    store.upsert(first, OBSERVATIONS, order)
-    untouched = sorted(p.name for p in (tmp_path / "raw_weather" / "date=2024-01-01").iterdir())
-    second = observations(spark, [("a", d[1], 9.0, 1), ("a", d[1], 8.0, 2), ("c", d[2], 4.0, 1)])
-    store.upsert(second, OBSERVATIONS, order)
-    got = pairs(store.read(OBSERVATIONS), "city", "date", "temp_max")
-    assert got == [("a", d[0], 1.0), ("a", d[1], 8.0), ("b", d[1], 3.0), ("c", d[2], 4.0)]
-    after = sorted(p.name for p in (tmp_path / "raw_weather" / "date=2024-01-01").iterdir())
-    assert after == untouched
-    assert store.read(OBSERVATIONS).schema.fieldNames() == OBSERVATIONS.columns
-
-
-def test_store_insert_ignore_and_pruned_scan(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    d = dt.date(2024, 1, 1)
-    rows = observations(spark, [("a", d, 1.0, 1)])
-    store.insert_ignore(rows, OBSERVATIONS, [F.col("n")])
-    store.insert_ignore(observations(spark, [("a", d, 7.0, 1), ("b", d, 2.0, 1)]), OBSERVATIONS, [F.col("n")])
-    assert pairs(store.read(OBSERVATIONS), "city", "temp_max") == [("a", 1.0), ("b", 2.0)]
-    scan = scans.observations_lookback(store.read(OBSERVATIONS), dt.date(2024, 1, 5), 3)
-    plan = scan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in plan
-    assert "wind_gusts_max" not in plan.split("ReadSchema")[1]
-
-
 def test_shared_dir_is_the_named_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-def test_old_recommendations_read_with_the_new_schema(spark, tmp_path):
-    """Files from before the profile column read as NULL and get the default."""
-    old = spark.createDataFrame(
-        [(dt.date(2024, 1, 1), "a", 1, 50.0, 1)],
-        "recommendation_date date, city string, cluster_id int, comfort_score_pred double, rank int",
-    )
-    store = Store(spark, str(tmp_path))
-    old.write.partitionBy("recommendation_date").parquet(store.path(RECOMMENDATIONS))
-    got = writes.add_column(store.read(RECOMMENDATIONS), "profile_name", F.lit("leisure")).first()
-    assert got["profile_name"] == "leisure" and got["city"] == "a"
-
-
 def test_sql_with_parameters(spark):
     df = spark.createDataFrame([("a", 1), ("b", 5)], "k string, v int")
     out = scans.run_sql(spark, "SELECT k FROM {t} WHERE v > :low", {"low": 3}, t=df)
@@ -132,54 +78,6 @@ def test_sql_with_parameters(spark):
     assert scans.declared_schema("weather_features") == FEATURES.schema
 
 
-def test_upsert_reads_only_the_touched_dates(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    days = [dt.date(2024, 1, i) for i in range(1, 21)]
-    store.append(observations(spark, [("a", d, 1.0, 1) for d in days]), OBSERVATIONS)
-    batch = observations(spark, [("a", days[4], 5.0, 1), ("b", days[6], 6.0, 1)]).persist()
-    plan = store.touched(batch, OBSERVATIONS)._jdf.queryExecution().executedPlan().toString()
-    assert "date#" in plan.split("PartitionFilters")[1].split("]")[0]
-    assert "2024-01-05" in plan or ">= 19727" in plan
-    store.upsert(batch, OBSERVATIONS, [F.col("n")])
-    assert store.read(OBSERVATIONS).count() == 21
-
-
-def test_unpartitioned_tables_are_written_too(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    names = "city string, hotel_name string, hotel_type string, stars int"
-    rows = lambda *r: spark.createDataFrame(list(r), names)
-    store.upsert(rows(("a", "x", "hotel", 3), ("a", "y", "hotel", 1)), POIS, [F.col("stars").desc()])
-    store.upsert(rows(("a", "y", "hostel", 2), ("b", "z", "hotel", 5)), POIS, [F.col("stars").desc()])
-    got = pairs(store.read(POIS), "hotel_name", "hotel_type", "stars")
-    assert got == [("x", "hotel", 3), ("y", "hostel", 2), ("z", "hotel", 5)]
-    store.upsert_columns(rows(("a", "x", "inn", 4), ("c", "w", "inn", 1)), POIS, ["stars"], [F.col("stars")])
-    assert pairs(store.read(POIS), "hotel_name", "hotel_type", "stars")[:2] == [("w", "inn", 1), ("x", "hotel", 4)]
-    parents = spark.createDataFrame([("a",)], "city string")
-    store.update(POIS, lambda old: writes.cascade_delete(old, parents, ["city"]))
-    assert pairs(store.read(POIS), "hotel_name") == [("x",), ("y",)]
-
-
-def test_the_run_log_survives_storage(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    day = dt.date(2024, 1, 1)
-    runs = spark.createDataFrame(
-        [(day, i, "kmeans", "silhouette_score", 0.1 * i, i == 2) for i in range(4)],
-        "run_date date, run_id long, model_type string, metric_name string, metric_value double, is_champion boolean",
-    ).withColumn("created_at", F.lit(day).cast("timestamp"))
-    store.append(runs, MODEL_RUNS)
-    assert current_champion(store.read(MODEL_RUNS)).first()["run_id"] == 2
-    store.update(MODEL_RUNS, lambda old: writes.clear_flag(old, "is_champion", F.col("run_id") == 2))
-    assert current_champion(store.read(MODEL_RUNS)).count() == 0
-
-
-def test_retention_drops_folders(spark, tmp_path):
-    store = Store(spark, str(tmp_path))
-    days = [dt.date(2024, 1, i) for i in (1, 2, 3)]
-    store.append(observations(spark, [("a", d, 1.0, 1) for d in days]), OBSERVATIONS)
-    assert store.drop_before(OBSERVATIONS, days[2]) == ["2024-01-01", "2024-01-02"]
-    assert pairs(store.read(OBSERVATIONS), "date") == [(days[2],)]
-
-
 def test_missing_readings_are_no_numbers(spark):
     day = dt.date(2024, 1, 1)
     rows = [("a", day, 4.0, 1.0, 9.0), ("a", day + dt.timedelta(days=1), float("nan"), None, float("nan"))]
