@@ -16,6 +16,7 @@ distinct pre-token.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -73,8 +74,7 @@ class Chunk:
     def __init__(self, path: str):
         self._cut, self._special = _pre_tokenizer(path)
         self._first, self._later = _Codes(), _Codes()  # words at the start, after a space
-        self._codes: tuple[list[int], list[int]] = ([], [])
-        self._times: tuple[list[int], list[int]] = ([], [])
+        self._codes, self._times = (array("q"), array("q")), (array("q"), array("q"))
         self._ends: tuple[list[int], list[int]] = ([], [])
         self.chars = 0
 
@@ -102,31 +102,42 @@ class Chunk:
             return [word] if word[1:].isalpha() and word[0] == " " else _PRE_TOKEN.findall(word)
         return [word[a:b] for _, (a, b) in self._cut.pre_tokenize_str(word)]
 
-    def counted(self) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
-        """(vocabulary, (places, frequencies) of each text)."""
+    def counted(self, block: int = 256) -> tuple[list[str], list[tuple[np.ndarray, np.ndarray]]]:
+        """(vocabulary, (places, frequencies) of each text), made for a block of texts at a
+        time."""
         places = _Codes()
-        of_word: list[int] = []  # places of the pre-tokens of all words
-        ends: list[int] = []
+        of_word, ends = array("q"), array("q", [0])  # places of the pre-tokens of all words
         for words, space in ((self._first, ""), (self._later, " ")):
             for word in words:
                 of_word.extend(map(places.__getitem__, self.tokens(space + word)))
                 ends.append(len(of_word))
-        at, starts = np.array(of_word, np.int64), np.array([0, *ends], np.int64)
-        texts = len(self._ends[0])
-        token, times, text = [], [], []
-        for k, shift in ((0, 0), (1, len(self._first))):
-            word = np.array(self._codes[k], np.int64) + shift
-            lengths = starts[word + 1] - starts[word]
-            before = np.cumsum(lengths) - lengths
-            token.append(at[np.repeat(starts[word] - before, lengths) + np.arange(lengths.sum())])
-            times.append(np.repeat(np.array(self._times[k], np.int64), lengths))
-            of_text = np.repeat(np.arange(texts), np.diff(self._ends[k], prepend=0))
-            text.append(np.repeat(of_text, lengths))
-        keys, where = np.unique(np.concatenate(text) * len(places) + np.concatenate(token), return_inverse=True)
-        sums = np.bincount(where, np.concatenate(times), len(keys)).astype(np.int64)
-        cuts = np.searchsorted(keys, np.arange(1, texts) * len(places)) if texts else []
-        keys %= max(1, len(places))
-        return list(places), list(zip(np.split(keys, cuts), np.split(sums, cuts), strict=True))
+        at, starts = np.frombuffer(of_word, np.int64), np.frombuffer(ends, np.int64)
+        texts, out = len(self._ends[0]), []
+        for low in range(0, texts, block):
+            high = min(low + block, texts)
+            parts = [
+                self._expanded(k, shift, low, high, at, starts)
+                for k, shift in ((0, 0), (1, len(self._first)))
+            ]
+            token, times, text = (np.concatenate(p) for p in zip(*parts, strict=True))
+            keys, where = np.unique(text * len(places) + token, return_inverse=True)
+            sums = np.bincount(where, times, len(keys)).astype(np.int64)
+            cuts = np.searchsorted(keys, np.arange(1, high - low) * len(places))
+            keys %= max(1, len(places))
+            out += zip(np.split(keys, cuts), np.split(sums, cuts), strict=True)
+        return list(places), out
+
+    def _expanded(self, k: int, shift: int, low: int, high: int, at: np.ndarray, starts: np.ndarray):
+        """(place, frequency, text from 0) of the pre-tokens of the words of some texts."""
+        first = self._ends[k][low - 1] if low else 0
+        ends = np.array(self._ends[k][low:high], np.int64)
+        word = np.frombuffer(self._codes[k], np.int64)[first : ends[-1]] + shift
+        lengths = starts[word + 1] - starts[word]
+        before = np.cumsum(lengths) - lengths
+        token = at[np.repeat(starts[word] - before, lengths) + np.arange(lengths.sum())]
+        of_text = np.repeat(np.arange(high - low), np.diff(ends, prepend=first))
+        times = np.frombuffer(self._times[k], np.int64)[first : ends[-1]]
+        return token, np.repeat(times, lengths), np.repeat(of_text, lengths)
 
 
 def _packed(values: np.ndarray) -> bytes:
