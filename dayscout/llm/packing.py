@@ -11,6 +11,7 @@ their rank within the length.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -33,7 +34,11 @@ class ByteBPE:
     tokenizers library with ``add_special_tokens=False``: as in its default settings, the
     name of a special token in a text is that token. With ``special=False``, as with the
     library's ``encode_special_tokens``, such a name is ordinary text. The same vocabulary
-    runs in tiktoken, four times as fast."""
+    runs in tiktoken, four times as fast.
+
+    Its pattern looks ahead from the end of white space, which no run of a million
+    characters survives. Long runs are therefore cut out before: all of a run but its last
+    character, or all of it at the end of the text, is one piece, as by the pattern."""
 
     def __init__(self, path: str, special: bool = False):
         import json
@@ -52,21 +57,45 @@ class ByteBPE:
         self._encoding = tiktoken.Encoding(
             "file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=names
         )
-        self._allowed = set(names) if special else set()
+        self._special = names if special else {}
+        longest_first = sorted(map(re.escape, self._special), key=len, reverse=True)
+        self._names = re.compile(f"({'|'.join(longest_first)})") if longest_first else None
 
     def encode(self, text: str) -> bytes:
-        ids = self._encoding.encode(text, allowed_special=self._allowed, disallowed_special=())
-        return np.array(ids, "<u4").tobytes()
+        parts = self._names.split(text) if self._names else [text]
+        return b"".join(
+            np.array([self._special[p]], "<u4").tobytes() if i % 2 else self._between(p)
+            for i, p in enumerate(parts)
+        )
+
+    def _between(self, text: str) -> bytes:
+        """Ids of a text without special names."""
+        out, start = [], 0
+        for run in _LONG_SPACE.finditer(text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            out += [self._plain(text[start : run.start()]), self._piece(text[run.start() : end])]
+            start = end
+        return b"".join([*out, self._plain(text[start:])])
+
+    def _plain(self, text: str) -> bytes:
+        return np.array(self._encoding.encode_ordinary(text), "<u4").tobytes()
+
+    def _piece(self, text: str) -> bytes:
+        return np.array(self._encoding._encode_single_piece(text.encode()), "<u4").tobytes()
 
     def pieces(self, pre_token: str) -> int:
         """How many ids one pre-token has."""
-        return len(self._encoding._encode_single_piece(pre_token.encode()))
+        return len(self._piece(pre_token)) // 4
 
 
 #: the split of this family of tokenizers, a fixed value of the format
 _PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+#: what the pattern calls white space; Python's own class has four control characters more
+_LONG_SPACE = re.compile(r"[^\S\x1c-\x1f]{1000,}")
+
+
 def _byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in such a vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
