@@ -79,10 +79,21 @@ def quantiles(df: DataFrame, dimensions: Sequence[str], bits: int) -> tuple[list
     cuts = df.agg(
         *[F.percentile_approx(codes[c], shares, 100 * levels).alias(str(i)) for i, c in enumerate(dimensions)]
     ).first()
-    bounds = [np.unique([x for x in cuts[i] or [] if x is not None]) for i in range(len(dimensions))]
+    # a frequent value is several cuts, all of which stay: values are then as far apart on
+    # the curve as rows of other values lie between them
+    bounds = [np.sort([x for x in cuts[i] or [] if x is not None]) for i in range(len(dimensions))]
     return [codes[c] for c in dimensions], bounds
 
 
+def level_of(values: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The level of each value, in the middle of the cuts that equal it; a missing one is
+    the lowest."""
+    if not len(cuts):
+        return np.zeros(len(values), np.int64)
+    middle = (np.searchsorted(cuts, values, "left") + np.searchsorted(cuts, values, "right")) // 2
+    return np.where(np.isnan(values), 0, middle)
+
+
 def hilbert_shards(
     df: DataFrame,
     shards: int,
@@ -106,10 +117,7 @@ def hilbert_shards(
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            levels = [
-                np.where(np.isnan(v), 0, np.searchsorted(cuts, v, "left"))
-                for cuts, v in ((cuts, b[n].to_numpy(float)) for n, cuts in zip(names, bounds, strict=True))
-            ]
+            levels = [level_of(b[n].to_numpy(float), cuts) for n, cuts in zip(names, bounds, strict=True)]
             b["hilbert"] = hilbert_index(np.stack(levels, 1), bits)
             yield b.drop(columns=names)
 
@@ -128,8 +136,9 @@ def document_shards(docs: DataFrame, shards: int = 16, bits: int = 5) -> DataFra
     """One row per document: doc_id, size (UTF-8 bytes and one for the end; null text is
     empty), text_crc32, law, shard, slot, grown_shard, hilbert.
 
-    The dimensions are language, source, size and the text's CRC: equal texts of one
-    source lie side by side. Law ``rows``: shards differ by one row at most."""
+    The dimensions are language, source and size; rows of one place on the curve lie in
+    order of the text's CRC, so that equal texts are neighbours. Law ``rows``: shards differ
+    by one row at most."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         "doc_id",
@@ -138,7 +147,7 @@ def document_shards(docs: DataFrame, shards: int = 16, bits: int = 5) -> DataFra
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )
-    sharded = hilbert_shards(rows, shards, ["source", "lang", "size", "text_crc32"], ["text_crc32", "doc_id"], bits)
+    sharded = hilbert_shards(rows, shards, ["source", "lang", "size"], ["text_crc32", "doc_id"], bits)
     return sharded.select(
         "doc_id",
         "size",
@@ -151,6 +160,14 @@ def document_shards(docs: DataFrame, shards: int = 16, bits: int = 5) -> DataFra
     )
 
 
+def write_documents(docs: DataFrame, path: str, shards: int = 16, bits: int = 5) -> None:
+    """Write the documents themselves, with all their columns, as ``write_shards`` does."""
+    size = (F.octet_length(F.coalesce(F.col("text"), F.lit(""))) + 1).alias("_size")
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("_crc")
+    placed = hilbert_shards(docs.select("*", size, crc), shards, ["source", "lang", "_size"], ["_crc", "doc_id"], bits)
+    write_shards(placed.drop("_size", "_crc", "hilbert"), path)
+
+
 def write_shards(df: DataFrame, path: str) -> None:
     """Write the output of ``hilbert_shards`` as one folder per shard, each in the order of
     its slots; a range of slots is one task's work, however large a shard is."""
