@@ -2,8 +2,8 @@
 
 The rules are strings ``host + path``. Their xxhash64 keys lie sorted in one file with
 the offsets and bytes of the full strings behind them. A url is expanded into the few
-strings that could be a rule for it (its host and parent domains, times the path lengths
-that occur among the rules); the digests of those are probed in the memory-mapped key
+strings that could be a rule for it (those of its parent domains that have as many labels
+as a rule's host, times the path lengths that occur among the rules); the digests of those are probed in the memory-mapped key
 array by vectorised binary search, and every hit is confirmed against the stored string.
 
 A list up to ``max_bytes`` is one file that each executor fetches once; a longer one
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from dayscout.llm.shared import stored, work_folder
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_MAGIC = b"DIGESTS1"
+_MAGIC = b"DIGESTS2"
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -45,7 +45,8 @@ def keys_of(strings: Sequence[bytes]) -> np.ndarray:
 
 
 def pack(rules: Sequence[tuple[str, bool]]) -> bytes:
-    """The file: counts, sorted keys, verdict bits, offsets, path lengths, strings."""
+    """The file: counts, sorted keys, offsets, path lengths, numbers of labels of the hosts,
+    verdict bits, strings."""
     first: dict[bytes, bool] = {}
     for rule, allow in rules:  # a rule given as both blocks
         b = rule.encode()
@@ -57,8 +58,9 @@ def pack(rules: Sequence[tuple[str, bool]]) -> bytes:
     allow = np.array([first[t] for t in texts], np.uint8)
     ends = np.cumsum([0] + [len(t) for t in texts]).astype(np.uint64)
     lengths = np.array(sorted({len(t) - _cut(t) for t in texts}), np.uint32)
-    head = struct.pack("<8sQQ", _MAGIC, len(texts), len(lengths))
-    parts = (keys[order].tobytes(), ends.tobytes(), lengths.tobytes(), allow.tobytes())
+    labels = np.array(sorted({t[: _cut(t)].count(b".") + 1 for t in texts}), np.uint32)
+    head = struct.pack("<8sQQQ", _MAGIC, len(texts), len(lengths), len(labels))
+    parts = (keys[order].tobytes(), ends.tobytes(), lengths.tobytes(), labels.tobytes(), allow.tobytes())
     return head + b"".join(parts) + b"".join(texts)
 
 
@@ -73,16 +75,18 @@ class DigestArray:
 
     def __init__(self, source):
         raw = np.memmap(source, np.uint8, "r") if isinstance(source, str) else np.frombuffer(source, np.uint8)
-        magic, n, m = struct.unpack("<8sQQ", raw[:24].tobytes())
+        magic, n, m, k = struct.unpack("<8sQQQ", raw[:32].tobytes())
         if magic != _MAGIC:
             raise ValueError("not a digest array")
-        at = 24
+        at = 32
         self.keys = raw[at : at + 8 * n].view(np.uint64)
         at += 8 * n
         self.ends = raw[at : at + 8 * (n + 1)].view(np.uint64)
         at += 8 * (n + 1)
         self.path_lengths = raw[at : at + 4 * m].view(np.uint32)
         at += 4 * m
+        self.labels = raw[at : at + 4 * k].view(np.uint32)
+        at += 4 * k
         self.allow = raw[at : at + n]
         self.texts = raw[at + n :]
 
@@ -103,25 +107,24 @@ class DigestArray:
         return out
 
 
-def probes_of(host: str, path: str, lengths: Sequence[int]) -> list[str]:
-    """Every string that could be a rule for this host and path."""
-    out, domain = [], host
+def probes_of(host: str, path: str, lengths: Sequence[int], labels: Sequence[int]) -> list[str]:
+    """Every string that could be a rule for this host and path. ``lengths`` of paths and
+    numbers of ``labels`` of hosts are those of the rules, so a host of any length has no
+    more probes than rules have shapes."""
     raw = path.encode()
     heads = [raw[:n].decode(errors="ignore") for n in lengths if n <= len(raw)]
-    while True:
-        out += [domain + h for h in heads]
-        dot = domain.find(".")
-        if dot < 0:
-            return out
-        domain = domain[dot + 1 :]
+    parts = host.rsplit(".", max(labels, default=0))
+    whole = host.count(".") + 1
+    domains = [host if n == whole else ".".join(parts[-n:]) for n in labels if n <= whole]
+    return [domain + h for domain in domains for h in heads]
 
 
 def judge(hosts: Sequence[str], paths: Sequence[str], index: DigestArray, default: str):
     """(rule, verdict) for each url: the longest rule that fits, else ``default``."""
-    lengths = [int(n) for n in index.path_lengths]
+    lengths, labels = index.path_lengths.tolist(), index.labels.tolist()
     probes, owner = [], []
     for i, (h, p) in enumerate(zip(hosts, paths, strict=True)):
-        mine = [x.encode() for x in probes_of(h, p, lengths)]
+        mine = [x.encode() for x in probes_of(h, p, lengths, labels)]
         probes += mine
         owner += [i] * len(mine)
     distinct = {x: k for k, x in enumerate(dict.fromkeys(probes))}
@@ -215,15 +218,13 @@ def filter_urls_sharded(
     Rules and the distinct probes of all pages meet by the leading bits of their key: a
     task packs the rules of its shard and searches them. ``shards`` should keep a shard
     within a task's memory. Hits, a few at most per host and path, are joined back; the
-    distinct path lengths of the rules are the one thing the driver holds."""
-    lengths = sorted(
-        r["n"]
-        for r in rules.select(
-            (F.octet_length("rule") - F.octet_length(F.substring_index("rule", "/", 1))).alias("n")
-        )
-        .distinct()
-        .collect()
-    )
+    distinct path lengths and numbers of labels of the rules are all that the driver holds."""
+    host_part = F.substring_index("rule", "/", 1)
+    shapes = rules.where("rule is not null").agg(
+        F.collect_set(F.octet_length("rule") - F.octet_length(host_part)).alias("lengths"),
+        F.collect_set(F.regexp_count(host_part, F.lit("[.]")) + 1).alias("labels"),
+    ).first()
+    lengths, labels = sorted(shapes["lengths"]), sorted(shapes["labels"])
     urls = stored(
         _hosts_and_paths(pages, id_column, url_column).withColumn(
             "_row", F.monotonically_increasing_id()
@@ -237,7 +238,7 @@ def filter_urls_sharded(
             out = [
                 (h, p, x)
                 for h, p in zip(b["host"], b["path"], strict=True)
-                for x in probes_of(h, p, lengths)
+                for x in probes_of(h, p, lengths, labels)
             ]
             yield pd.DataFrame(out, columns=["host", "path", "probe"], dtype=object)
 
