@@ -153,8 +153,8 @@ def exact_duplicates(
 def drop_exact_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", block_bytes: int = 4096
 ) -> DataFrame:
-    """The rows that stay, with all columns. Rows that repeat an id and its text are one
-    row; the least by the other columns stays."""
+    """The rows that stay, with all columns, of any type. Rows that repeat an id and its
+    text are one row: the one that reads least as JSON stays."""
     kept = (
         exact_duplicates(docs, id_column, text_column, block_bytes)
         .where("kept")
@@ -171,7 +171,7 @@ def drop_exact_duplicates(
         "left_semi",
     )
     rest = [F.col(f"_doc.`{c}`") for c in docs.columns if c != text_column]
-    order = Window.partitionBy("_sha", "_id").orderBy(*rest)
+    order = Window.partitionBy("_sha", "_id").orderBy(F.to_json(F.struct(*rest)))
     return (
         both.withColumn("_n", F.row_number().over(order))
         .where("_n = 1")
