@@ -437,7 +437,16 @@ def similar_groups(
     pairs = _blocks(candidates, groups, percent, block)
     links = pairs.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
     links = links.select("component", "i", "j", "block", "id", "n", "tokens")
-    found = components(links.mapInPandas(_verify(percent), "a long, b long"))
+    # an id with several texts is one node: the classes of its texts are linked through it
+    own, text = members.where("kind = 1 and n > 0"), F.struct("high", "low")
+    several = own.groupBy("id").agg(F.min(text).alias("x"), F.max(text).alias("y")).where("x <> y").select("id")
+    named = (
+        own.join(several, "id", "left_semi")
+        .join(classes.select("high", "low", "rep"), ["high", "low"])
+        .select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    )
+    links = links.mapInPandas(_verify(percent), "a long, b long").unionByName(named)
+    found = components(links)
     reached = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "high", "low", F.coalesce("component", "rep").alias("component")
     )
