@@ -90,7 +90,7 @@ def silhouette_exact(spark, d):
         F.col("vec_id").alias("id"), F.col("label").alias("cluster_id"),
         F.col("embedding").alias("features"),
     )
-    found = silhouette_by_cluster(points, block_points=256)
+    found = silhouette_by_cluster(points, strips=3)
     return found.withColumn("silhouette_score", c.r6("silhouette_score"))
 
 

@@ -1,15 +1,21 @@
-"""Two-sample Kolmogorov-Smirnov statistic as grouped prefix sums.
+"""Two-sample Kolmogorov-Smirnov statistic as grouped prefix sums, and its p-value.
 
 Spark ships only a one-sample test. Equal values are counted first, so the exchange
 carries one row per distinct value. The running sums are two-level: inside bands of
-neighbouring values, and over the band totals. No task sees a whole sample, even when
-the values are not rounded.
+neighbouring values, and over the band totals. The bands' limits are quantiles of a
+mergeable sketch (KLL) of each group's distinct values, so they are about equally deep
+whatever outliers there are; the sums over them are exact. No task sees a whole sample,
+even when the values are not rounded.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import lru_cache
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,18 +48,49 @@ def _ahead(column: str, over) -> Column:
     return F.coalesce(F.sum(column).over(before), F.lit(0))
 
 
+#: bands per group are COARSE ** 2; groups of fewer distinct values than SMALL are one band
+COARSE, SMALL, SKETCH = 32, 4_096, 4_096
+
+
+def _banded(counts: DataFrame, group: Sequence[str], coarse: int, small: int) -> DataFrame:
+    """Adds ``_band``: how many limits of the group are at most ``_v``. The limits are looked
+    up in two steps, among every ``coarse``-th and then among those up to the next."""
+    ranks = F.lit([k / coarse**2 for k in range(1, coarse**2)])
+    value = F.col("_v").cast("double")
+    limits = (
+        counts.groupBy(*group)
+        .agg(F.kll_sketch_agg_double(value, SKETCH).alias("_sketch"), F.count("*").alias("_k"))
+        .select(
+            *group,
+            F.when(
+                F.col("_k") >= small, F.kll_sketch_get_quantile_double("_sketch", ranks)
+            ).alias("_limits"),
+        )
+        .withColumn("_outer", F.expr(f"filter(_limits, (x, i) -> (i + 1) % {coarse} = 0)"))
+    )
+    step = F.size(F.filter("_outer", lambda x: x <= value))
+    part = F.slice("_limits", F.col("_step") * coarse + 1, F.lit(coarse - 1))
+    fine = F.size(F.filter(part, lambda x: x <= value))
+    band = F.when(F.col("_limits").isNull(), 0).otherwise(F.col("_step") * coarse + fine)
+    return (
+        counts.join(limits, list(group))
+        .withColumn("_step", step)
+        .withColumn("_band", band)
+        .drop("_limits", "_outer", "_step")
+    )
+
+
 def ks_two_sample(
     samples: DataFrame,
     group: Sequence[str],
     value: str,
     current: str,
-    bands: int = 1024,
+    coarse: int = COARSE,
+    small: int = SMALL,
 ) -> DataFrame:
-    """Per group: the counts, the KS statistic and its asymptotic p-value.
+    """Per group: the counts, the KS statistic and its p-value.
 
-    A group with an empty side has a NULL statistic. Each group's range of values is cut
-    into ``bands``, whatever its scale.
-    """
+    A group with an empty side has a NULL statistic and p-value."""
     v = F.col(value)
     counts = (
         samples.where(v.isNotNull())
@@ -63,10 +100,7 @@ def ks_two_sample(
             F.count_if(F.col(current)).alias("_c"),
         )
     )
-    limits = counts.groupBy(*group).agg(F.min("_v").alias("_low"), F.max("_v").alias("_high"))
-    step = F.nullif(F.col("_high") / bands - F.col("_low") / bands, F.lit(0.0))
-    band = F.coalesce(F.floor((F.col("_v") - F.col("_low")) / step), F.lit(0))
-    counts = counts.join(limits, list(group)).withColumn("_band", band)
+    counts = _banded(counts, group, coarse, small)
     inside = Window.partitionBy(*group, "_band").orderBy("_v")
     running = counts.select(
         *group,
@@ -100,8 +134,54 @@ def ks_two_sample(
         )
     )
     return found.withColumn(
-        "p_value",
-        kolmogorov_p_value(
-            F.col("ks_statistic"), F.col("baseline_samples"), F.col("current_samples")
-        ),
+        "p_value", ks_p_value("ks_statistic", "baseline_samples", "current_samples")
     )
+
+
+#: samples up to this size have an exact p-value, as in the usual statistics libraries
+EXACT_UP_TO = 10_000
+
+
+@lru_cache(maxsize=4096)
+def _outside(gap: int, m: int, n: int) -> float:
+    """Share of the lattice paths from (0, 0) to (m, n) that meet a point (i, j) with
+    |i * n - j * m| >= gap. By anti-diagonals: a path to (i, j) came from (i - 1, j) with
+    chance i / (i + j). All terms are positive, so small shares lose no digits."""
+    if gap <= 0:
+        return 1.0
+    i = np.arange(m + 1, dtype=np.int64)
+    left = np.zeros(m + 1)  # the share for (i, s - i), on the diagonal s
+    for s in range(1, m + n + 1):
+        low, high = max(0, s - n), min(m, s)
+        here = i[low : high + 1]
+        now = np.zeros(m + 1)
+        from_below = np.where(here > 0, left[here - 1], 0.0) * here
+        now[low : high + 1] = (from_below + left[low : high + 1] * (s - here)) / s
+        now[low : high + 1][np.abs(here * n - (s - here) * m) >= gap] = 1.0
+        left = now
+    return float(left[m])
+
+
+def exact_p_value(statistic: float, m: int, n: int) -> float:
+    """P(D >= statistic) for samples of m and n values from one continuous distribution."""
+    step = math.gcd(m, n)  # D times m * n is a multiple of it
+    return _outside(step * round(statistic * m * n / step), m, n)
+
+
+def _exact(statistic: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
+    return pd.Series(
+        [
+            None if pd.isna(d) else exact_p_value(d, int(a), int(b))
+            for d, a, b in zip(statistic, m, n, strict=True)
+        ],
+        dtype="float64",
+    )
+
+
+def ks_p_value(statistic: str, m: str, n: str) -> Column:
+    """Exact for samples of up to ``EXACT_UP_TO`` values, else asymptotic. One row per group
+    comes here, never a sample."""
+    d, a, b = F.col(statistic), F.col(m), F.col(n)
+    few = F.greatest(a, b) <= EXACT_UP_TO
+    exact = F.pandas_udf(_exact, "double")(F.when(few, d), F.when(few, a).otherwise(1), F.when(few, b).otherwise(1))
+    return F.when(d.isNull(), F.lit(None)).when(few, exact).otherwise(kolmogorov_p_value(d, a, b))

@@ -1,14 +1,16 @@
 """Silhouettes: the exact Euclidean one, and the linear-cost squared one.
 
 The exact mean distance to a cluster does not decompose, so the work is quadratic by
-nature. It is done block against block: points are packed into even blocks, each pair
-of blocks is one row, and numpy sums the distances inside the task. What leaves a task
-is one partial sum per point and cluster, never a pair of points.
+nature. It is done in square tiles: points are dealt to g strips by a hash, and tile (a, b)
+holds strip a on its left and strip b on its right. A point travels 2g times, and with
+strips as long as the square root of all points, the exchange grows with n to the power
+1.5. Numpy sums the distances inside a tile. What leaves it is one partial sum per point
+and cluster, never a pair of points.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
@@ -16,52 +18,52 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_POINTS = 2_048
+#: strips are this many times the square root of the points long
+STRIP = 64
 
 _PARTIAL = "id string, cluster_id int, other int, total double"
 
 
-def _partial_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per block pair: for every left point, its distance sum to each right cluster."""
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            left, right = np.stack(row.l_points), np.stack(row.r_points)
-            left_clusters, right_clusters = np.asarray(row.l_clusters), np.asarray(row.r_clusters)
-            others = np.unique(right_clusters)
-            sums = np.zeros((len(left), len(others)))
-            # A slice of left points at a time bounds the distance matrix in memory.
-            for start in range(0, len(left), 256):
-                diff = left[start : start + 256, None, :] - right[None, :, :]
-                dist = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-                for j, other in enumerate(others):
-                    sums[start : start + 256, j] = dist[:, right_clusters == other].sum(axis=1)
-            yield pd.DataFrame(
-                {
-                    "id": np.repeat(np.asarray(row.l_ids, dtype=object), len(others)),
-                    "cluster_id": np.repeat(left_clusters, len(others)).astype("int32"),
-                    "other": np.tile(others, len(left)).astype("int32"),
-                    "total": sums.ravel(),
-                }
-            )
-
-
-def _packed(points: DataFrame, n_blocks: int) -> DataFrame:
-    """Even blocks by hash of the id, so their size does not depend on the data."""
-    return (
-        points.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int"))
-        .groupBy("block")
-        .agg(F.collect_list(F.struct("id", "cluster_id", "features")).alias("p"))
-        .select(
-            "block",
-            F.col("p.id").alias("ids"),
-            F.col("p.cluster_id").alias("clusters"),
-            F.col("p.features").alias("points"),
-        )
+def _tile_sums(tile: pd.DataFrame) -> pd.DataFrame:
+    """For every left point, its distance sum to each cluster on the right."""
+    left, right = tile[tile["side"] == 0], tile[tile["side"] == 1]
+    if not len(left) or not len(right):
+        return pd.DataFrame({"id": [], "cluster_id": [], "other": [], "total": []}).astype({"id": object})
+    right = right.sort_values("cluster_id", kind="stable")
+    others, starts = np.unique(right["cluster_id"].to_numpy(), return_index=True)
+    x, y = np.stack(left["features"].tolist()), np.stack(right["features"].tolist())
+    sums = np.zeros((len(x), len(others)))
+    rows = max(1, (1 << 21) // len(y))  # bounds the matrix of distances in memory
+    for start in range(0, len(x), rows):
+        squares = np.zeros((len(x[start : start + rows]), len(y)))
+        for k in range(x.shape[1]):
+            squares += (x[start : start + rows, k, None] - y[None, :, k]) ** 2
+        sums[start : start + rows] = np.add.reduceat(np.sqrt(squares), starts, axis=1)
+    return pd.DataFrame(
+        {
+            "id": np.repeat(left["id"].to_numpy(object), len(others)),
+            "cluster_id": np.repeat(left["cluster_id"].to_numpy(), len(others)).astype("int32"),
+            "other": np.tile(others, len(x)).astype("int32"),
+            "total": sums.ravel(),
+        }
     )
 
 
+def strips_for(n_points: int) -> int:
+    return max(1, math.ceil(math.sqrt(n_points) / STRIP))
+
+
+def tiles(points: DataFrame, strips: int) -> DataFrame:
+    """Each point once per tile of its row (side 0) and of its column (side 1)."""
+    strip = F.pmod(F.xxhash64("id"), F.lit(strips)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(strips - 1)))
+    row = points.select(strip.alias("a"), every.alias("b"), F.lit(0).alias("side"), *points.columns)
+    column = points.select(every.alias("a"), strip.alias("b"), F.lit(1).alias("side"), *points.columns)
+    return row.unionByName(column)
+
+
 def silhouette_samples(
-    points: DataFrame, n_points: int | None = None, block_points: int = BLOCK_POINTS
+    points: DataFrame, n_points: int | None = None, strips: int | None = None
 ) -> DataFrame:
     """(id, cluster_id, silhouette) for points (id, cluster_id, features array<double>).
 
@@ -73,19 +75,9 @@ def silhouette_samples(
         F.col("cluster_id").cast("int").alias("cluster_id"),
         F.col("features").cast("array<double>").alias("features"),
     )
-    n = points.count() if n_points is None else n_points
-    n_blocks = max(1, -(-n // block_points))
-    packed = _packed(points, n_blocks)
-    left = packed.select(
-        *[F.col(c).alias(f"l_{c}") for c in ("ids", "clusters", "points")],
-        F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
-    )
-    right = packed.select("block", *[F.col(c).alias(f"r_{c}") for c in ("clusters", "points")])
-    partial = (
-        left.join(right, "block")
-        .select("l_ids", "l_clusters", "l_points", "r_clusters", "r_points")
-        .mapInPandas(_partial_sums, _PARTIAL)
-    )
+    if strips is None:
+        strips = strips_for(points.count() if n_points is None else n_points)
+    partial = tiles(points, strips).groupBy("a", "b").applyInPandas(_tile_sums, _PARTIAL)
     sizes = points.groupBy(F.col("cluster_id").alias("other")).agg(F.count("*").alias("size"))
     totals = partial.groupBy("id", "cluster_id", "other").agg(F.sum("total").alias("total"))
     own = F.col("other") == F.col("cluster_id")

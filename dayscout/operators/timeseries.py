@@ -132,28 +132,47 @@ def _with_next_date(blocked: DataFrame, seen: DataFrame) -> DataFrame:
     )
 
 
+def _places_of_dates(seen: DataFrame) -> DataFrame:
+    """(day, place): the distinct dates numbered from 0. The calendar bounds them: a
+    hundred years are 36,525 rows, whatever the table holds."""
+    days = seen.select(F.col("feature_date").alias("day")).distinct()
+    return days.select("day", (F.row_number().over(Window.orderBy("day")) - 1).alias("place"))
+
+
+def _covered(blocked: DataFrame, seen: DataFrame) -> DataFrame:
+    """Each row once per place of a distinct date from its own to before the next row's:
+    as many rows as the result has, however many calendar days lie between two dates."""
+    places = _places_of_dates(seen)
+    own = places.select(F.col("day").alias("feature_date"), F.col("place").alias("_from"))
+    later = places.select(F.col("day").alias("_next"), F.col("place").alias("_to"))
+    last = places.agg(F.max("place")).scalar()
+    hidden = ("city", "feature_date", "_block", "_inside")
+    values = [c for c in blocked.columns if c not in hidden]
+    until = F.coalesce(F.col("_to") - 1, last)
+    return (
+        _with_next_date(blocked, seen)
+        .join(own, "feature_date")
+        .join(later, "_next", "left")
+        .select(
+            "city",
+            F.explode(F.sequence("_from", until)).alias("place"),
+            F.col("feature_date").alias("observed_date"),
+            *values,
+        )
+    )
+
+
 def _carried(blocked: DataFrame, seen: DataFrame) -> DataFrame:
     """Each row repeated on every distinct date up to the place's next row. ``seen``
     holds the (city, feature_date) keys.
 
-    The as-of match is an explode plus an equi semi-join: no theta join. Days between
-    two rows on which nothing was observed anywhere are dropped by the semi-join, which
-    Spark broadcasts as long as the list of days is small.
-    """
-    last_day = seen.agg(F.max("feature_date")).scalar()
-    until = F.coalesce(F.date_sub("_next", 1), last_day)
-    hidden = ("city", "feature_date", "_block", "_inside")
-    values = [c for c in blocked.columns if c not in hidden]
-    covered = _with_next_date(blocked, seen).select(
-        "city",
-        F.explode(F.sequence("feature_date", until)).alias("_on"),
-        F.col("feature_date").alias("observed_date"),
-        *values,
-    )
-    wanted = seen.select(F.col("feature_date").alias("_on")).distinct()
-    return covered.join(wanted, "_on", "left_semi").select(
-        "city", F.col("_on").alias("feature_date"), "observed_date", *values
-    )
+    The as-of match is made in places of the distinct dates, not in calendar days: a row's
+    date and the next one's give a range of places, and the places their dates back. All
+    joins are equi-joins with the short list of dates; nothing is made and dropped."""
+    covered = _covered(blocked, seen)
+    values = [c for c in covered.columns if c not in ("city", "place", "observed_date")]
+    dates = _places_of_dates(seen).withColumnRenamed("day", "feature_date")
+    return covered.join(dates, "place").select("city", "feature_date", "observed_date", *values)
 
 
 def carry_forward(features: DataFrame) -> DataFrame:

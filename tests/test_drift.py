@@ -1,13 +1,16 @@
 """Drift statistics and reports."""
 
 import datetime as dt
+import itertools
 import json
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from dayscout.functions import drift_rules as rules
+from dayscout.operators import ks
 from dayscout.operators.ks import ks_two_sample
 from dayscout.plans import drift
 
@@ -35,13 +38,13 @@ def rng():
 
 @pytest.mark.parametrize("digits", [None, 2, 0])
 @pytest.mark.parametrize("scale", [1.0, 1e-6, 1e12])
-@pytest.mark.parametrize("bands", [1, 7, 1024])
+@pytest.mark.parametrize("bands", [1, 3, 32])
 def test_ks_equals_numpy(spark, rng, digits, scale, bands):
     a, b = rng.gamma(2.0, 4.0, 230), rng.gamma(3.0, 3.0, 140)
     if digits is not None:
         a, b = a.round(digits), b.round(digits)
     a, b = a * scale, b * scale
-    r = spark_ks(spark, a, b, bands=bands)
+    r = spark_ks(spark, a, b, coarse=bands, small=1)
     assert abs(r["ks_statistic"] - numpy_ks(a, b)) < 1e-12
     assert (r["baseline_samples"], r["current_samples"]) == (230, 140)
 
@@ -71,12 +74,47 @@ def test_ks_p_values(spark):
     assert nothing["ks_statistic"] is None and nothing["p_value"] is None
 
 
-def test_published_statistics_are_plausible(spark):
-    """The logged p-values of 580 against 160 samples, to the order of magnitude."""
-    df = spark.createDataFrame([(0.34677, 6.4e-14), (0.21185, 2.1e-05), (0.32565, 2.7e-12)], "d double, p double")
-    got = df.select("p", rules.kolmogorov_p_value(F.col("d"), F.lit(580), F.lit(160)).alias("q"))
-    for r in got.collect():
-        assert 0.5 < r["q"] / r["p"] < 2
+def test_published_p_values_to_their_digits():
+    """Logged for 580 against 160 samples."""
+    for d, p in ((0.34677, "6.4e-14"), (0.21185, "2.1e-05"), (0.32565, "2.7e-12")):
+        assert f"{ks.exact_p_value(d, 580, 160):.1e}" == p
+
+
+def test_exact_p_value_equals_enumeration():
+    """Every order of two samples, for all sizes up to 8 by 8."""
+    for m, n in itertools.product(range(1, 9), repeat=2):
+        gaps = Counter()
+        for chosen in itertools.combinations(range(m + n), m):
+            i = j = gap = 0
+            picks = set(chosen)
+            for k in range(m + n):
+                i, j = (i + 1, j) if k in picks else (i, j + 1)
+                gap = max(gap, abs(i * n - j * m))
+            gaps[gap] += 1
+        total = sum(gaps.values())
+        for gap in gaps:
+            share = sum(k for g, k in gaps.items() if g >= gap) / total
+            assert ks.exact_p_value(gap / (m * n), m, n) == pytest.approx(share, rel=1e-12)
+
+
+def test_exact_and_asymptotic_p_values_meet(spark):
+    df = spark.createDataFrame([(0.02, 9000, 9000), (0.025, 10_000, 5000)], "d double, m long, n long")
+    got = df.select(ks.ks_p_value("d", "m", "n").alias("p"), rules.kolmogorov_p_value(F.col("d"), F.col("m"), F.col("n")).alias("q"))
+    assert all(r["p"] == pytest.approx(r["q"], rel=0.05) for r in got.collect())
+    large = spark.createDataFrame([(0.02, 10_001, 5)], "d double, m long, n long")
+    assert large.select(ks.ks_p_value("d", "m", "n").alias("p")).first()["p"] == pytest.approx(1.0)
+
+
+def test_bands_are_even_beside_an_outlier(spark, rng):
+    values = [*rng.normal(0, 1, 20_000).tolist(), 1e9, -1e12, float("inf")]
+    counts = spark.createDataFrame([("m", v, 1, 0) for v in values], "g string, _v double, _b long, _c long")
+    banded = ks._banded(counts, ["g"], 32, 1)
+    sizes = sorted(r["count"] for r in banded.groupBy("_band").count().collect())
+    assert len(sizes) > 900 and sizes[-1] < 5 * len(values) / 1024
+    ends = banded.groupBy("_band").agg(F.min("_v").alias("low"), F.max("_v").alias("high")).orderBy("_band").collect()
+    assert all(a["high"] < b["low"] for a, b in zip(ends, ends[1:], strict=False))
+    r = spark_ks(spark, values, rng.normal(0.5, 1, 9000), small=1)
+    assert r["ks_statistic"] == pytest.approx(numpy_ks(values, rng.normal(0.5, 1, 9000)), abs=0.05)
 
 
 def test_thresholds_by_metric(spark):

@@ -4,6 +4,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dayscout.operators import timeseries as ts
@@ -142,3 +143,26 @@ def test_carried_values_are_those_of_the_observed_row(spark):
     )
     same = F.col("k.comfort_score").eqNullSafe(F.col("f.comfort_score"))
     assert joined.where(~same).count() == 0 and joined.count() == carried.count()
+
+
+def test_a_gap_of_a_century_makes_no_rows(spark):
+    """Rows between the steps stay within those that come in and those that go out."""
+    dates = [dt.date(1900, 1, 1), dt.date(1900, 1, 3)] + [dt.date(2000, 1, i) for i in range(1, 15)]
+    rows = [("old", dates[0], 1.0), ("old", dates[-1], 2.0), ("mid", dates[1], 3.0)]
+    rows += [("new", d, float(i)) for i, d in enumerate(dates[2:])]
+    features = spark.createDataFrame(rows, "city string, feature_date date, v double")
+    got = ts.carry_forward(features)
+    want = []
+    for city in {r[0] for r in rows}:
+        for d in dates:
+            seen = [r for r in rows if r[0] == city and r[1] <= d]
+            if seen:
+                last = max(seen, key=lambda r: r[1])
+                want.append((city, d, last[1], last[2]))
+    assert sorted(tuple(r) for r in got.select("city", "feature_date", "observed_date", "v").collect()) == sorted(want)
+    blocked = features.withColumn("_block", ts._block(F.unix_date("feature_date"))).withColumn(
+        "_inside", F.lead("feature_date").over(Window.partitionBy("city", "_block").orderBy("feature_date"))
+    )
+    seen = features.select("city", "feature_date")
+    assert ts._covered(blocked, seen).count() == len(want)
+    assert ts._places_of_dates(seen).count() == len(dates)
