@@ -11,7 +11,7 @@ from dayscout.operators import learning as ml
 from dayscout.operators.runlog import model_drift
 from dayscout.plans import dashboard, drift, enrich, features, ingest, recommend, retrain
 from dayscout.sources.dims import SEED_PROFILES
-from dayscout.sources.store import shared_dir
+from dayscout.sources.files import scratch_dir
 
 _OBS = (
     "city, date, temp_max, temp_min, temp_mean, precipitation, wind_speed_max,"
@@ -118,7 +118,7 @@ def backfill_features(spark, d):
 @check("retrain")
 def retrain_job(spark, d):
     rows, runs = c.features(spark, d), c.runs(spark, d)
-    root = f"{shared_dir(spark)}/models/retrain"
+    root = scratch_dir(spark, "retrain")
     result = retrain.retrain(rows, runs, c.as_of(spark, d), root, run_id=10**9, partitions=2)
     return result.log.groupBy("model_type", "is_champion").agg(
         F.count("*").alias("n_runs"), F.max("run_id").alias("last_run")
@@ -285,6 +285,59 @@ def drift_report(spark, d):
     )
 
 
+@check(
+    "drift_report_json",
+    f"""WITH {_CHECKS}
+        SELECT 'feature_drift' AS section, m AS name, k > threshold OR shift > 2.5 AS drift_detected,
+          round(k + 1e-9, 6) AS statistic, round(bm + 1e-9, 6) AS baseline, round(cm + 1e-9, 6) AS current,
+          round(shift + 1e-9, 6) AS shift,
+          CAST(k > threshold AS INT) + CAST(shift > 2.5 AS INT) AS n_reasons FROM cmp WHERE m <> 'leisure'
+        UNION ALL SELECT 'model_drift', model_type, (historical_mean-champion_value)/historical_mean > 0.1,
+          round((historical_mean-champion_value)/historical_mean + 1e-9, 6),
+          round(historical_mean + 1e-9, 6), round(champion_value + 1e-9, 6), NULL, NULL FROM history
+        UNION ALL SELECT 'prediction_drift', m, k > 0.4, round(k + 1e-9, 6), round(bm + 1e-9, 6),
+          round(cm + 1e-9, 6), NULL, NULL FROM cmp WHERE m = 'leisure'""",
+)
+def drift_report_json(spark, d):
+    """The figures of the published file."""
+    when = c.as_of(spark, d)
+    report = drift.run_report(
+        spark, lambda: c.features(spark, d), lambda: c.runs(spark, d), lambda: c.scores(spark, d), when, f"{when}T00:00:00"
+    )
+    path = drift.write_report(spark, report, scratch_dir(spark, "reports"), f"{when:%Y%m%d}_000000")
+    figures = {
+        "statistic": F.coalesce("ks_statistic", "performance_drop"),
+        "baseline": F.coalesce("baseline_mean", "historical_mean"),
+        "current": F.coalesce("current_mean", "champion_value"),
+        "shift": F.col("mean_shift_std"),
+    }
+    found = drift.read_reports(spark, path).withColumns(figures)
+    return found.select(
+        "section", "name", "drift_detected", *[c.r6(x).alias(x) for x in figures],
+        F.when(F.col("section") == "feature_drift", F.size("reasons")).alias("n_reasons"),
+    )
+
+
+@check("train_models")
+def train_models(spark, d):
+    """The stand-alone training over all history: both saved models, by their cards, and how
+    they do on the newest date."""
+    trained = retrain.train_models(c.features(spark, d), scratch_dir(spark, "models"), c.as_of(spark, d))
+    today = trained.newest.agg(
+        F.round(F.avg("error"), 6).alias("newest_mae"), F.count("*").alias("newest_rows")
+    ).first()
+    rows = [
+        (k.kind, k.model_type, ", ".join(k.feature_names), k.trained_at, k.k, m, float(v))
+        for k in (trained.clusters, trained.regression)
+        for m, v in sorted(k.metrics.items())
+        if isinstance(v, int | float)
+    ]
+    schema = "kind string, model_type string, feature_names string, trained_at string, k int, metric string, value double"
+    return spark.createDataFrame(rows, schema).select(
+        "*", F.lit(today["newest_mae"]).alias("newest_mae"), F.lit(today["newest_rows"]).alias("newest_rows")
+    )
+
+
 @check(
     "drift_overall",
     f"""WITH {_CHECKS} SELECT bool_or(drift_detected) AS overall_drift_detected,

@@ -1,8 +1,6 @@
 """Learning operators. Seeded fits are not expressible in SQL; their tests check
 invariants instead."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from checks import common as c
@@ -13,7 +11,7 @@ from dayscout.plans.recommend import complete
 from dayscout.plans.retrain import newest_rows
 from dayscout.schemas import CLUSTER_FEATURES, REGRESSION_FEATURES
 from dayscout.sources.scans import features_all, features_window
-from dayscout.sources.store import shared_dir
+from dayscout.sources.files import scratch_dir
 
 
 def _usable(spark, d):
@@ -46,13 +44,14 @@ def standard_scale(spark, d):
 
 @check("kmeans_fit")
 def kmeans_fit(spark, d):
-    """Four clusters of all feature rows: size, means, inertia."""
+    """Four clusters of all feature rows: size, means, inertia, exact silhouette."""
     rows = complete(c.features(spark, d), CLUSTER_FEATURES)
-    fit = ml.fit_clusters(rows, 4, with_silhouette=False)
+    fit = ml.fit_clusters(rows, 4)
     sizes = fit.assign(rows).groupBy("cluster_id").agg(
         F.count("*").alias("size"), *[F.round(F.avg(x), 1).alias(x) for x in CLUSTER_FEATURES]
     )
-    return sizes.withColumn("inertia", F.lit(round(fit.inertia, 2)))
+    figures = {"inertia": F.lit(round(fit.inertia, 2)), "silhouette": F.lit(round(fit.silhouette, 3))}
+    return sizes.withColumns(figures)
 
 
 @check(
@@ -148,9 +147,7 @@ def _metrics_frame(spark, metrics):
 
 def _single_fit(key, model_type):
     def fn(spark, d):
-        return _metrics_frame(
-            spark, ml.train_regression(_usable(spark, d), model_type, folds=None).metrics
-        )
+        return _metrics_frame(spark, ml.train_regression(_usable(spark, d), model_type).metrics)
 
     fn.__name__ = key
     return check(key)(fn)
@@ -202,7 +199,7 @@ def champions(spark, d):
         )
     finally:
         rows.unpersist()
-    root = f"{shared_dir(spark)}/models/champions-{uuid.uuid4().hex}"
+    root = scratch_dir(spark, "champions")
     ml.save_model(clusters.model, f"{root}/kmeans")
     ml.save_model(fit.model, f"{root}/regression")
     return ml.load_model(f"{root}/kmeans"), ml.load_model(f"{root}/regression")
@@ -230,9 +227,11 @@ def order_model_comparison(spark, d):
 
 @check("predict_clipped")
 def predict_clipped(spark, d):
+    """All history, by the model that is served."""
+    _, regression = champions(spark, d)
     rows = complete(_usable(spark, d), REGRESSION_FEATURES)
-    fit = ml.train_regression(rows, "ridge", folds=None)
-    return fit.predict(rows).select("city", "feature_date", F.round("predicted", 4).alias("predicted"))
+    scored = ml.predict_clipped(regression, rows)
+    return scored.select("city", "feature_date", F.round("predicted", 4).alias("predicted"))
 
 
 @check("score_newest_date")

@@ -11,7 +11,7 @@ from checks import common as c
 from checks.common import check
 from dayscout.operators import writes
 from dayscout.operators.aggregates import cluster_breakdown, cluster_stats
-from dayscout.operators.learning import assign_clusters, fit_clusters, load_model, save_model
+from dayscout.operators.learning import assign_clusters, fit_clusters
 from dayscout.operators.profiles import score_profiles
 from dayscout.operators.runlog import last_runs
 from dayscout.plans import drift, retrain
@@ -27,7 +27,8 @@ from dayscout.schemas import (
 )
 from dayscout.sources.dims import profiles_table
 from dayscout.sources.files import scratch_dir
-from dayscout.sources.store import Store, shared_dir
+from dayscout.sources.models import ModelRegistry
+from dayscout.sources.store import Store
 
 _KEY = ["city", "date"]
 _COLS = "city, date, temp_max, precipitation"
@@ -255,27 +256,29 @@ def cascade_delete(spark, d):
     return store.read(PROFILE_SCORES).select(*scores.columns)
 
 
-@check("drift_report_json")
-def drift_report_json(spark, d):
-    when = c.as_of(spark, d)
-    checks = drift.drift_checks(
-        c.features(spark, d), c.runs(spark, d), score_profiles(c.features(spark, d)), when
-    )
-    return drift.drift_report(checks, when)
-
-
 @check("model_save_load")
 def model_save_load(spark, d):
-    """Predictions of a model before and after saving agree on every row."""
+    """Predictions of a model before and after saving agree on every row; its card says what
+    it is."""
     rows = complete(c.features(spark, d), CLUSTER_FEATURES)
-    fit = fit_clusters(rows, 4, restarts=2, with_silhouette=False)
-    path = f"{shared_dir(spark)}/models/model_save_load"
-    save_model(fit.model, path)
-    again = assign_clusters(load_model(path), assign_clusters(fit.model, rows).withColumnRenamed(
-        "cluster_id", "before"))
+    fit = fit_clusters(rows, 4)
+    registry = ModelRegistry(spark, scratch_dir(spark, "models"))
+    registry.save(fit.model, retrain.cluster_card(fit, 1, str(c.as_of(spark, d))))
+    registry.promote("kmeans", 1)
+    saved = registry.load("kmeans", CLUSTER_FEATURES)
+    before = assign_clusters(fit.model, rows).withColumnRenamed("cluster_id", "before")
+    again = assign_clusters(saved.model, before)
+    card = saved.card
     return again.groupBy("cluster_id").agg(
         F.count("*").alias("n_rows"),
         F.count_if(F.col("cluster_id") == F.col("before")).alias("n_equal"),
+    ).select(
+        "*",
+        F.lit(card.k).alias("k"),
+        F.lit(", ".join(card.feature_names)).alias("feature_names"),
+        F.lit(card.trained_at).alias("trained_at"),
+        F.lit(card.metrics["silhouette_score"]).alias("silhouette_score"),
+        F.lit(card.metrics["n_samples"]).alias("n_samples"),
     )
 
 

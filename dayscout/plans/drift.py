@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dayscout.functions import drift_rules as rules
 from dayscout.operators.ks import ks_two_sample, two_sample_summary
+from dayscout.operators.learning import at_once
 from dayscout.operators.runlog import model_drift
 from dayscout.operators.writes import conform
 from dayscout.schemas import DRIFT_LOG, REGRESSION_FEATURES
 from dayscout.sources.dims import DEFAULT_PROFILE
+from dayscout.sources.files import Files
 from dayscout.sources.scans import When, day
 
 
@@ -243,6 +246,103 @@ def drift_checks(
     return union.select(*fields)
 
 
+#: fixed values: the sections of the report, their names, and what is advised on a drift
+MODEL_METRICS = {"regression": "test_r2", "kmeans": "silhouette_score"}
+ACTIONS = {
+    "feature_drift": "Feature drift detected in {name} - consider retraining models",
+    "model_drift": "{title} model performance degraded - trigger retraining",
+    "prediction_drift": "Prediction distributions shifted - investigate seasonal effects",
+}
+_FEATURE_FIELDS = [
+    "drift_detected", "ks_statistic", "p_value", "mean_shift_std", "baseline_mean", "current_mean", "reasons", "reason",
+]
+_MODEL_FIELDS = ["drift_detected", "champion_value", "historical_mean", "performance_drop", "reason"]
+_PREDICTION_FIELDS = ["drift_detected", "ks_statistic", "p_value", "baseline_mean", "current_mean", "reason"]
+
+Source = Callable[[], DataFrame]
+
+
+def run_report(
+    spark: SparkSession,
+    features: Source,
+    runs: Source,
+    scores: Source,
+    as_of: When,
+    timestamp: str,
+    profile: str = DEFAULT_PROFILE,
+    metrics: Sequence[str] = tuple(REGRESSION_FEATURES),
+) -> dict:
+    """The report as one nested dict. Every check runs on its own, at once with the others;
+    what it raises, a table that cannot be read included, is the ``error`` of its entry and
+    leaves the others as they are. The sources are called inside the checks."""
+    def of_model(kind: str, metric: str) -> DataFrame:
+        watched = (F.col("model_type") == kind) & (F.col("metric_name") == metric)
+        return model_drift(runs().where(watched))
+
+    checks: list[tuple[str, str, list[str], Source]] = [
+        ("feature_drift", m, _FEATURE_FIELDS, lambda m=m: detect_feature_drift(features(), as_of, [m]))
+        for m in metrics
+    ]
+    checks += [
+        ("model_drift", kind, _MODEL_FIELDS, lambda k=kind, m=metric: of_model(k, m))
+        for kind, metric in MODEL_METRICS.items()
+    ]
+    checks.append(
+        ("prediction_drift", profile, _PREDICTION_FIELDS, lambda: detect_prediction_drift(scores(), as_of, profile))
+    )
+
+    def entry(check: tuple[str, str, list[str], Source]) -> dict:
+        _, _, fields, rows = check
+        try:
+            found = rows().select(*fields).first()
+            if found is None:
+                return {"drift_detected": False, "reason": "insufficient_history"}
+            return {k: v for k, v in found.asDict().items() if v is not None and v == v}
+        except Exception as e:  # one check must not take the report with it
+            return {"error": str(e).strip().split("\n")[0] or type(e).__name__}
+
+    report: dict = {"timestamp": timestamp, "feature_drift": {}, "model_drift": {}, "prediction_drift": {}}
+    advice = []
+    for (section, name, _, _), found in zip(checks, at_once(spark, entry, checks), strict=True):
+        report[section][name] = found
+        if found.get("drift_detected"):
+            advice.append(ACTIONS[section].format(name=name, title=name.capitalize()))
+    return report | {"overall_drift_detected": bool(advice), "recommendations": advice}
+
+
+def write_report(spark: SparkSession, report: dict, folder: str, name: str) -> str:
+    """Publish the report as ``drift_report_<name>.json``: written aside and renamed, so that
+    a reader finds all of it or none. A report of that name is never replaced."""
+    path = f"{folder.rstrip('/')}/drift_report_{name}.json"
+    if not Files(spark).publish(path, json.dumps(report, indent=2, allow_nan=False)):
+        raise FileExistsError(path)
+    return path
+
+
+_ENTRY = (
+    "drift_detected boolean, ks_statistic double, p_value double, mean_shift_std double, baseline_mean double,"
+    " current_mean double, champion_value double, historical_mean double, performance_drop double,"
+    " reasons array<string>, reason string, error string"
+)
+REPORT_SCHEMA = (
+    "timestamp string, overall_drift_detected boolean, recommendations array<string>, "
+    + ", ".join(f"{section} map<string, struct<{_ENTRY.replace(' ', ':').replace(',:', ', ')}>>" for section in ACTIONS)
+)
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    """One row per check of all report files below a path: timestamp, section, name, and the
+    figures of the check."""
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", REPORT_SCHEMA).alias("r"))
+    parts = None
+    for section in ACTIONS:
+        part = whole.select(
+            "r.timestamp", F.lit(section).alias("section"), F.explode(F.col(f"r.{section}")).alias("name", "e")
+        ).select("timestamp", "section", "name", "e.*")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 def drift_overall(checks: DataFrame) -> DataFrame:
     """Any drift at all, whether to retrain (predictions alone do not), and the actions.
 

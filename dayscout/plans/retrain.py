@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 from dayscout.operators.learning import (
     ClusterFit,
     RegressionFit,
+    assign_clusters,
     at_once,
     compare_models,
     fit_clusters,
     optimal_k,
-    save_model,
+    predict_clipped,
     train_regression,
 )
 from dayscout.operators.runlog import beats_champion, current_champion
 from dayscout.operators.writes import clear_flag
+from dayscout.schemas import CLUSTER_FEATURES, REGRESSION_FEATURES, REGRESSION_TARGET
+from dayscout.sources.models import ModelCard, ModelRegistry
 from dayscout.sources.scans import features_all, features_window
 
 N_CLUSTERS = 4
@@ -53,6 +56,18 @@ def log_run(runs: DataFrame, new: DataFrame, promoted_types: list[str]) -> DataF
     return demoted.unionByName(new.select(*runs.columns))
 
 
+def cluster_card(fit: ClusterFit, model_id: int, trained_at: str) -> ModelCard:
+    metrics = {"n_samples": fit.n_samples, "inertia": fit.inertia, "silhouette_score": fit.silhouette}
+    return ModelCard(
+        "kmeans", model_id, "kmeans", tuple(CLUSTER_FEATURES), trained_at, metrics, fit.n_clusters
+    )
+
+
+def regression_card(fit: RegressionFit, model_id: int, trained_at: str) -> ModelCard:
+    metrics = fit.metrics | {"feature_importances": dict(fit.importances)}
+    return ModelCard("regression", model_id, fit.model_type, tuple(fit.columns), trained_at, metrics)
+
+
 def retrain(
     features: DataFrame,
     runs: DataFrame,
@@ -68,8 +83,8 @@ def retrain(
 
     ``partitions`` is that of the fits: 90 days of few places need few.
 
-    Models are saved under their run id; the log names the champion, so promotion
-    never overwrites a model that is being read.
+    Models are saved under their run id with their cards; a promotion publishes a pointer
+    and never overwrites a model that is being read.
     """
     spark = features.sparkSession
     window = features_window(features, as_of, days_back).persist()
@@ -90,15 +105,18 @@ def retrain(
     champions = {
         r["model_type"]: r["metric_value"] for r in current_champion(runs).collect()
     }
+    registry, when = ModelRegistry(spark, model_root), str(as_of)
     results = [
-        ("kmeans", "silhouette_score", round(clusters.silhouette, 3), clusters.model),
-        ("regression", "test_r2", regression.metrics["test_r2"], regression.model),
+        ("silhouette_score", round(clusters.silhouette, 3), clusters.model, cluster_card(clusters, run_id, when)),
+        ("test_r2", regression.metrics["test_r2"], regression.model, regression_card(regression, run_id + 1, when)),
     ]
     rows = []
-    for i, (kind, metric, value, model) in enumerate(results):
-        path = f"{model_root}/{kind}/{run_id + i}"
-        save_model(model, path)
+    for i, (metric, value, model, card) in enumerate(results):
+        kind = card.kind
+        path = registry.save(model, card)
         wins = beats_champion(kind, value, champions.get(kind))
+        if wins:
+            registry.promote(kind, card.id)
         rows.append((as_of, as_of, run_id + i, kind, metric, float(value), path, wins))
     new = spark.createDataFrame(rows, RUN_SCHEMA)
     base = runs
@@ -108,13 +126,47 @@ def retrain(
     return Retrained(clusters, regression, new, log)
 
 
-def train_models(features: DataFrame, ks=range(2, 6), **kwargs):
-    """The stand-alone form: all history, k by the elbow, best of three regressors."""
-    rows = features_all(features)
+@dataclass
+class Trained:
+    """What the stand-alone training saved: both cards, the comparison of the regressors, and
+    the newest date scored by the saved models."""
+
+    clusters: ModelCard
+    regression: ModelCard
+    comparison: DataFrame
+    newest: DataFrame
+
+
+def train_models(
+    features: DataFrame,
+    model_root: str,
+    as_of: dt.date,
+    model_id: int = 1,
+    ks=range(2, 6),
+    **kwargs,
+) -> Trained:
+    """The stand-alone form: all history, k by the elbow, best of three regressors. Both are
+    saved with their cards and become champions, whatever was before; what scores the
+    newest date is what was saved."""
+    spark, rows = features.sparkSession, features_all(features)
     n = rows.limit(MIN_ROWS).count()
     if n < MIN_ROWS:
         raise ValueError(f"need at least {MIN_ROWS} feature rows, found {n}")
     newest = newest_rows(rows)
     clusters = fit_clusters(newest, optimal_k(newest, ks))
     table, best = compare_models(rows, **kwargs)
-    return clusters, table, best
+    registry = ModelRegistry(spark, model_root)
+    cards = cluster_card(clusters, model_id, str(as_of)), regression_card(best, model_id, str(as_of))
+    for model, card in zip((clusters.model, best.model), cards, strict=True):
+        registry.save(model, card)
+        registry.promote(card.kind, card.id)
+    return Trained(*cards, table, score_newest(registry, newest))
+
+
+def score_newest(registry: ModelRegistry, newest: DataFrame) -> DataFrame:
+    """Complete rows with the champions' cluster_id, predicted score and absolute error."""
+    names = list(dict.fromkeys([*CLUSTER_FEATURES, *REGRESSION_FEATURES]))
+    clusters = registry.load("kmeans", CLUSTER_FEATURES).model
+    regression = registry.load("regression", REGRESSION_FEATURES).model
+    scored = predict_clipped(regression, assign_clusters(clusters, newest.dropna(subset=names)))
+    return scored.withColumn("error", F.abs(F.col("predicted") - F.col(REGRESSION_TARGET)))

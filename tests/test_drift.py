@@ -261,3 +261,53 @@ def test_prediction_drift_alone_does_not_retrain(spark):
     )
     r = drift.drift_overall(checks).first()
     assert r["overall_drift_detected"] and not r["needs_retraining"] and r["n_drifted"] == 1
+
+
+def lost_table():
+    raise FileNotFoundError("no such table")
+
+
+def report_of(spark, **sources):
+    rows = [(d, 10.0 + i % 3, 5.0, 20.0) for i, d in enumerate(days(8, 35))]
+    rows += [(d, 30.0, 5.0, 20.0) for d in days(0, 6)]
+    known = {
+        "features": lambda: feature_frame(spark, rows),
+        "runs": lambda: run_frame(spark, [0.875] * 7 + [0.75]),
+        "scores": lambda: score_frame(spark, [(d, "leisure", 20.0) for d in days(0, 35)]),
+    }
+    return drift.run_report(spark, **(known | sources), as_of=DAY, timestamp="2024-03-01T00:00:00")
+
+
+def test_the_report_has_the_figures_of_each_check(spark):
+    report = report_of(spark)
+    temp = report["feature_drift"]["temp_mean_3d"]
+    assert temp["drift_detected"] and temp["ks_statistic"] == 1.0 and 0 < temp["p_value"] < 1e-5
+    assert temp["current_mean"] > temp["baseline_mean"] and len(temp["reasons"]) == 2
+    assert report["model_drift"]["regression"]["drift_detected"]
+    assert report["model_drift"]["kmeans"] == {"drift_detected": False, "reason": "insufficient_history"}
+    assert not report["prediction_drift"]["leisure"]["drift_detected"]
+    assert report["overall_drift_detected"] and len(report["recommendations"]) == 2
+
+
+@pytest.mark.parametrize("lost", ["features", "runs", "scores"])
+def test_a_lost_table_leaves_the_other_sections(spark, lost):
+    report, whole = report_of(spark, **{lost: lost_table}), report_of(spark)
+    section = {"features": "feature_drift", "runs": "model_drift", "scores": "prediction_drift"}[lost]
+    for name in drift.ACTIONS:
+        if name == section:
+            assert all(e == {"error": "no such table"} for e in report[name].values())
+        else:
+            assert report[name] == whole[name]
+    assert "overall_drift_detected" in report
+
+
+def test_a_report_file_is_published_once_and_read_back(spark, tmp_path):
+    report = report_of(spark, runs=lost_table)
+    path = drift.write_report(spark, report, str(tmp_path), "20240301_000000")
+    assert json.loads((tmp_path / "drift_report_20240301_000000.json").read_text()) == report
+    assert path.endswith("drift_report_20240301_000000.json")
+    with pytest.raises(FileExistsError):
+        drift.write_report(spark, report, str(tmp_path), "20240301_000000")
+    got = {(r["section"], r["name"]): r for r in drift.read_reports(spark, path).collect()}
+    assert len(got) == 6 and got["model_drift", "kmeans"]["error"] == "no such table"
+    assert got["feature_drift", "temp_mean_3d"]["p_value"] == report["feature_drift"]["temp_mean_3d"]["p_value"]
