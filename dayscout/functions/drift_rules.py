@@ -81,10 +81,10 @@ def kolmogorov_p_value(ks: Column, n1: Column, n2: Column, terms: int = 24) -> C
     """
     en = F.nullif(F.sqrt(n1 * n2 / F.nullif(n1 + n2, F.lit(0))), F.lit(0.0))
     lam = (en + 0.12 + 0.11 / en) * ks
-    series = sum(
-        ((1.0 if k % 2 else -1.0) * F.exp(-2.0 * k * k * lam * lam) for k in range(1, terms + 1)),
-        start=F.lit(0.0),
-    )
+    def term(total: Column, k: Column) -> Column:
+        return total + F.when(k % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2.0 * k * k * lam * lam)
+
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(terms)), F.lit(0.0), term)
     # Below 0.3 the tail is 1 to five digits and the alternating series converges badly.
     tail = F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * series))
     return F.when(lam < 0.3, 1.0).when(lam.isNotNull(), tail)

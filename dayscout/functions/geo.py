@@ -79,3 +79,38 @@ class Grid:
 
     def _in_row(self, row: Column, n: Column):
         return lambda col: self._struct(row, F.pmod(col, n))
+
+    # A crowded cell is split into 2^level by 2^level parts of equal height and width.
+
+    def part(self, lat: Column, lon: Column, cell: Column, level: Column) -> Column:
+        """The part of its cell in which a point lies; ``level`` 0 has one."""
+        n = self._columns(cell["row"])
+        up = (lat + 90) / self.height - cell["row"]
+        along = F.pmod(lon + 180, F.lit(360.0)) * n / 360 - cell["col"]
+        return self._part(self._slot(up, level), self._slot(along, level))
+
+    def parts(self, lat: Column, lon: Column, cell: Column, level: Column) -> Column:
+        """Every part of a cell of the neighbourhood that the circle may touch."""
+        n = self._columns(cell["row"])
+        middle = (lat + 90) / self.height - cell["row"]
+        half = self._half_width(lat)
+        east = F.pmod(lon + 180, F.lit(360.0))
+        first, last = (east - half) * n / 360, (east + half) * n / 360
+        # the cell's column, counted on from the circle's first one
+        turns = F.ceil((F.floor(first) - cell["col"]) / n)
+        here = cell["col"] + turns * n
+        around = last - first >= n - 1  # both ends may lie in one cell
+        west = F.when(around, 0.0).otherwise(first - here)
+        far = F.when(around, 1.0).otherwise(last - here)
+        ups = F.sequence(self._slot(middle - 1, level), self._slot(middle + 1, level))
+        alongs = F.sequence(self._slot(west, level), self._slot(far, level))
+        return F.flatten(F.transform(ups, lambda u: F.transform(alongs, lambda a: self._part(u, a))))
+
+    @staticmethod
+    def _part(up: Column, along: Column) -> Column:
+        return F.struct(up.alias("up"), along.alias("along"))
+
+    @staticmethod
+    def _slot(share: Column, level: Column) -> Column:
+        sides = F.pow(F.lit(2.0), level).cast("long")
+        return F.least(F.greatest(F.floor(share * sides), F.lit(0)), sides - 1)

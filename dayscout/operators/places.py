@@ -18,18 +18,55 @@ JOB_RADIUS_M = 8_000.0
 FRESH_DAYS = 14
 
 
+#: points that a cell holds before it is split, and the most times it is halved
+CROWDED, DEEPEST = 100_000, 6
+
+
+def crowded_cells(points: DataFrame, grid: Grid, crowded: int = CROWDED) -> DataFrame:
+    """(_at, _level) of the cells with more than ``crowded`` points: how often a cell is
+    halved, in height and width, until no part of it holds more. Points are counted in the
+    finest parts first; coarser ones are sums of those."""
+    at, lat, lon = F.col("_cell"), F.col("latitude"), F.col("longitude")
+    crowds = (
+        points.groupBy(at.alias("_at")).agg(F.count("*").alias("_n")).where(F.col("_n") > crowded).select("_at")
+    )
+    finest = (
+        points.join(crowds, at == F.col("_at"))
+        .groupBy("_at", grid.part(lat, lon, at, F.lit(DEEPEST)).alias("p"))
+        .agg(F.count("*").alias("n"))
+    )
+    halved = F.pow(F.lit(2.0), DEEPEST - F.col("_level")).cast("long")
+    up, along = (F.floor(F.col(f"p.{side}") / halved) for side in ("up", "along"))
+    deep = (
+        finest.withColumn("_level", F.explode(F.sequence(F.lit(1), F.lit(DEEPEST))))
+        .groupBy("_at", "_level", up.alias("up"), along.alias("along"))
+        .agg(F.sum("n").alias("n"))
+        .groupBy("_at", "_level")
+        .agg(F.max("n").alias("n"))
+    )
+    enough = F.when((F.col("n") <= crowded) | (F.col("_level") == DEEPEST), F.col("_level"))
+    return deep.groupBy("_at").agg(F.min(enough).alias("_level"))
+
+
+def _split(rows: DataFrame, crowds: DataFrame) -> DataFrame:
+    level = F.coalesce("_level", F.lit(0))
+    return rows.join(crowds, F.col("_cell") == F.col("_at"), "left").withColumn("_level", level).drop("_at")
+
+
 def radius_join(
     places: DataFrame,
     pois: DataFrame,
     radius_m: float = DEFAULT_RADIUS_M,
     types: Sequence[str] = tuple(LODGING_TYPES),
+    crowded: int = CROWDED,
 ) -> DataFrame:
     """Points of interest within ``radius_m`` metres of each place, anywhere on the globe.
 
-    A place is expanded to the grid cells its circle may touch, a point lies in one
-    cell: an equi-join on the cell, then the exact distance. Spark broadcasts the
-    expanded places when they are small; otherwise a crowded cell is split by AQE's
-    skew join, since only the point side of it is large.
+    A place is expanded to the grid cells its circle may touch, a point lies in one cell:
+    an equi-join on the cell, then the exact distance. Cells are as fine as the points in
+    them ask for: one with more than ``crowded`` points is split until no part holds more
+    (4,096 parts at most), and a place meets those parts of it that its circle may touch. Points of one coordinate
+    cannot be split; AQE's skew join deals them out.
     """
     grid = Grid.for_radius(radius_m)
     centres = places.select(
@@ -41,12 +78,20 @@ def radius_join(
     points = pois.where(F.col("hotel_type").isin(list(types))).withColumn(
         "_cell", grid.cell(F.col("latitude"), F.col("longitude"))
     )
+    crowds = crowded_cells(points, grid, crowded)
+    cell, level = F.col("_cell"), F.col("_level")
+    leaves = _split(centres, crowds).withColumn(
+        "_part", F.explode(grid.parts(F.col("_lat"), F.col("_lon"), cell, level))
+    )
+    placed = _split(points, crowds).withColumn(
+        "_part", grid.part(F.col("latitude"), F.col("longitude"), cell, level)
+    )
     distance = haversine(F.col("_lat"), F.col("_lon"), F.col("latitude"), F.col("longitude"))
     return (
-        points.join(centres, "_cell")
+        placed.join(leaves.drop("_level"), ["_cell", "_part"])
         .withColumn("distance_m", distance)
         .where(F.col("distance_m") <= radius_m)
-        .drop("_cell", "_lat", "_lon")
+        .drop("_cell", "_part", "_level", "_lat", "_lon")
     )
 
 

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dayscout.functions.geo import EARTH_RADIUS_M, Grid
 from dayscout.operators import places as ops
@@ -22,8 +23,8 @@ def distance(a, b):
     return 2 * EARTH_RADIUS_M * math.asin(min(1.0, math.sqrt(h)))
 
 
-@pytest.mark.parametrize("radius", [3_000.0, 10_000.0, 60_000.0])
-def test_radius_join_equals_brute_force(spark, radius):
+@pytest.mark.parametrize(("radius", "crowded"), [(3_000.0, 1), (10_000.0, 7), (60_000.0, 10**5)])
+def test_radius_join_equals_brute_force(spark, radius, crowded):
     rng = np.random.default_rng(1)
     centres = [("equator", 0.0, 0.01), ("dateline", 10.0, 179.99), ("north", 69.9, 20.0),
                ("south", -45.0, -179.97), ("mid", 48.85, 2.35), ("near", 48.86, 2.36),
@@ -39,7 +40,7 @@ def test_radius_join_equals_brute_force(spark, radius):
             points.append((f"{name}{i}", "hotel", float(y), float(x)))
     c = spark.createDataFrame(centres, "city string, latitude double, longitude double")
     p = spark.createDataFrame(points, "hotel_name string, hotel_type string, latitude double, longitude double")
-    out = ops.radius_join(c, p, radius)
+    out = ops.radius_join(c, p, radius, crowded=crowded)
     got = sorted((r["place"], r["hotel_name"]) for r in out.collect())
     want = sorted(
         (n, q[0]) for n, la, lo in centres for q in points if distance((la, lo), q[2:]) <= radius
@@ -49,6 +50,27 @@ def test_radius_join_equals_brute_force(spark, radius):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_half_of_all_points_in_one_cell(spark):
+    """The crowd is dealt to many parts, and a small circle meets few of them."""
+    rng = np.random.default_rng(3)
+    town = [(f"t{i}", "hotel", 48.85 + float(y), 2.35 + float(x)) for i, (y, x) in enumerate(rng.uniform(-0.02, 0.02, (3000, 2)))]
+    land = [(f"l{i}", "hotel", float(y), float(x)) for i, (y, x) in enumerate(rng.uniform((40, -5), (55, 15), (3000, 2)))]
+    p = spark.createDataFrame(town + land, "hotel_name string, hotel_type string, latitude double, longitude double")
+    centres = [("in", 48.851, 2.349), ("edge", 48.9, 2.41), ("far", 50.0, 8.0)]
+    c = spark.createDataFrame(centres, "city string, latitude double, longitude double")
+    got = sorted((r["place"], r["hotel_name"]) for r in ops.radius_join(c, p, 8_000.0, crowded=100).collect())
+    want = sorted((n, q[0]) for n, y, x in centres for q in town + land if distance((y, x), q[2:]) <= 8_000.0)
+    assert got == want and len(want) > 3000
+    grid = Grid.for_radius(8_000.0)
+    cells = p.withColumn("_cell", grid.cell(F.col("latitude"), F.col("longitude")))
+    crowds = ops.crowded_cells(cells, grid, 100)
+    placed = ops._split(cells, crowds).withColumn(
+        "_part", grid.part(F.col("latitude"), F.col("longitude"), F.col("_cell"), F.col("_level"))
+    )
+    sizes = [r["count"] for r in placed.groupBy("_cell", "_part").count().collect()]
+    assert crowds.count() < 10 and max(sizes) <= 100 and max(cells.groupBy("_cell").count().toPandas()["count"]) > 700
+
+
 def test_lodging_types_are_a_parameter(spark):
     c = spark.createDataFrame([("a", 0.0, 0.0)], "city string, latitude double, longitude double")
     p = spark.createDataFrame(
