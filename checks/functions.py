@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from checks import common as c
 from checks.common import check
+from checks.sinks import DRIFT_REPLAY_SQL
 from dayscout.functions import drift_rules as rules
 from dayscout.functions import scoring, text
 from dayscout.plans import drift
@@ -133,11 +134,28 @@ def date_format_long(spark, d):
     return days.select("date", F.date_format("date", "EEEE, MMMM dd, yyyy").alias("label"))
 
 
-@check("json_metadata")
+@check(
+    "json_metadata",
+    f"""WITH {DRIFT_REPLAY_SQL} SELECT check_date, metric_name, round(shift + 1e-9, 6) AS mean_shift_std,
+          baseline_n AS baseline_samples, current_n AS current_samples, threshold AS threshold_used,
+          metric_name AS feature_type, TRUE AS p_value_is_a_share, 6 AS n_keys FROM log""",
+)
 def json_metadata(spark, d):
+    """The fields of the logged metadata. The p-value has tests of its own."""
     found = drift.replay_feature_drift(c.features(spark, d))
     log = drift.drift_log_rows(found, F.col("check_date"))
-    return log.select("check_timestamp", "metric_name", "metadata")
+    field = lambda name, kind: F.get_json_object("metadata", f"$.{name}").cast(kind)
+    return log.select(
+        F.col("check_timestamp").cast("date").alias("check_date"),
+        "metric_name",
+        (F.round(field("mean_shift_std", "double") + 1e-9, 6)).alias("mean_shift_std"),
+        field("baseline_samples", "long").alias("baseline_samples"),
+        field("current_samples", "long").alias("current_samples"),
+        field("threshold_used", "double").alias("threshold_used"),
+        field("feature_type", "string").alias("feature_type"),
+        field("p_value", "double").between(0, 1).alias("p_value_is_a_share"),
+        F.size(F.json_object_keys("metadata")).alias("n_keys"),
+    )
 
 
 @check(

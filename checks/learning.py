@@ -145,15 +145,71 @@ def _metrics_frame(spark, metrics):
     return spark.createDataFrame(rows, "metric string, value double").orderBy("metric")
 
 
-def _single_fit(key, model_type):
+def _single_fit(key, model_type, *sql):
     def fn(spark, d):
         return _metrics_frame(spark, ml.train_regression(_usable(spark, d), model_type).metrics)
 
     fn.__name__ = key
-    return check(key)(fn)
+    return check(key, *sql)(fn)
 
 
-_single_fit("ridge_fit", "ridge")
+# Ridge by its normal equations: moments per fold, their sums less one fold for a fold's
+# model, and three by three equations by Cramer's rule.
+_XS = ("x1", "x2", "x3")
+_PAIRS = [(i, j) for i in range(3) for j in range(i, 3)]
+
+
+def _m(i: int, j: int) -> str:
+    return f"m{min(i, j)}{max(i, j)}"
+
+
+def _det(m: list[list[str]]) -> str:
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"({a}*({e}*{i}-{f}*{h}) - {b}*({d}*{i}-{f}*{g}) + {c}*({d}*{h}-{e}*{g}))"
+
+
+def _solved(k: int) -> str:
+    """The weight of feature k."""
+    left = [[_m(i, j) + ("+penalty" if i == j else "") for j in range(3)] for i in range(3)]
+    left = [[f"({x})" for x in row] for row in left]
+    top = [[f"c{i}" if j == k else left[i][j] for j in range(3)] for i in range(3)]
+    return f"{_det(top)} / {_det(left)}"
+
+
+_PREDICTED = "b0 + " + " + ".join(f"w{i}*{x}" for i, x in enumerate(_XS))
+_SCORES = (
+    "sqrt(avg((p-y)*(p-y))) AS rmse, avg(abs(p-y)) AS mae, 1 - sum((p-y)*(p-y)) / (var_pop(y)*count(*)) AS r2, count(*) AS n"
+)
+_RIDGE_SQL = f"""WITH raw AS (
+    SELECT city, feature_date, temp_mean_3d AS r1, precip_sum_3d AS r2, wind_max_3d AS r3, comfort_score AS y,
+      md5(city||'|'||feature_date||'|42') AS h,
+      CAST('0x'||substr(md5(city||'|'||feature_date||'|43'), 1, 7) AS BIGINT) % 5 AS fold
+    FROM features WHERE temp_mean_7d IS NOT NULL AND temp_mean_3d IS NOT NULL AND precip_sum_3d IS NOT NULL
+      AND wind_max_3d IS NOT NULL AND comfort_score IS NOT NULL),
+  parted AS (SELECT *, row_number() OVER (ORDER BY h) <= ceil(count(*) OVER () * 0.2) AS is_test FROM raw),
+  scale AS (SELECT {", ".join(f"avg(r{i}) AS a{i}, stddev_pop(r{i}) AS s{i}" for i in (1, 2, 3))},
+    stddev_pop(y) AS sy, count(*) AS n FROM parted WHERE NOT is_test),
+  z AS (SELECT is_test, fold, y, {", ".join(f"(r{i}-a{i})/s{i} AS x{i}" for i in (1, 2, 3))} FROM parted, scale),
+  models AS (SELECT k FROM range(-1, 5) t(k)),
+  moments AS (SELECT k, avg(y) AS my, stddev_pop(y) AS sd, {", ".join(f"avg({x}) AS u{i}" for i, x in enumerate(_XS))},
+      {", ".join(f"covar_pop({_XS[i]}, {_XS[j]}) AS m{i}{j}" for i, j in _PAIRS)},
+      {", ".join(f"covar_pop({x}, y) AS c{i}" for i, x in enumerate(_XS))}
+    FROM models JOIN z ON NOT is_test AND fold <> k GROUP BY k),
+  posed AS (SELECT m.*, s.sy / s.n / m.sd AS penalty FROM moments m, scale s),
+  solved AS (SELECT k, my, u0, u1, u2, {", ".join(f"{_solved(i)} AS w{i}" for i in range(3))} FROM posed),
+  fits AS (SELECT k, w0, w1, w2, my - w0*u0 - w1*u1 - w2*u2 AS b0 FROM solved),
+  whole AS (SELECT is_test, {_SCORES} FROM (SELECT is_test, y, {_PREDICTED} AS p FROM z JOIN fits ON k = -1) GROUP BY 1),
+  folds AS (SELECT r2 FROM (SELECT k, {_SCORES} FROM (SELECT k, y, {_PREDICTED} AS p FROM z JOIN fits
+      ON k = fold AND NOT is_test) GROUP BY 1)),
+  named AS (SELECT CASE WHEN is_test THEN 'test_' ELSE 'train_' END AS part, * FROM whole)
+  SELECT part||'rmse' AS metric, round(rmse, 2) AS value FROM named
+  UNION ALL SELECT part||'mae', round(mae, 2) FROM named UNION ALL SELECT part||'r2', round(r2, 3) FROM named
+  UNION ALL SELECT 'n_'||rtrim(part, '_'), CAST(n AS DOUBLE) FROM named
+  UNION ALL SELECT 'n_samples', CAST(sum(n) AS DOUBLE) FROM named
+  UNION ALL SELECT 'cv_r2_mean', round(avg(r2), 3) FROM folds
+  UNION ALL SELECT 'cv_r2_std', round(stddev_pop(r2), 3) FROM folds"""
+
+_single_fit("ridge_fit", "ridge", _RIDGE_SQL)
 _single_fit("random_forest_fit", "random_forest")
 _single_fit("gbt_fit", "gradient_boosting")
 

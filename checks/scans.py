@@ -126,7 +126,23 @@ def sql_params(spark, d):
     )
 
 
-@check("table_schema")
+_COLUMNS = {
+    ("raw_weather", "obs"): "city string, date date, temp_max double, temp_min double, temp_mean double, "
+    "precipitation double, wind_speed_max double, wind_gusts_max double, weather_code int",
+    ("weather_features", "features"): "city string, feature_date date, temp_mean_7d double, temp_mean_3d double, "
+    "precip_sum_7d double, precip_sum_3d double, wind_max_7d double, wind_max_3d double, comfort_score double",
+}
+
+
+@check(
+    "table_schema",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, {i} AS ordinal, '{column.split()[0]}' AS column_name,"
+        f" '{column.split()[1]}' AS data_type, count({column.split()[0]}) AS n_present FROM {view}"
+        for (name, view), columns in _COLUMNS.items()
+        for i, column in enumerate(columns.split(", "), 1)
+    ),
+)
 def table_schema(spark, d):
     found = scans.describe_columns(spark, "raw_weather", c.obs(spark, d))
     return found.unionByName(scans.describe_columns(spark, "weather_features", c.features(spark, d)))

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -142,40 +141,42 @@ def ks_two_sample(
 EXACT_UP_TO = 10_000
 
 
-@lru_cache(maxsize=4096)
-def _outside(gap: int, m: int, n: int) -> float:
-    """Share of the lattice paths from (0, 0) to (m, n) that meet a point (i, j) with
-    |i * n - j * m| >= gap. By anti-diagonals: a path to (i, j) came from (i - 1, j) with
-    chance i / (i + j). All terms are positive, so small shares lose no digits."""
-    if gap <= 0:
-        return 1.0
-    i = np.arange(m + 1, dtype=np.int64)
-    left = np.zeros(m + 1)  # the share for (i, s - i), on the diagonal s
+def _outside(gaps: np.ndarray, m: int, n: int) -> np.ndarray:
+    """For each gap, the share of the lattice paths from (0, 0) to (m, n) that meet a point
+    (i, j) with |i * n - j * m| >= gap, all gaps in one pass. By anti-diagonals: a path to
+    (i, j) came from (i - 1, j) with chance i / (i + j). All terms are positive, so small
+    shares lose no digits."""
+    m, n = min(m, n), max(m, n)
+    limit = gaps[:, None]
+    share = np.zeros((len(gaps), m + 2))  # column i + 1 is (i, s - i) on the diagonal s
     for s in range(1, m + n + 1):
         low, high = max(0, s - n), min(m, s)
-        here = i[low : high + 1]
-        now = np.zeros(m + 1)
-        from_below = np.where(here > 0, left[here - 1], 0.0) * here
-        now[low : high + 1] = (from_below + left[low : high + 1] * (s - here)) / s
-        now[low : high + 1][np.abs(here * n - (s - here) * m) >= gap] = 1.0
-        left = now
-    return float(left[m])
+        i = np.arange(low, high + 1)
+        now = (share[:, low : high + 1] * i + share[:, low + 1 : high + 2] * (s - i)) / s
+        np.putmask(now, np.abs(i * (m + n) - s * m) >= limit, 1.0)
+        share[:, low + 1 : high + 2] = now
+    return np.where(gaps <= 0, 1.0, share[:, m + 1])
 
 
-def exact_p_value(statistic: float, m: int, n: int) -> float:
-    """P(D >= statistic) for samples of m and n values from one continuous distribution."""
+def exact_p_values(statistics: np.ndarray, m: int, n: int, at_once: int = 256) -> np.ndarray:
+    """P(D >= statistic), for samples of m and n values from one continuous distribution:
+    one recurrence for up to ``at_once`` statistics of a pair of sizes."""
     step = math.gcd(m, n)  # D times m * n is a multiple of it
-    return _outside(step * round(statistic * m * n / step), m, n)
+    gaps, where = np.unique(step * np.rint(statistics * m * n / step).astype(np.int64), return_inverse=True)
+    parts = [_outside(gaps[k : k + at_once], m, n) for k in range(0, len(gaps), at_once)]
+    return np.concatenate(parts)[where]
+
+
+def exact_p_value(statistic: float, m: int, n: int) -> float:
+    return float(exact_p_values(np.array([statistic]), m, n)[0])
 
 
 def _exact(statistic: pd.Series, m: pd.Series, n: pd.Series) -> pd.Series:
-    return pd.Series(
-        [
-            None if pd.isna(d) else exact_p_value(d, int(a), int(b))
-            for d, a, b in zip(statistic, m, n, strict=True)
-        ],
-        dtype="float64",
-    )
+    out = pd.Series(np.nan, statistic.index, "float64")
+    known = statistic.notna()
+    for (a, b), d in statistic[known].groupby([m[known], n[known]]):
+        out[d.index] = exact_p_values(d.to_numpy(float), int(a), int(b))
+    return out.astype(object).where(known, None)
 
 
 def ks_p_value(statistic: str, m: str, n: str) -> Column:
