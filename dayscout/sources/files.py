@@ -115,14 +115,20 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the shared one, which goes when the application ends, or by
     ``clean_scratch`` before."""
     path = f"{shared_dir(spark)}/scratch/{name}-{uuid.uuid4().hex}"
+    remember(spark, path)
+    return path
+
+
+def remember(spark: SparkSession, path: str) -> None:
+    """Name a folder that ``clean_scratch`` deletes, at the end of the application at last."""
     if not _LEFT:
         atexit.register(clean_scratch)
     _LEFT.append((spark, path))
-    return path
 
 
 def clean_scratch() -> None:
-    """Delete the scratch folders of this process; frames that read from them end."""
+    """Delete the scratch folders of this process. Frames that read from them are of no use
+    any more, so call it once the results are written."""
     while _LEFT:
         spark, path = _LEFT.pop()
         with contextlib.suppress(Exception):  # the session may be gone, and its folder too
