@@ -3,7 +3,6 @@ and connected components."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -11,26 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from dayscout.sources.files import remember, shared_dir
+
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from ``spark.checkpoint.dir``. Only
-    where a local session has none (tests), a temporary folder is set."""
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if named is None:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        named = tempfile.mkdtemp(prefix="dayscout-llm-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(named)
-    return named.rstrip("/")
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``."""
+    return shared_dir(spark)
 
 
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """The rows, written once as a table in the shared folder and read from there: the
-    lineage ends here, and a lost executor costs no recomputation."""
+    lineage ends here, and a lost executor costs no recomputation. The table goes with
+    ``dayscout.sources.files.clean_scratch``, which a caller may use once its own result is
+    written, and which runs at the end of the application."""
     spark = df.sparkSession
     path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    remember(spark, path)
     df.write.option("compression", codec).parquet(path)
     return spark.read.schema(StructType.fromJson(df.schema.jsonValue())).parquet(path)
 
