@@ -3,7 +3,9 @@
 import datetime as dt
 import random
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from dayscout.operators import runlog
 
@@ -27,8 +29,8 @@ def loop(values, delta):
     return out
 
 
-def promoted(spark, values, kind="kmeans"):
-    rows = runlog.promotions(frame(spark, values, kind)).orderBy("sequence").collect()
+def promoted(spark, values, kind="kmeans", **options):
+    rows = runlog.promotions(frame(spark, values, kind), **options).orderBy("sequence").collect()
     return rows
 
 
@@ -45,8 +47,65 @@ def test_equals_the_loop(spark, kind, seed):
     rng = random.Random(seed)
     digits = 3 if seed % 2 else 6
     values = [round(rng.random() ** (1 + seed), digits) for _ in range(400)]
-    got = [r["run_id"] for r in promoted(spark, values, kind)]
-    assert got == loop(values, runlog.PROMOTION_DELTA[kind])
+    options = {"blocks": 1 + 4 * seed, "listed": (0, 3, 256, 1)[seed]}
+    rows = promoted(spark, values, kind, **options)
+    want = loop(values, runlog.PROMOTION_DELTA[kind])
+    assert [r["run_id"] for r in rows] == want and [r["sequence"] for r in rows] == list(range(1, len(want) + 1))
+    assert [r["replaced_by"] for r in rows] == [*want[1:], None]
+    assert [r["is_champion"] for r in rows] == [False] * (len(want) - 1) + [True]
+
+
+@pytest.mark.parametrize("listed", [0, 256])
+def test_two_slowly_rising_logs_over_many_blocks(spark, listed):
+    """Runs rise by far less than the gain, with drops between, in two logs of one frame."""
+    rng = random.Random(8)
+    logs = {k: [i / 900 + rng.choice([0, 0, -0.3]) for i in range(900)] for k in runlog.PROMOTION_DELTA}
+    both = frame(spark, logs["kmeans"]).unionByName(frame(spark, logs["regression"], "regression"))
+    got = {}
+    for r in runlog.promotions(both, blocks=9, listed=listed).orderBy("sequence").collect():
+        got.setdefault(r["model_type"], []).append(r["run_id"])
+    assert got == {k: loop(v, runlog.PROMOTION_DELTA[k]) for k, v in logs.items()}
+
+
+def test_a_block_is_a_function_of_its_entry():
+    """Outcomes listed for a block, against the loop from every entry they cover."""
+    rng = random.Random(2)
+    for _ in range(50):
+        floor, gain = 1.0, 0.05
+        values = sorted({floor + rng.random() * 0.3 for _ in range(30)})
+        block = pd.DataFrame({"model_type": "kmeans", "created_at": range(len(values)), "run_id": range(len(values)), "metric_value": values, "block": 4})
+        r = runlog._outcomes({("kmeans", 4): floor}, 256)(block).iloc[0]
+        for _ in range(40):
+            entry = floor - gain * rng.random()
+            won = []
+            champion = entry
+            for i, v in enumerate(values):
+                if v > champion + gain:
+                    champion = v
+                    won.append(i)
+            if won:
+                at = next(k for k, s in enumerate(r["start"]) if s > entry + gain)
+                assert (r["end"][at], r["wins"][at], r["winner"][at]) == (champion, len(won), won[0])
+
+
+def test_no_task_reads_more_than_a_block(spark):
+    """Two million runs, each of which wins."""
+    n, blocks = 2_000_000, 40
+    runs = spark.range(n).selectExpr(
+        "'kmeans' AS model_type", "'silhouette_score' AS metric_name", "CAST(id AS DOUBLE) AS metric_value",
+        "DATE '2024-01-01' AS created_at", "id AS run_id",
+    )
+    found = runlog.promotions(runs, blocks=blocks)
+    r = found.agg(F.count("*").alias("n"), F.max("sequence").alias("last"), F.count_if(F.expr("replaced_by = run_id + 1")).alias("linked")).first()
+    assert (r["n"], r["last"], r["linked"]) == (n, n, n - 1)
+    read = spark.read.parquet(found.inputFiles()[0].rsplit("/", 1)[0])
+    assert read.groupBy("block").count().agg(F.max("count")).first()[0] < 2 * n / blocks
+
+
+@pytest.mark.parametrize("kind", ["kmeans"])
+def test_no_runs(spark, kind):
+    assert runlog.promotions(frame(spark, [], kind)).count() == 0
+    assert [r["run_id"] for r in promoted(spark, [float("nan"), None, 0.4], kind)] == [2]
 
 
 def test_only_the_last_promoted_run_is_champion(spark):
