@@ -1,27 +1,20 @@
-"""A cross-section of the registered queries against their SQL, on the smallest
-tables. ``python -m checks.compare`` runs all of them."""
+"""Every registered query that has SQL against it, on the smallest tables."""
 
 from pathlib import Path
 
 import pytest
 
+from checks.registry import ORACLES, QUERIES
+
 DATA = Path("/root/testdata/sf0.001")
-KEYS = [
-    "rolling_features", "asof_carry_forward", "rank_places_whole", "recommend_profiles_history",
-    "upsert_replace", "parse_forecast_json", "parse_poi_json", "append_drift_log", "ks_two_sample",
-    "champion_challenger", "radius_join", "train_test_split", "drift_report", "dashboard_extract",
-    "compute_features", "backfill_features", "enrich_pois", "cluster_breakdown_text",
-]
 
 
 def test_registry():
-    from checks.registry import ORACLES, QUERIES
-
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) > 140
 
 
 @pytest.mark.skipif(not DATA.exists(), reason="driver tables not present")
-@pytest.mark.parametrize("key", KEYS)
+@pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_equals_its_sql(spark, key):
     from checks.compare import compare, connect
 
