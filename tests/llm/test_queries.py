@@ -18,14 +18,14 @@ from test_packing import best_fit_decreasing, check
 from test_pii import spans
 
 
-def test_ten_queries():
-    assert [k.split("_")[0] for k in sorted(QUERIES, key=lambda k: int(k[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 11)]
+def test_thirteen_queries():
+    assert [k.split("_")[0] for k in sorted(QUERIES, key=lambda k: int(k[2:].split("_")[0]))] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_against_sql(spark, folder, key):
     con = duckdb.connect()
-    for name in ("documents", "pages"):
+    for name in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     cur = con.execute(ORACLES[key])
     names = [c[0] for c in cur.description]
@@ -83,3 +83,18 @@ def test_stages_return_documents(spark, folder):
         "quality classifier", "exact dedup", "n-gram Jaccard join", "PII", "best-fit packing",
     ]
 
+
+def test_stages_on_odd_rows_and_none(spark, odd, odd_texts, none, folder):
+    """Null, empty, blank, repeated and very long texts, clashing columns, and no rows."""
+    for docs in (odd, none):
+        for _, stage in corpus_pipeline.STAGES[1:-1]:
+            docs = stage(spark, docs, folder)
+            assert docs.columns == odd.columns
+        kept = docs.select("doc_id", "text").collect()
+        pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+        assert {r.doc_id for r in pieces} == {r.doc_id for r in kept}
+        if not kept:
+            assert not pieces
+            continue
+        texts = [lower(r.text) for r in kept]
+        assert len(texts) == len(set(texts)) and {"", "one", "  \n\t "} <= set(texts)
