@@ -56,15 +56,12 @@ def _banded(counts: DataFrame, group: Sequence[str], coarse: int, small: int) ->
     up in two steps, among every ``coarse``-th and then among those up to the next."""
     ranks = F.lit([k / coarse**2 for k in range(1, coarse**2)])
     value = F.col("_v").cast("double")
+    large = counts.groupBy(*group).agg(F.count("*").alias("_k")).where(F.col("_k") >= small)
     limits = (
-        counts.groupBy(*group)
-        .agg(F.kll_sketch_agg_double(value, SKETCH).alias("_sketch"), F.count("*").alias("_k"))
-        .select(
-            *group,
-            F.when(
-                F.col("_k") >= small, F.kll_sketch_get_quantile_double("_sketch", ranks)
-            ).alias("_limits"),
-        )
+        counts.join(large.select(*group), list(group), "left_semi")
+        .groupBy(*group)
+        .agg(F.kll_sketch_agg_double(value, SKETCH).alias("_sketch"))
+        .select(*group, F.kll_sketch_get_quantile_double("_sketch", ranks).alias("_limits"))
         .withColumn("_outer", F.expr(f"filter(_limits, (x, i) -> (i + 1) % {coarse} = 0)"))
     )
     step = F.size(F.filter("_outer", lambda x: x <= value))
@@ -72,7 +69,7 @@ def _banded(counts: DataFrame, group: Sequence[str], coarse: int, small: int) ->
     fine = F.size(F.filter(part, lambda x: x <= value))
     band = F.when(F.col("_limits").isNull(), 0).otherwise(F.col("_step") * coarse + fine)
     return (
-        counts.join(limits, list(group))
+        counts.join(limits, list(group), "left")
         .withColumn("_step", step)
         .withColumn("_band", band)
         .drop("_limits", "_outer", "_step")
