@@ -70,7 +70,10 @@ def coverage(pois: DataFrame, columns: Sequence[str] = ("stars", "website_url",
 
 
 def place_averages(features: DataFrame) -> DataFrame:
-    return features.groupBy("city").agg(F.avg("comfort_score").alias("avg_score"))
+    """Means of decimals: a sum of doubles ends in digits that depend on the order of its
+    rows, and equal means would not tie."""
+    score = F.col("comfort_score").try_cast("decimal(28, 10)")
+    return features.groupBy("city").agg(F.avg(score).cast("double").alias("avg_score"))
 
 
 def place_extremes(features: DataFrame, n: int = 3) -> DataFrame:

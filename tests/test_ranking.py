@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from dayscout.operators import ranking
+from dayscout.operators.aggregates import place_extremes
 
 
 def brute(rows):
@@ -72,3 +73,12 @@ def test_star_orders(spark):
 def test_ties_are_ordered_by_city(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 2.0)], "city string, s double")
     assert [r["city"] for r in ranking.top_n(df, ranking.by_score("s"), 3).collect()] == ["c", "a", "b"]
+
+
+def test_equal_means_of_places_tie_by_name(spark):
+    """Whatever the order in which a place's scores are added."""
+    values = [52.53, 0.1, 0.2, 0.3, 99.99, 1e-2, 7.07]
+    rows = [(f"p{i}", x) for i in range(8) for x in (values[i % 7 :] + values[: i % 7]) * 37]
+    frame = spark.createDataFrame(rows, "city string, comfort_score double").repartition(5)
+    found = [(r["side"], r["city"]) for r in place_extremes(frame).collect()]
+    assert found == [(side, f"p{i}") for side in ("best", "worst") for i in range(3)]
