@@ -141,7 +141,9 @@ def train_test_split(spark, d):
 
 
 def _metrics_frame(spark, metrics):
-    rows = [(k, float(v)) for k, v in metrics.items() if isinstance(v, int | float)]
+    """One row per figure; one that the rows do not define (R2 of equal labels) is NULL."""
+    numbers = {k: v for k, v in metrics.items() if not isinstance(v, str)}
+    rows = [(k, None if v is None else float(v)) for k, v in numbers.items()]
     return spark.createDataFrame(rows, "metric string, value double").orderBy("metric")
 
 

@@ -140,7 +140,8 @@ def regression_metrics(
     group: Sequence[str] = (),
     digits: tuple[int, int, int] | None = (2, 2, 3),
 ) -> DataFrame:
-    """RMSE, MAE and R2 from one pass. The total sum of squares is n * var_pop(actual)."""
+    """RMSE, MAE and R2 from one pass. The total sum of squares is n * var_pop(actual). Equal
+    values have no R2; their variance in doubles may be a little above 0."""
     y, e = F.col(actual), F.col(predicted) - F.col(actual)
     sse = F.sum(e * e)
     n = F.count("*")
@@ -148,7 +149,7 @@ def regression_metrics(
     metrics = [
         ("rmse", F.sqrt(sse / n)),
         ("mae", F.avg(absolute_error(F.col(predicted), y))),
-        ("r2", F.when(sst > 0, 1 - sse / sst)),
+        ("r2", F.when((sst > 0) & (F.min(y) < F.max(y)), 1 - sse / sst)),
     ]
     places = digits or (None, None, None)
     out = [

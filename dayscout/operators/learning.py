@@ -11,7 +11,6 @@ from multiprocessing.pool import ThreadPool
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -349,6 +348,16 @@ def feature_importances(model: PipelineModel, columns: Sequence[str]) -> list[tu
     return sorted(zip(columns, values, strict=True), key=lambda x: (-x[1], x[0]))
 
 
+def cv_figures(r2: Sequence[float | None]) -> dict[str, float | None]:
+    """Mean and deviation over the folds that have an R2. One whose labels are all equal, or
+    that is empty, has none; without any, both figures are None."""
+    known = [x for x in r2 if x is not None]
+    return {
+        "cv_r2_mean": round(statistics.fmean(known), 3) if known else None,
+        "cv_r2_std": round(statistics.pstdev(known), 3) if known else None,
+    }
+
+
 def train_regression(
     rows: DataFrame,
     model_type: str = "gradient_boosting",
@@ -402,24 +411,19 @@ def _train_regression(
         scaled = scaler.transform(train).select("scaled", "label", "fold").persist()
         try:
             estimator = make_regressor(model_type, n_train, sizes[False]["std"], seed, max_bins)
-            evaluator = RegressionEvaluator(labelCol="label", metricName="r2")
 
             def fit_fold(fold: int | None):
                 """The final model for None, else the R2 on the fold left out."""
                 if fold is None:
                     return estimator.fit(scaled)
                 model = estimator.fit(scaled.where(F.col("fold") != fold))
-                return evaluator.evaluate(model.transform(scaled.where(F.col("fold") == fold)))
+                out = model.transform(scaled.where(F.col("fold") == fold))
+                return regression_metrics(out, "label", "prediction", digits=None).first()["r2"]
 
             fitted, *r2 = at_once(
                 clean.sparkSession, fit_fold, [None, *range(folds or 0)], width=6
             )
-            cv = {}
-            if r2:
-                cv = {
-                    "cv_r2_mean": round(statistics.fmean(r2), 3),
-                    "cv_r2_std": round(statistics.pstdev(r2), 3),
-                }
+            cv = cv_figures(r2) if folds else {}
         finally:
             scaled.unpersist()
         model = PipelineModel([*scaler.stages, fitted])
