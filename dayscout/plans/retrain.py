@@ -114,10 +114,11 @@ def retrain(
     for i, (metric, value, model, card) in enumerate(results):
         kind = card.kind
         path = registry.save(model, card)
-        wins = beats_champion(kind, value, champions.get(kind))
+        # Without a figure (labels that are all equal have no R2) a run is logged, not promoted.
+        wins = value is not None and beats_champion(kind, value, champions.get(kind))
         if wins:
             registry.promote(kind, card.id)
-        rows.append((as_of, as_of, run_id + i, kind, metric, float(value), path, wins))
+        rows.append((as_of, as_of, run_id + i, kind, metric, value, path, wins))
     new = spark.createDataFrame(rows, RUN_SCHEMA)
     base = runs
     if "artifact_path" not in runs.columns:
