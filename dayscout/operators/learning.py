@@ -46,6 +46,14 @@ def dealt(rows: DataFrame, partitions: int | None, *key: str) -> DataFrame:
     return rows if partitions is None else rows.repartition(partitions, *key)
 
 
+def compact(rows: DataFrame, partitions: int | None, *key: str) -> DataFrame:
+    """``rows`` dealt by ``key`` into as many partitions as their bytes fill, which Spark finds
+    out while it runs, or into as many as the caller asks for. Every partition of a tree
+    fit sends a histogram per node, so partitions that hold little cost the most.
+    Checkpoint the result: a persisted plan keeps all of its shuffle's partitions."""
+    return rows.hint("rebalance", *key) if partitions is None else dealt(rows, partitions, *key)
+
+
 # --- scaling -----------------------------------------------------------------
 
 
@@ -376,13 +384,10 @@ def train_regression(
     and run at once; boosting cuts its lineage in the shared folder.
     """
     shared_dir(rows.sparkSession)
-    clean = dealt(
+    clean = compact(
         rows.select(*key, *columns, F.col(target).alias("label")).dropna(), partitions, *key
-    ).persist()
-    try:
-        return _train_regression(clean, model_type, columns, key, test_size, seed, folds, max_bins)
-    finally:
-        clean.unpersist()
+    ).checkpoint()
+    return _train_regression(clean, model_type, columns, key, test_size, seed, folds, max_bins)
 
 
 def _train_regression(
@@ -410,6 +415,7 @@ def _train_regression(
         scaler = Pipeline(stages=scaler_stages(columns, n_train)).fit(train)
         scaled = scaler.transform(train).select("scaled", "label", "fold").persist()
         try:
+            scaled.count()  # before the fits begin, each of which would compute it
             estimator = make_regressor(model_type, n_train, sizes[False]["std"], seed, max_bins)
 
             def fit_fold(fold: int | None):
