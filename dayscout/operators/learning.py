@@ -29,6 +29,9 @@ TEST_SIZE = 0.2
 FOLDS = 5
 KMEANS_ITERATIONS = 300
 TREE_BINS = 256
+#: histograms a task holds at once. More nodes than fit are split in further passes, to the
+#: same trees; several tasks and fits share an executor
+TREE_MEMORY_MB = 128
 
 
 def at_once(spark: SparkSession, fn: Callable, items: Iterable, width: int = 10) -> list:
@@ -314,12 +317,12 @@ def make_regressor(
     if model_type == "random_forest":
         return RandomForestRegressor(
             **common, numTrees=100, maxDepth=10, minInstancesPerNode=2,
-            featureSubsetStrategy="all", seed=seed, maxBins=max_bins, maxMemoryInMB=1024,
+            featureSubsetStrategy="all", seed=seed, maxBins=max_bins, maxMemoryInMB=TREE_MEMORY_MB,
         )
     if model_type == "gradient_boosting":
         return GBTRegressor(
             **common, maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=2, seed=seed,
-            maxBins=max_bins, maxMemoryInMB=1024,
+            maxBins=max_bins, maxMemoryInMB=TREE_MEMORY_MB,
         )
     raise ValueError(f"unknown model type: {model_type}")
 
