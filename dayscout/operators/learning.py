@@ -490,7 +490,12 @@ def compare_models(
     The best fit is kept rather than trained again: same data, same seed.
     """
     spark = rows.sparkSession
-    fits = at_once(spark, lambda m: train_regression(rows, m, **kwargs), model_types, width=3)
+    rows = rows.persist()
+    try:
+        rows.count()  # once, before three readers begin
+        fits = at_once(spark, lambda m: train_regression(rows, m, **kwargs), model_types, width=3)
+    finally:
+        rows.unpersist()
     table = comparison_table(spark, fits)
     best = table.first()["model"]
     return table, next(f for f in fits if f.model_type == best)
