@@ -21,9 +21,37 @@ from pyspark.sql import functions as F
 #: strips are this many times the square root of the points long
 STRIP = 64
 
+#: from this many dimensions on, distances come from a matrix product
+PRODUCT = 8
+#: part of |x|^2 + |y|^2 below which a squared distance is not left to the product
+CLOSE = 1e-4
+
 _PARTIAL = "id string, cluster_id int, other int, total double"
 
 
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of every x to every y. With few dimensions, difference by difference;
+    with many, |x|^2 + |y|^2 - 2xy by one matrix product. That loses the digits of points
+    that lie close, compared to how far out they are; those pairs are done anew."""
+    if x.shape[1] < PRODUCT:
+        squares = np.zeros((len(x), len(y)))
+        for k in range(x.shape[1]):
+            squares += (x[:, k, None] - y[None, :, k]) ** 2
+        return squares
+    middle = y.mean(axis=0)
+    x, y = x - middle, y - middle
+    out = (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)
+    squares = x @ y.T
+    squares *= -2
+    squares += out
+    out *= CLOSE
+    close = np.flatnonzero(squares < out)
+    for part in np.array_split(close, -(-len(close) // (1 << 16)) or 1):
+        i, j = np.divmod(part, len(y))
+        squares.flat[part] = ((x[i] - y[j]) ** 2).sum(axis=1)
+    return squares
+
+
 def _tile_sums(tile: pd.DataFrame) -> pd.DataFrame:
     """For every left point, its distance sum to each cluster on the right."""
     left, right = tile[tile["side"] == 0], tile[tile["side"] == 1]
@@ -35,10 +63,8 @@ def _tile_sums(tile: pd.DataFrame) -> pd.DataFrame:
     sums = np.zeros((len(x), len(others)))
     rows = max(1, (1 << 21) // len(y))  # bounds the matrix of distances in memory
     for start in range(0, len(x), rows):
-        squares = np.zeros((len(x[start : start + rows]), len(y)))
-        for k in range(x.shape[1]):
-            squares += (x[start : start + rows, k, None] - y[None, :, k]) ** 2
-        sums[start : start + rows] = np.add.reduceat(np.sqrt(squares), starts, axis=1)
+        squares = _squares(x[start : start + rows], y)
+        sums[start : start + rows] = np.add.reduceat(np.sqrt(squares, out=squares), starts, axis=1)
     return pd.DataFrame(
         {
             "id": np.repeat(left["id"].to_numpy(object), len(others)),
