@@ -13,6 +13,7 @@ from dayscout.operators.learning import (
     RegressionFit,
     assign_clusters,
     at_once,
+    compact,
     compare_models,
     fit_clusters,
     optimal_k,
@@ -22,6 +23,7 @@ from dayscout.operators.learning import (
 from dayscout.operators.runlog import beats_champion, current_champion
 from dayscout.operators.writes import clear_flag
 from dayscout.schemas import CLUSTER_FEATURES, REGRESSION_FEATURES, REGRESSION_TARGET
+from dayscout.sources.files import shared_dir
 from dayscout.sources.models import ModelCard, ModelRegistry
 from dayscout.sources.scans import features_all, features_window
 
@@ -153,7 +155,9 @@ def train_models(
     n = rows.limit(MIN_ROWS).count()
     if n < MIN_ROWS:
         raise ValueError(f"need at least {MIN_ROWS} feature rows, found {n}")
-    newest = newest_rows(rows)
+    shared_dir(spark)
+    # Some fifty fits read these few rows: computed once, in as few partitions as they fill.
+    newest = compact(newest_rows(rows), None, "city").checkpoint()
     clusters = fit_clusters(newest, optimal_k(newest, ks))
     table, best = compare_models(rows, **kwargs)
     registry = ModelRegistry(spark, model_root)
