@@ -329,9 +329,9 @@ def make_regressor(
 
 @dataclass
 class RegressionFit:
-    """A fitted regression pipeline with its metrics."""
+    """A fitted regression pipeline with its metrics; no pipeline where only folds were fitted."""
 
-    model: PipelineModel
+    model: PipelineModel | None
     model_type: str
     columns: list[str]
     metrics: dict = field(default_factory=dict)
@@ -380,17 +380,21 @@ def train_regression(
     folds: int | None = FOLDS,
     max_bins: int = TREE_BINS,
     partitions: int | None = None,
+    final: bool = True,
 ) -> RegressionFit:
     """Split, scale on the training part, fit, evaluate, cross validate.
 
     The input is read once. The fold fits and the final fit do not depend on each other
-    and run at once; boosting cuts its lineage in the shared folder.
+    and run at once; boosting cuts its lineage in the shared folder. Without ``final`` the
+    folds are all there is: a cross validation needs no model of the whole training part.
     """
+    if not (folds or final):
+        raise ValueError("neither folds nor a final fit are asked for")
     shared_dir(rows.sparkSession)
     clean = compact(
         rows.select(*key, *columns, F.col(target).alias("label")).dropna(), partitions, *key
     ).checkpoint()
-    return _train_regression(clean, model_type, columns, key, test_size, seed, folds, max_bins)
+    return _train_regression(clean, model_type, columns, key, test_size, seed, folds, max_bins, final)
 
 
 def _train_regression(
@@ -402,6 +406,7 @@ def _train_regression(
     seed: int,
     folds: int | None,
     max_bins: int,
+    final: bool,
 ) -> RegressionFit:
     parts = train_test_split(clean, key, test_size, seed).withColumn(
         "fold", fold_of(key, folds or FOLDS, seed)
@@ -416,26 +421,27 @@ def _train_regression(
         n_train = sizes[False]["n"]
         train = parts.where(~F.col("is_test"))
         scaler = Pipeline(stages=scaler_stages(columns, n_train)).fit(train)
-        scaled = scaler.transform(train).select("scaled", "label", "fold").persist()
-        try:
-            scaled.count()  # before the fits begin, each of which would compute it
-            estimator = make_regressor(model_type, n_train, sizes[False]["std"], seed, max_bins)
-
-            def fit_fold(fold: int | None):
-                """The final model for None, else the R2 on the fold left out."""
-                if fold is None:
-                    return estimator.fit(scaled)
-                model = estimator.fit(scaled.where(F.col("fold") != fold))
-                out = model.transform(scaled.where(F.col("fold") == fold))
-                return regression_metrics(out, "label", "prediction", digits=None).first()["r2"]
-
-            fitted, *r2 = at_once(
-                clean.sparkSession, fit_fold, [None, *range(folds or 0)], width=6
-            )
-            cv = cv_figures(r2) if folds else {}
-        finally:
-            scaled.unpersist()
-        model = PipelineModel([*scaler.stages, fitted])
+        # Stored once and not cached: a fit's tasks follow what is cached, so all fits of a
+        # small frame would share the one executor that has it, and each task would carry
+        # the plan behind it. The fits cache their own rows, wherever they begin.
+        scaled = scaler.transform(train).select("scaled", "label", "fold").checkpoint()
+        estimator = make_regressor(model_type, n_train, sizes[False]["std"], seed, max_bins)
+
+        def fit_fold(fold: int | None):
+            """The final model for None, else the R2 on the fold left out."""
+            if fold is None:
+                return estimator.fit(scaled)
+            model = estimator.fit(scaled.where(F.col("fold") != fold))
+            out = model.transform(scaled.where(F.col("fold") == fold))
+            return regression_metrics(out, "label", "prediction", digits=None).first()["r2"]
+
+        wanted = [*([None] if final else []), *range(folds or 0)]
+        fits = at_once(clean.sparkSession, fit_fold, wanted, width=6)
+        cv = cv_figures(fits[1:] if final else fits) if folds else {}
+        counts = {"n_samples": n_train + sizes[True]["n"], "n_train": n_train, "n_test": sizes[True]["n"]}
+        if not final:
+            return RegressionFit(None, model_type, list(columns), {"model_type": model_type, **counts, **cv})
+        model = PipelineModel([*scaler.stages, fits[0]])
         # Metrics use the unclipped prediction, as is usual while training.
         scored = model.transform(parts).select(
             "is_test", F.col("label").alias("actual"), F.col("prediction").alias("predicted")
@@ -447,9 +453,7 @@ def _train_regression(
         parts.unpersist()
     metrics = {
         "model_type": model_type,
-        "n_samples": n_train + sizes[True]["n"],
-        "n_train": n_train,
-        "n_test": sizes[True]["n"],
+        **counts,
         **{
             f"{part}_{m}": by_part[flag][m]
             for part, flag in (("train", False), ("test", True))
