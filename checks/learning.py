@@ -280,8 +280,9 @@ def compare_models(spark, d):
 
 @check("order_model_comparison")
 def order_model_comparison(spark, d):
-    """The best model only: all models in one table, first by test R2."""
-    return ml.compare_models(_usable(spark, d))[0].limit(1)
+    """The best model only, first of all by test R2. (Its row has no figure of the folds of
+    another model.)"""
+    return ml.compare_models(_usable(spark, d), best_only=True)[0]
 
 
 @check("predict_clipped")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import math
 import statistics
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass, field
 from multiprocessing.pool import ThreadPool
 
@@ -32,6 +33,12 @@ TREE_BINS = 256
 #: histograms a task holds at once. More nodes than fit are split in further passes, to the
 #: same trees; several tasks and fits share an executor
 TREE_MEMORY_MB = 128
+#: trees after which boosting stores its residuals. A task carries the plan of all trees
+#: since then, so a long way costs more than the file of a short one
+BOOSTING_CHECKPOINT = 3
+#: models whose folds wait until it is known that a result shows them. A forest's fit fills a
+#: core; the others' are short jobs that overlap almost freely with the final fits
+FOLDS_LATE = {"random_forest"}
 
 
 def at_once(spark: SparkSession, fn: Callable, items: Iterable, width: int = 10) -> list:
@@ -322,7 +329,7 @@ def make_regressor(
     if model_type == "gradient_boosting":
         return GBTRegressor(
             **common, maxIter=100, stepSize=0.1, maxDepth=5, minInstancesPerNode=2, seed=seed,
-            maxBins=max_bins, maxMemoryInMB=TREE_MEMORY_MB,
+            maxBins=max_bins, maxMemoryInMB=TREE_MEMORY_MB, checkpointInterval=BOOSTING_CHECKPOINT,
         )
     raise ValueError(f"unknown model type: {model_type}")
 
@@ -369,45 +376,35 @@ def cv_figures(r2: Sequence[float | None]) -> dict[str, float | None]:
     }
 
 
-def train_regression(
+@dataclass
+class Prepared:
+    """Rows of a regression as its fits need them: read, split and scaled once for any number
+    of models."""
+
+    parts: DataFrame  # cached: key, features, label, is_test, fold
+    scaled: DataFrame  # stored: the training part
+    scaler: PipelineModel
+    n_train: int
+    n_test: int
+    label_std: float
+
+
+@contextmanager
+def prepared(
     rows: DataFrame,
-    model_type: str = "gradient_boosting",
     columns: Sequence[str] = tuple(REGRESSION_FEATURES),
     target: str = REGRESSION_TARGET,
     key: Sequence[str] = ("city", "feature_date"),
     test_size: float = TEST_SIZE,
     seed: int = SEED,
     folds: int | None = FOLDS,
-    max_bins: int = TREE_BINS,
     partitions: int | None = None,
-    final: bool = True,
-) -> RegressionFit:
-    """Split, scale on the training part, fit, evaluate, cross validate.
-
-    The input is read once. The fold fits and the final fit do not depend on each other
-    and run at once; boosting cuts its lineage in the shared folder. Without ``final`` the
-    folds are all there is: a cross validation needs no model of the whole training part.
-    """
-    if not (folds or final):
-        raise ValueError("neither folds nor a final fit are asked for")
+) -> Iterator[Prepared]:
+    """Split the rows, scale on the training part; the input is read once."""
     shared_dir(rows.sparkSession)
     clean = compact(
         rows.select(*key, *columns, F.col(target).alias("label")).dropna(), partitions, *key
     ).checkpoint()
-    return _train_regression(clean, model_type, columns, key, test_size, seed, folds, max_bins, final)
-
-
-def _train_regression(
-    clean: DataFrame,
-    model_type: str,
-    columns: Sequence[str],
-    key: Sequence[str],
-    test_size: float,
-    seed: int,
-    folds: int | None,
-    max_bins: int,
-    final: bool,
-) -> RegressionFit:
     parts = train_test_split(clean, key, test_size, seed).withColumn(
         "fold", fold_of(key, folds or FOLDS, seed)
     ).persist()
@@ -425,32 +422,74 @@ def _train_regression(
         # small frame would share the one executor that has it, and each task would carry
         # the plan behind it. The fits cache their own rows, wherever they begin.
         scaled = scaler.transform(train).select("scaled", "label", "fold").checkpoint()
-        estimator = make_regressor(model_type, n_train, sizes[False]["std"], seed, max_bins)
-
-        def fit_fold(fold: int | None):
-            """The final model for None, else the R2 on the fold left out."""
-            if fold is None:
-                return estimator.fit(scaled)
-            model = estimator.fit(scaled.where(F.col("fold") != fold))
-            out = model.transform(scaled.where(F.col("fold") == fold))
-            return regression_metrics(out, "label", "prediction", digits=None).first()["r2"]
-
-        wanted = [*([None] if final else []), *range(folds or 0)]
-        fits = at_once(clean.sparkSession, fit_fold, wanted, width=6)
-        cv = cv_figures(fits[1:] if final else fits) if folds else {}
-        counts = {"n_samples": n_train + sizes[True]["n"], "n_train": n_train, "n_test": sizes[True]["n"]}
-        if not final:
-            return RegressionFit(None, model_type, list(columns), {"model_type": model_type, **counts, **cv})
-        model = PipelineModel([*scaler.stages, fits[0]])
-        # Metrics use the unclipped prediction, as is usual while training.
-        scored = model.transform(parts).select(
-            "is_test", F.col("label").alias("actual"), F.col("prediction").alias("predicted")
-        )
-        by_part = {
-            r["is_test"]: r for r in regression_metrics(scored, group=["is_test"]).collect()
-        }
+        yield Prepared(parts, scaled, scaler, n_train, sizes[True]["n"], sizes[False]["std"])
     finally:
         parts.unpersist()
+
+
+def train_regression(
+    rows: DataFrame,
+    model_type: str = "gradient_boosting",
+    columns: Sequence[str] = tuple(REGRESSION_FEATURES),
+    target: str = REGRESSION_TARGET,
+    key: Sequence[str] = ("city", "feature_date"),
+    test_size: float = TEST_SIZE,
+    seed: int = SEED,
+    folds: int | None = FOLDS,
+    max_bins: int = TREE_BINS,
+    partitions: int | None = None,
+    final: bool = True,
+    ready: Prepared | None = None,
+) -> RegressionFit:
+    """Split, scale on the training part, fit, evaluate, cross validate.
+
+    The input is read once. The fold fits and the final fit do not depend on each other
+    and run at once; boosting cuts its lineage in the shared folder. Without ``final`` the
+    folds are all there is: a cross validation needs no model of the whole training part.
+    ``ready`` are the rows as ``prepared`` gave them for the same options, where several
+    models share them.
+    """
+    if not (folds or final):
+        raise ValueError("neither folds nor a final fit are asked for")
+    source = nullcontext(ready) if ready else prepared(
+        rows, columns, target, key, test_size, seed, folds, partitions
+    )
+    with source as p:
+        return _train_regression(p, model_type, columns, seed, folds, max_bins, final)
+
+
+def _train_regression(
+    p: Prepared,
+    model_type: str,
+    columns: Sequence[str],
+    seed: int,
+    folds: int | None,
+    max_bins: int,
+    final: bool,
+) -> RegressionFit:
+    scaled = p.scaled
+    estimator = make_regressor(model_type, p.n_train, p.label_std, seed, max_bins)
+
+    def fit_fold(fold: int | None):
+        """The final model for None, else the R2 on the fold left out."""
+        if fold is None:
+            return estimator.fit(scaled)
+        model = estimator.fit(scaled.where(F.col("fold") != fold))
+        out = model.transform(scaled.where(F.col("fold") == fold))
+        return regression_metrics(out, "label", "prediction", digits=None).first()["r2"]
+
+    wanted = [*([None] if final else []), *range(folds or 0)]
+    fits = at_once(scaled.sparkSession, fit_fold, wanted, width=6)
+    cv = cv_figures(fits[1:] if final else fits) if folds else {}
+    counts = {"n_samples": p.n_train + p.n_test, "n_train": p.n_train, "n_test": p.n_test}
+    if not final:
+        return RegressionFit(None, model_type, list(columns), {"model_type": model_type, **counts, **cv})
+    model = PipelineModel([*p.scaler.stages, fits[0]])
+    # Metrics use the unclipped prediction, as is usual while training.
+    scored = model.transform(p.parts).select(
+        "is_test", F.col("label").alias("actual"), F.col("prediction").alias("predicted")
+    )
+    by_part = {r["is_test"]: r for r in regression_metrics(scored, group=["is_test"]).collect()}
     metrics = {
         "model_type": model_type,
         **counts,
@@ -481,28 +520,50 @@ def comparison_table(spark, fits: Sequence[RegressionFit]) -> DataFrame:
         )
         for f in fits
     ]
-    return spark.createDataFrame(rows, COMPARISON_SCHEMA).orderBy(
+    # as literals: a frame of a Python list would start Python workers for three rows
+    fields = [field.split() for field in COMPARISON_SCHEMA.split(", ")]
+    literals = [
+        F.struct(*[F.lit(x).cast(kind).alias(name) for x, (name, kind) in zip(r, fields, strict=True)])
+        for r in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*literals))).orderBy(
         F.col("test_r2").desc(), "test_rmse", "model"
     )
 
 
 def compare_models(
-    rows: DataFrame, model_types: Sequence[str] = tuple(MODEL_TYPES), **kwargs
+    rows: DataFrame,
+    model_types: Sequence[str] = tuple(MODEL_TYPES),
+    best_only: bool = False,
+    folds: int | None = FOLDS,
+    **kwargs,
 ) -> tuple[DataFrame, RegressionFit]:
     """Train every model type; returns the comparison and the best fit.
 
-    The best fit is kept rather than trained again: same data, same seed.
+    All models share one read, split and scaling. The best fit is kept rather than trained
+    again: same data, same seed.
+
+    With ``best_only`` the comparison is its first row. The order is that of the test part,
+    so the folds of a forest are fitted only if the forest is first: no other figure of
+    that row depends on them.
     """
     spark = rows.sparkSession
-    rows = rows.persist()
-    try:
-        rows.count()  # once, before three readers begin
-        fits = at_once(spark, lambda m: train_regression(rows, m, **kwargs), model_types, width=3)
-    finally:
-        rows.unpersist()
-    table = comparison_table(spark, fits)
-    best = table.first()["model"]
-    return table, next(f for f in fits if f.model_type == best)
+    options = {k: v for k, v in kwargs.items() if k != "max_bins"}
+    late = FOLDS_LATE if best_only and folds else ()
+    with prepared(rows, folds=folds, **options) as p:
+
+        def train(model_type: str, folds: int | None = folds, **form) -> RegressionFit:
+            return train_regression(p.parts, model_type, folds=folds, ready=p, **kwargs, **form)
+
+        fits = at_once(
+            spark, lambda m: train(m, None) if m in late else train(m), model_types, width=3
+        )
+        table = comparison_table(spark, fits)
+        first = table.first()["model"]
+        best = next(f for f in fits if f.model_type == first)
+        if first in late:
+            best.metrics |= train(first, final=False).metrics
+    return comparison_table(spark, [best]) if best_only else table, best
 
 
 def evaluate(model: PipelineModel, rows: DataFrame, target: str = REGRESSION_TARGET) -> DataFrame:
