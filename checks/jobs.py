@@ -320,8 +320,8 @@ def drift_report_json(spark, d):
 
 @check("train_models")
 def train_models(spark, d):
-    """The stand-alone training over all history: both saved models, by their cards, and how
-    they do on the newest date."""
+    """The stand-alone training, clusters of the newest date and regressors over all history: both
+    saved models, by their cards, and how they do on the newest date."""
     trained = retrain.train_models(c.features(spark, d), scratch_dir(spark, "models"), c.as_of(spark, d))
     today = trained.newest.agg(
         F.round(F.avg("error"), 6).alias("newest_mae"), F.count("*").alias("newest_rows")

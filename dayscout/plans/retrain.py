@@ -148,8 +148,8 @@ def train_models(
     ks=range(2, 6),
     **kwargs,
 ) -> Trained:
-    """The stand-alone form: all history, k by the elbow, best of three regressors. Both are
-    saved with their cards and become champions, whatever was before; what scores the
+    """The stand-alone form: clusters of the newest date, k by the elbow; best of three
+    regressors over all history. Both are saved with their cards and become champions, whatever was before; what scores the
     newest date is what was saved."""
     spark, rows = features.sparkSession, features_all(features)
     n = rows.limit(MIN_ROWS).count()
